@@ -16,10 +16,19 @@ from pyspark.sql import SparkSession
 # coalesces small shuffle partitions and splits skewed ones.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from static estimates: a Parquet size estimate is the
+    # compressed file size and can under-count memory many times over.  AQE
+    # broadcasts a join side only after its shuffle has run and its real
+    # size is known to be under the threshold; otherwise the join stays a
+    # sort-merge join.  Sides bounded by construction (the calendar, the 25
+    # nations) are broadcast explicitly in the plans.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

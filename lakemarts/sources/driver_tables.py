@@ -17,12 +17,22 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakemarts.sources.partitioning import spread
+
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
 ).split()
 
 
+# Columns that identify a row of each fact-sized table (no hot values).
+ROW_KEYS = {
+    "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
+    "events": ("event_id",),
+}
+
+
 def _s(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -41,6 +51,10 @@ class DriverTables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def large_table(self, name: str) -> DataFrame:
+        """A fact-sized input, spread over the cores if it arrives in fewer pieces."""
+        return spread(self.table(name), *ROW_KEYS[name])
+
     def _geo(self, nation_col: str) -> DataFrame:
         geo = self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -60,7 +74,7 @@ class DriverTables:
 
     @cached_property
     def orders_raw(self) -> DataFrame:
-        o = self.table("orders")
+        o = self.large_table("orders")
         status = F.col("o_orderstatus")
         return o.select(
             F.concat(F.lit("O"), _s("o_orderkey")).alias("order_id"),
@@ -78,7 +92,7 @@ class DriverTables:
 
     @cached_property
     def order_items_raw(self) -> DataFrame:
-        li = self.table("lineitem")
+        li = self.large_table("lineitem")
         return li.select(
             F.concat(F.lit("O"), _s("l_orderkey")).alias("order_id"),
             _s("l_linenumber").alias("order_item_id"),
@@ -94,7 +108,7 @@ class DriverTables:
         # One payment per (order, return flag); the aggregate is partial
         # map-side, and the window sees at most three rows per order.
         g = (
-            self.table("lineitem")
+            self.large_table("lineitem")
             .groupBy("l_orderkey", "l_returnflag")
             .agg(
                 F.count(F.lit(1)).alias("n"),
@@ -113,7 +127,7 @@ class DriverTables:
 
     @cached_property
     def reviews_raw(self) -> DataFrame:
-        e = self.table("events")
+        e = self.large_table("events")
         event_type = F.col("event_type")
         review_no = F.col("event_id") - F.when(F.col("event_id") % 10 == 9, 1).otherwise(0)
         return e.select(

@@ -1,0 +1,27 @@
+"""Input partitioning guard.
+
+A scan is split by files and Parquet row groups.  An input that arrives as a
+few unsplittable pieces (one large row group, a gzip file, a multi-line CSV)
+yields fewer scan tasks than there are cores, and every per-row step before
+the first shuffle (string cleaning, casts, hashing) then runs on those few
+tasks.  ``spread`` redistributes such an input round-robin once; an input
+that already has at least one partition per core, which is the normal case
+for a large table, is returned untouched, so no extra shuffle is added.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute an under-partitioned input over the cores.
+
+    With ``keys`` (columns that identify a row, so no value is hot) the rows
+    are hash-partitioned; without, round-robin, which Spark sorts first so
+    that a retried task reproduces its output.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    return df.repartition(parallelism, *keys)
