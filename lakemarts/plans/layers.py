@@ -40,27 +40,32 @@ class Silver:
 
 
 class Gold:
-    def __init__(self, silver: Provider):
+    """Gold over a silver provider.  With ``dims`` (a provider of written
+    dimension tables) the facts join those tables instead of recomputing
+    the dimensions."""
+
+    def __init__(self, silver: Provider, dims: Provider | None = None):
         self.silver = silver
+        self.dims = dims
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return S.dim_customers(self.silver("customers"))
+        return self.dims("dim_customers") if self.dims else S.dim_customers(self.silver("customers"))
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return S.dim_products(self.silver("products"))
+        return self.dims("dim_products") if self.dims else S.dim_products(self.silver("products"))
 
     @cached_property
     def dim_sellers(self) -> DataFrame:
-        return S.dim_sellers(self.silver("sellers"))
+        return self.dims("dim_sellers") if self.dims else S.dim_sellers(self.silver("sellers"))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return S.dim_date(self.silver("orders"))
+        return self.dims("dim_date") if self.dims else S.dim_date(self.silver("orders"))
 
     @cached_property
     def items_per_order(self) -> DataFrame:
