@@ -177,22 +177,36 @@ def items_per_order(order_items: DataFrame) -> DataFrame:
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
-    """G08.  ``collect_set`` holds distinct payment *types* per order, a set
-    bounded by the handful of payment methods, not by the order's size."""
-    return payments.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("payment_record_count"),
-        F.countDistinct("payment_type").alias("payment_type_count"),
-        F.concat_ws(", ", F.sort_array(F.collect_set("payment_type"))).alias("payment_types"),
-        F.max("payment_installments").alias("maximum_installments"),
-        F.sum("payment_value").alias("payment_total"),
+    """G08.  The set of payment *types* per order is bounded by the handful
+    of payment methods, not by the order's size, so one ``collect_set``
+    yields both the distinct type count and the sorted list without a
+    separate distinct-aggregation stage."""
+    types = F.collect_set("payment_type")
+    return (
+        payments.groupBy("order_id")
+        .agg(
+            F.count(F.lit(1)).alias("payment_record_count"),
+            types.alias("types"),
+            F.max("payment_installments").alias("maximum_installments"),
+            F.sum("payment_value").alias("payment_total"),
+        )
+        .select(
+            "order_id",
+            "payment_record_count",
+            F.size("types").cast("bigint").alias("payment_type_count"),
+            F.concat_ws(", ", F.sort_array("types")).alias("payment_types"),
+            "maximum_installments",
+            "payment_total",
+        )
     )
 
 
 def reviews_per_order(reviews: DataFrame) -> DataFrame:
     """G09.  ``bool_or`` is the max of the 0/1 cast: NULL only when every
-    input is NULL."""
+    input is NULL.  Silver reviews are unique by review_id, so the distinct
+    review count is a plain count (no distinct-aggregation stage)."""
     return reviews.groupBy("order_id").agg(
-        F.countDistinct("review_id").alias("review_count"),
+        F.count("review_id").alias("review_count"),
         F.round(F.avg("review_score"), 2).alias("average_review_score"),
         F.bool_or("has_comment").alias("has_review_comment"),
     )

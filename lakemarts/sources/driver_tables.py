@@ -57,7 +57,7 @@ class DriverTables:
 
     def _geo(self, nation_col: str) -> DataFrame:
         geo = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
+            F.broadcast(self.table("region")), F.col("n_regionkey") == F.col("r_regionkey")
         )
         return F.broadcast(geo.select("n_nationkey", "n_name", "r_name"))
 

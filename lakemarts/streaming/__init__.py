@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference recomputes every table whole on each batch run and has no
+stream source, watermark, event-time window or stateful operator, so there
+is nothing to express with Structured Streaming here.
+"""
