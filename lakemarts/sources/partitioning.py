@@ -21,7 +21,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     are hash-partitioned; without, round-robin, which Spark sorts first so
     that a retried task reproduces its output.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # e.g. Spark Connect: no RDD view; leave the plan as is
+        return df
+    if partitions >= parallelism:
         return df
     return df.repartition(parallelism, *keys)

@@ -99,3 +99,17 @@ def test_gate_stops_run_with_seeded_failure(spark, raw_dir):
     failed = catalog.table("monitoring", pipeline.QUALITY_TABLE).filter("status = 'FAIL'").collect()
     assert [(r.table_name, r.failed_rows) for r in failed] == [("customers", 1)]
     assert not catalog.exists("gold", "fct_orders")  # gold never ran
+
+
+def test_overwrite_keeps_schema_or_refuses(spark):
+    catalog = Catalog(spark, "ktest")
+    catalog.create_databases()
+    catalog.overwrite_same_schema(spark.createDataFrame([(1, "a")], "id int, s string"), "bronze", "t")
+    catalog.overwrite_same_schema(spark.createDataFrame([(2, "b")], "id int, s string"), "bronze", "t")
+    assert [tuple(r) for r in catalog.table("bronze", "t").collect()] == [(2, "b")]
+    with pytest.raises(ValueError):
+        catalog.overwrite_same_schema(spark.createDataFrame([(3,)], "id int"), "bronze", "t")
+    catalog.overwrite(spark.createDataFrame([(3,)], "id int"), "bronze", "t")  # K01 replaces the schema
+    assert catalog.table("bronze", "t").columns == ["id"]
+    catalog.append(spark.createDataFrame([(4,)], "id int"), "bronze", "t")
+    assert catalog.table("bronze", "t").count() == 2
