@@ -28,8 +28,9 @@ def clean_columns(raw: DataFrame, contract: TableContract) -> DataFrame:
     # reaches the file scan (PushedFilters).
     source_of = {c.target: c.source for c in contract.columns}
     required = list(contract.not_null) + list(contract.non_negative) + [r[0] for r in contract.ranges]
-    for target in dict.fromkeys(required):
-        raw = raw.filter(F.col(source_of[target]).isNotNull())
+    present = [F.col(source_of[target]).isNotNull() for target in dict.fromkeys(required)]
+    if present:
+        raw = raw.filter(reduce(and_, present))
     audit = [c for c in AUDIT_COLUMNS if c in raw.columns]
     return raw.select(*[clean(c.rule, c.source).alias(c.target) for c in contract.columns], *audit)
 

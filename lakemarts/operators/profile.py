@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemarts.contracts import CONTRACTS
-from lakemarts.functions import LOWER, TRIM, UPPER, any_null, clean, count_when
+from lakemarts.functions import LOWER, TRIM, UPPER, Ref, any_null, clean, count_when, stack_rows
 from lakemarts.operators.quality import key_presence
 
 # Orphan relations (child, parent, key) that the cleansing
@@ -41,13 +41,11 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key).distinct(), key, "left_anti")
 
 
-def _metrics(one_row: DataFrame, table: str, metrics: dict[str, Column]) -> DataFrame:
-    rows = [
-        F.struct(F.lit(table).alias("table_name"), F.lit(m).alias("metric"),
-                 F.coalesce(v, F.lit(0)).cast("bigint").alias("value"))
-        for m, v in metrics.items()
-    ]
-    return one_row.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+def _metrics(one_row: DataFrame, table: str, metrics: list[str]) -> DataFrame:
+    """(table_name, metric, value) rows from the named one-row aggregates."""
+    filled = one_row.select(*[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in metrics])
+    return stack_rows(filled, [(table, m, Ref(m)) for m in metrics], ["table_name", "metric", "value"],
+                      {"value": "BIGINT"})
 
 
 def failed_casts(raw: DataFrame, table: str) -> Column | None:
@@ -67,22 +65,21 @@ def profile(table: str, raw: DataFrame, silver) -> DataFrame:
     casts = failed_casts(raw, table)
     if casts is not None:
         raw_metrics["failed_casts"] = casts
-    parts = [_metrics(raw.agg(*[v.alias(k) for k, v in raw_metrics.items()]), table,
-                      {k: F.col(k) for k in raw_metrics})]
+    parts = [_metrics(raw.agg(*[v.alias(k) for k, v in raw_metrics.items()]), table, list(raw_metrics))]
 
     silver_metrics = {"silver_rows": F.count(F.lit(1)), "null_keys": count_when(any_null(contract.key))}
     for name, condition in EXTRA_METRICS.get(table, {}).items():
         silver_metrics[name] = count_when(condition())
-    parts.append(_metrics(df.agg(*[v.alias(k) for k, v in silver_metrics.items()]), table,
-                          {k: F.col(k) for k in silver_metrics}))
+    parts.append(_metrics(df.agg(*[v.alias(k) for k, v in silver_metrics.items()]), table, list(silver_metrics)))
 
-    dups = df.groupBy(*contract.key).count().agg(count_when(F.col("count") > 1).alias("d"))
-    parts.append(_metrics(dups, table, {"duplicate_keys": F.col("d")}))
+    dups = df.groupBy(*contract.key).count().agg(count_when(F.col("count") > 1).alias("duplicate_keys"))
+    parts.append(_metrics(dups, table, ["duplicate_keys"]))
 
     for child, parent, key in ORPHAN_RELATIONS:
         if child != table:
             continue
         keyed = key_presence(df, silver(parent), [key])
-        counted = keyed.agg(F.sum(F.when(F.col("found").isNull(), F.col("n")).otherwise(0)).alias("o"))
-        parts.append(_metrics(counted, table, {f"orphans_{parent}": F.col("o")}))
+        metric = f"orphans_{parent}"
+        counted = keyed.agg(F.sum(F.when(F.col("found").isNull(), F.col("n")).otherwise(0)).alias(metric))
+        parts.append(_metrics(counted, table, [metric]))
     return reduce(DataFrame.unionByName, parts)

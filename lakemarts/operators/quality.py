@@ -21,7 +21,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemarts.functions import all_not_null, any_null, null_as_false
+from lakemarts.functions import Ref, all_not_null, any_null, null_as_false, stack_rows
 
 CRITICAL = "CRITICAL"
 WARNING = "WARNING"
@@ -122,22 +122,23 @@ SOURCE_DUPLICATE_DETAILS = (
 # ------------------------------------------------------------------ checks
 
 
-def _row(table: str, name: str, ctype: str, severity: str, details: str, total: Column, failed: Column,
-         allowed: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(name).alias("check_name"),
-        F.lit(ctype).alias("check_type"),
-        F.lit(severity).alias("severity"),
-        (allowed if allowed is not None else F.lit(0)).cast("bigint").alias("allowed_failures"),
-        F.lit(details).alias("details"),
-        F.coalesce(total, F.lit(0)).cast("bigint").alias("total_rows"),
-        F.coalesce(failed, F.lit(0)).cast("bigint").alias("failed_rows"),
-    )
+CHECK_FIELDS = ["table_name", "check_name", "check_type", "severity", "allowed_failures", "details",
+                "total_rows", "failed_rows"]
+CHECK_CASTS = {"allowed_failures": "BIGINT", "total_rows": "BIGINT", "failed_rows": "BIGINT"}
+
+
+def _row(table: str, name: str, ctype: str, severity: str, details: str, total: str, failed: str,
+         allowed: str | int = 0) -> tuple:
+    """One check row: metadata literals plus the aggregate columns holding
+    its total and failed counts (and allowed failures, if not 0)."""
+    return (table, name, ctype, severity, Ref(allowed) if isinstance(allowed, str) else allowed, details,
+            Ref(total), Ref(failed))
 
 
-def _rows(one_row: DataFrame, rows: list[Column]) -> DataFrame:
-    return one_row.select(F.explode(F.array(*rows)).alias("c")).select("c.*")
+def _rows(one_row: DataFrame, rows: list[tuple]) -> DataFrame:
+    counts = [c for c in one_row.columns]
+    filled = one_row.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in counts])
+    return stack_rows(filled, rows, CHECK_FIELDS, CHECK_CASTS)
 
 
 def table_checks(
@@ -168,13 +169,12 @@ def table_checks(
         F.sum("nulls").alias("nulls"),
         *[F.sum(f"rule_{i}").alias(f"rule_{i}") for i in range(len(rules))],
     )
-    total = F.col("total")
     rows = [
-        _row(table, f"not_null: {', '.join(required)}", "not_null", severity, NOT_NULL_DETAILS, total, F.col("nulls")),
-        _row(table, f"unique: {', '.join(unique)}", "uniqueness", severity, UNIQUE_DETAILS, total, F.col("surplus")),
+        _row(table, f"not_null: {', '.join(required)}", "not_null", severity, NOT_NULL_DETAILS, "total", "nulls"),
+        _row(table, f"unique: {', '.join(unique)}", "uniqueness", severity, UNIQUE_DETAILS, "total", "surplus"),
     ]
     rows += [
-        _row(table, rule.name, "business_rule", rule.severity, rule.details, total, F.col(f"rule_{i}"))
+        _row(table, rule.name, "business_rule", rule.severity, rule.details, "total", f"rule_{i}")
         for i, rule in enumerate(rules)
     ]
     return _rows(totals, rows)
@@ -212,8 +212,8 @@ def foreign_key_check(child: DataFrame, parent: DataFrame, child_table: str, par
                 "referential_integrity",
                 severity,
                 f"Keys {key} must exist in {parent_table}.",
-                F.col("total"),
-                F.col("failed"),
+                "total",
+                "failed",
             )
         ],
     )
@@ -224,7 +224,6 @@ def source_duplicate_check(raw_reviews: DataFrame) -> DataFrame:
     totals = raw_reviews.groupBy("review_id").count().agg(
         F.sum("count").alias("total"), F.sum(F.col("count") - 1).alias("surplus")
     )
-    surplus = F.coalesce(F.col("surplus"), F.lit(0))
     return _rows(
         totals,
         [
@@ -234,9 +233,9 @@ def source_duplicate_check(raw_reviews: DataFrame) -> DataFrame:
                 "source_quality",
                 WARNING,
                 SOURCE_DUPLICATE_DETAILS,
-                F.col("total"),
-                surplus,
-                allowed=surplus,
+                "total",
+                "surplus",
+                allowed="surplus",
             )
         ],
     )
@@ -360,19 +359,11 @@ def mart_test(df: DataFrame, model: str, not_null: list[str], unique: str) -> Da
         *[F.sum(f"null_{i}").alias(f"null_{i}") for i in range(len(not_null))],
     )
 
-    def test(kind: str, column: str, failures: Column) -> Column:
-        f = F.coalesce(failures, F.lit(0)).cast("bigint")
-        return F.struct(
-            F.lit(model).alias("model"),
-            F.lit(kind).alias("test_name"),
-            F.lit(column).alias("column_name"),
-            f.alias("failures"),
-            F.when(f == 0, "pass").otherwise("fail").alias("status"),
-        )
-
-    rows = [test("not_null", c, F.col(f"null_{i}")) for i, c in enumerate(not_null)]
-    rows.append(test("unique", unique, F.col("dup")))
-    return _rows(totals, rows)
+    filled = totals.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in totals.columns])
+    rows = [(model, "not_null", c, Ref(f"null_{i}")) for i, c in enumerate(not_null)]
+    rows.append((model, "unique", unique, Ref("dup")))
+    tests = stack_rows(filled, rows, ["model", "test_name", "column_name", "failures"], {"failures": "BIGINT"})
+    return tests.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
 def mart_tests(marts) -> DataFrame:

@@ -2,9 +2,11 @@
 
 Each layer reads its inputs through a *provider* ``name -> DataFrame``.  In
 the staged pipeline the providers are catalog tables written by the previous
-stage (which also cuts lineage at every layer); for ad-hoc queries they are
-the in-memory plans of the layer below, and Catalyst optimises the whole
-chain as one plan.
+stage.  For ad-hoc queries (``Lake``) a layer reads the layer below through
+``stored``: the table computed once per session and saved with a reliable
+``checkpoint()`` in the cluster's checkpoint folder.  Either way every layer
+is a lineage cut, each layer's plan is built and run once, and a query plan
+shows exactly one stage of work.
 """
 
 from __future__ import annotations
@@ -28,8 +30,24 @@ GOLD_TABLES = DIMENSIONS + FACTS
 MART_TABLES = ("mart_daily_sales", "mart_product_performance", "mart_customer_summary", "mart_delivery_quality")
 
 
-class Silver:
+class Stored:
+    """``stored(name)``: the layer table, checkpointed once (eager, reliable)."""
+
+    def __init__(self):
+        self._stored: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:  # pragma: no cover - overridden
+        raise NotImplementedError
+
+    def stored(self, name: str) -> DataFrame:
+        if name not in self._stored:
+            self._stored[name] = self.table(name).checkpoint(eager=True)
+        return self._stored[name]
+
+
+class Silver(Stored):
     def __init__(self, raw: Provider):
+        super().__init__()
         self.raw = raw
         self._tables: dict[str, DataFrame] = {}
 
@@ -39,33 +57,37 @@ class Silver:
         return self._tables[name]
 
 
-class Gold:
-    """Gold over a silver provider.  With ``dims`` (a provider of written
-    dimension tables) the facts join those tables instead of recomputing
-    the dimensions."""
+class Gold(Stored):
+    """Gold over a silver provider.  With ``dims`` (a provider of written or
+    stored dimension tables) the facts join those instead of recomputing the
+    dimensions."""
 
     def __init__(self, silver: Provider, dims: Provider | None = None):
+        super().__init__()
         self.silver = silver
         self.dims = dims
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def _dim(self, name: str) -> DataFrame:
+        return self.dims(name) if self.dims else getattr(self, name)
+
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return self.dims("dim_customers") if self.dims else S.dim_customers(self.silver("customers"))
+        return S.dim_customers(self.silver("customers"))
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return self.dims("dim_products") if self.dims else S.dim_products(self.silver("products"))
+        return S.dim_products(self.silver("products"))
 
     @cached_property
     def dim_sellers(self) -> DataFrame:
-        return self.dims("dim_sellers") if self.dims else S.dim_sellers(self.silver("sellers"))
+        return S.dim_sellers(self.silver("sellers"))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self.dims("dim_date") if self.dims else S.dim_date(self.silver("orders"))
+        return S.dim_date(self.silver("orders"))
 
     @cached_property
     def items_per_order(self) -> DataFrame:
@@ -84,24 +106,25 @@ class Gold:
         return S.fct_order_items(
             self.silver("order_items"),
             self.silver("orders"),
-            self.dim_customers,
-            self.dim_products,
-            self.dim_sellers,
+            self._dim("dim_customers"),
+            self._dim("dim_products"),
+            self._dim("dim_sellers"),
         )
 
     @cached_property
     def fct_orders(self) -> DataFrame:
         return S.fct_orders(
             self.silver("orders"),
-            self.dim_customers,
+            self._dim("dim_customers"),
             self.items_per_order,
             self.payments_per_order,
             self.reviews_per_order,
         )
 
 
-class Marts:
+class Marts(Stored):
     def __init__(self, gold: Provider):
+        super().__init__()
         self.gold = gold
 
     def table(self, name: str) -> DataFrame:
@@ -129,18 +152,21 @@ class Marts:
 
 
 class Lake:
-    """All layers over one raw provider, composed in memory."""
+    """All layers over one raw provider.  ``silver.table`` / ``gold.table`` /
+    ``marts.table`` are each one stage's plan over the *stored* layer below."""
 
     def __init__(self, raw: Provider):
         self.raw = raw
         self.silver = Silver(raw)
-        self.gold = Gold(self.silver.table)
-        self.marts = Marts(self.gold.table)
+        self.gold = Gold(self.silver.stored, dims=lambda name: self.gold.stored(name))
+        self.marts = Marts(self.gold.stored)
 
     @classmethod
     def from_driver_tables(cls, spark, sf_dir: str) -> "Lake":
+        from lakemarts.session import ensure_checkpoint_dir
         from lakemarts.sources.driver_tables import DriverTables
 
+        ensure_checkpoint_dir(spark)
         lake = cls(DriverTables(spark, sf_dir).raw)
         lake.spark = spark
         lake.sf_dir = sf_dir

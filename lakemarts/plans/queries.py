@@ -1,6 +1,10 @@
 """Registered queries: one per operator family of the blueprint, each over
 the whole benchmark tables of one scale-factor directory.
 
+Each query is one stage of work: a silver query is the cleansing plan over
+the raw tables, a gold query reads stored silver, a mart reads stored gold,
+checks and profiles read stored silver (see ``layers.Stored``).
+
 Every query returns ``comparable(df)``: the library result with audit
 columns (processing times, run ids, source files) dropped and types
 normalised the same way as the DuckDB oracle (integers → bigint, decimals
@@ -10,6 +14,7 @@ reference types (decimal money, int keys, dates).
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 from functools import reduce
 
@@ -50,13 +55,25 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+_LAKES: "weakref.WeakKeyDictionary[SparkSession, dict[str, Lake]]" = weakref.WeakKeyDictionary()
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    return Lake.from_driver_tables(spark, sf_dir)
+    """The layered plans over one directory, built once per session.
+
+    DataFrames are immutable plans, so queries of the same session share the
+    raw, silver and gold DataFrames instead of re-reading Parquet footers and
+    re-analysing the same plans for every query."""
+    per_session = _LAKES.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in per_session:
+        per_session[key] = Lake.from_driver_tables(spark, key)
+    return per_session[key]
 
 
 def quality_results(lk: Lake) -> DataFrame:
     run_id, checked_at = Q.new_run()
-    checks = Q.quality_checks(lk.silver.table, lk.raw("reviews"))
+    checks = Q.quality_checks(lk.silver.stored, lk.raw("reviews"))
     return Q.finish_results(checks, run_id, checked_at)
 
 
@@ -67,8 +84,8 @@ def layer_counts(lk: Lake) -> DataFrame:
         )
 
     parts = [count("bronze", f"{t}_raw", lk.raw(t)) for t in SILVER_TABLES]
-    parts += [count("silver", t, lk.silver.table(t)) for t in SILVER_TABLES]
-    parts += [count("gold", t, lk.gold.table(t)) for t in GOLD_TABLES]
+    parts += [count("silver", t, lk.silver.stored(t)) for t in SILVER_TABLES]
+    parts += [count("gold", t, lk.gold.stored(t)) for t in GOLD_TABLES]
     return reduce(DataFrame.unionByName, parts).orderBy("layer", "table_name")
 
 
@@ -88,14 +105,14 @@ def _registry() -> dict[str, Query]:
     for name, (child, parent, key) in ORPHAN_QUERIES.items():
         def orphans(s, d, child=child, parent=parent, key=key):
             lk = lake(s, d)
-            return P.orphans(lk.silver.table(child), lk.silver.table(parent), key)
+            return P.orphans(lk.silver.stored(child), lk.silver.stored(parent), key)
 
         q[name] = orphans
 
     for t in SILVER_TABLES:
         def prof(s, d, t=t):
             lk = lake(s, d)
-            return P.profile(t, lk.raw(t), lk.silver.table)
+            return P.profile(t, lk.raw(t), lk.silver.stored)
 
         q[f"profile_{t}"] = prof
 
@@ -107,9 +124,9 @@ def _registry() -> dict[str, Query]:
                  "mart_delivery_quality", "gold_order_count"):
         q[name] = lambda s, d, name=name: lake(s, d).marts.table(name)
 
-    daily = lambda s, d: lake(s, d).marts.mart_daily_sales
-    products = lambda s, d: lake(s, d).marts.mart_product_performance
-    delivery = lambda s, d: lake(s, d).marts.mart_delivery_quality
+    daily = lambda s, d: lake(s, d).marts.stored("mart_daily_sales")
+    products = lambda s, d: lake(s, d).marts.stored("mart_product_performance")
+    delivery = lambda s, d: lake(s, d).marts.stored("mart_delivery_quality")
     q["tile_total_orders"] = lambda s, d: tiles.total_orders(daily(s, d))
     q["tile_delivered_orders"] = lambda s, d: tiles.delivered_orders(daily(s, d))
     q["tile_total_revenue"] = lambda s, d: tiles.total_revenue(daily(s, d))
@@ -117,16 +134,16 @@ def _registry() -> dict[str, Query]:
     q["tile_monthly_revenue"] = lambda s, d: tiles.monthly_revenue(daily(s, d))
     q["tile_top_categories_revenue"] = lambda s, d: tiles.top_categories_by_revenue(products(s, d))
     q["tile_top_categories_units"] = lambda s, d: tiles.top_categories_by_units(products(s, d))
-    q["tile_average_delivery_days"] = lambda s, d: tiles.average_delivery_days(lake(s, d).gold.fct_orders)
+    q["tile_average_delivery_days"] = lambda s, d: tiles.average_delivery_days(lake(s, d).gold.stored("fct_orders"))
     q["tile_late_orders"] = lambda s, d: tiles.late_orders(delivery(s, d))
     q["tile_late_orders_trend"] = lambda s, d: tiles.late_orders_trend(delivery(s, d))
 
     q["dq_results"] = lambda s, d: quality_results(lake(s, d))
     q["dq_summary"] = lambda s, d: Q.summary_report(quality_results(lake(s, d)))
     q["dq_failures"] = lambda s, d: Q.failure_report(quality_results(lake(s, d)))
-    q["mart_tests"] = lambda s, d: Q.mart_tests(lake(s, d).marts.table)
+    q["mart_tests"] = lambda s, d: Q.mart_tests(lake(s, d).marts.stored)
     q["layer_counts"] = lambda s, d: layer_counts(lake(s, d))
-    q["tax_projection"] = lambda s, d: tiles.tax_projection(lake(s, d).gold.fct_orders)
+    q["tax_projection"] = lambda s, d: tiles.tax_projection(lake(s, d).gold.stored("fct_orders"))
     return q
 
 

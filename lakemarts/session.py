@@ -72,12 +72,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value is
     used as is.  Only local runs (tests) get a fresh temporary folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    sc = spark.sparkContext
+    active = sc.getCheckpointDir()
+    if active:
+        return active
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        sc.setCheckpointDir(current)
         return current
     scratch = tempfile.mkdtemp(prefix="lakemarts-ckpt-")
-    spark.sparkContext.setCheckpointDir(scratch)
+    sc.setCheckpointDir(scratch)
     return scratch
