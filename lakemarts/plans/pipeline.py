@@ -23,9 +23,10 @@ from lakemarts.operators import quality as Q
 from lakemarts.operators.cleanse import cleanse
 from lakemarts.plans.layers import DIMENSIONS, FACTS, MART_TABLES, SILVER_TABLES, Gold, Marts
 from lakemarts.sources.catalog import Catalog
-from lakemarts.sources.csv_ingest import ingest_all
+from lakemarts.sources.csv_ingest import MissingSourcesError, ingest_all, missing_sources
 from lakemarts.sources.partitioning import spread
 
+INGEST_TABLE = "ingestion_summary"
 QUALITY_TABLE = "data_quality_results"
 PROFILE_TABLE = "cleansing_profile"
 MART_TEST_TABLE = "mart_test_results"
@@ -58,7 +59,14 @@ class RunReport:
 
 def bronze_stage(catalog: Catalog, raw_dir: str, report: RunReport) -> DataFrame:
     summary = ingest_all(catalog, raw_dir)
+    catalog.overwrite(summary, "monitoring", INGEST_TABLE)
     report.bronze = {r.dataset_name: r.row_count for r in summary.select("dataset_name", "row_count").collect()}
+    # S04 on the written tables: a source that produced no row (header-only
+    # file) is as missing as an absent one.  Reads one column of Parquet.
+    bronze = {name: catalog.table("bronze", contract.raw) for name, contract in CONTRACTS.items()}
+    missing = missing_sources(bronze)
+    if missing:
+        raise MissingSourcesError(f"Sources without rows: {', '.join(missing)}")
     return summary
 
 

@@ -80,6 +80,8 @@ def test_quality_history_and_reports(spark, run):
     assert Q.failure_report(history).count() == 0
     assert catalog.table("marts", pipeline.ORDER_COUNT_VIEW).first().order_count == 1500
     assert catalog.table("monitoring", pipeline.MART_TEST_TABLE).count() == 16
+    summary = catalog.table("monitoring", pipeline.INGEST_TABLE).orderBy("dataset_name").collect()
+    assert [r.dataset_name for r in summary] == sorted(SOURCE_FILES) and summary[0].status == "success"
     counts = {(r.layer, r.table_name): r.row_count for r in pipeline.layer_counts(catalog).collect()}
     assert counts[("gold", "fct_order_items")] == 4599 and len(counts) == 20
 
