@@ -11,6 +11,7 @@ the per-row work of later stages.
 from __future__ import annotations
 
 import os
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,15 +76,18 @@ def rows_per_file(bronze: dict[str, DataFrame]) -> DataFrame:
 
 
 def missing_sources(bronze: dict[str, DataFrame], files: dict[str, str] = SOURCE_FILES) -> list[str]:
-    """S04 after the scan: an expected file that produced no row (absent or
-    header-only) is missing.  Only the (small) per-file counts reach the
-    driver."""
-    expected = bronze[next(iter(bronze))].sparkSession.createDataFrame(
-        [(d, f) for d, f in files.items() if d in bronze], "dataset_name string, file_name string"
-    )
-    seen = rows_per_file(bronze).filter(F.col("row_count") > 0)
-    gone = expected.join(seen, ["dataset_name", "file_name"], "left_anti")
-    return sorted(r.file_name for r in gone.collect())
+    """S04 after the scan: an expected source that produced no row (absent or
+    header-only) is missing.  A source may be one file or a directory of
+    part files, so a row belongs to it when the expected name is a component
+    of its ``_source_file`` path.  One row per dataset reaches the driver."""
+    parts = [
+        df.agg(F.count_if(F.col("_source_file").rlike(f"(^|/){re.escape(files[name])}(/|$)")).alias("row_count"))
+        .select(F.lit(files[name]).alias("file_name"), "row_count")
+        for name, df in bronze.items()
+        if name in files
+    ]
+    counts = reduce(DataFrame.unionByName, parts).collect()
+    return sorted(r.file_name for r in counts if r.row_count == 0)
 
 
 def ingest(catalog: Catalog, dataset: str, df: DataFrame, source_file: str) -> tuple:
