@@ -60,17 +60,22 @@ class Silver(Stored):
 class Gold(Stored):
     """Gold over a silver provider.  With ``dims`` (a provider of written or
     stored dimension tables) the facts join those instead of recomputing the
-    dimensions."""
+    dimensions.  ``integrity_proven`` is set only after the quality gate has
+    passed on the same silver tables: every fact key then has its dimension
+    row, and the facts skip the dimension semi-joins."""
 
-    def __init__(self, silver: Provider, dims: Provider | None = None):
+    def __init__(self, silver: Provider, dims: Provider | None = None, integrity_proven: bool = False):
         super().__init__()
         self.silver = silver
         self.dims = dims
+        self.integrity_proven = integrity_proven
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def _dim(self, name: str) -> DataFrame:
+    def _dim(self, name: str) -> DataFrame | None:
+        if self.integrity_proven:
+            return None
         return self.dims(name) if self.dims else getattr(self, name)
 
     @cached_property

@@ -84,3 +84,21 @@ def test_semi_join_equals_inner_join(spark):
     semi = {r.order_id for r in S.orders_with_customer(orders, dim_c).collect()}
     inner = {r.order_id for r in orders.join(dim_c, "customer_id").collect()}
     assert semi == inner == {"o1", "o2", "o3"}
+
+
+def test_fact_without_dimension_joins_after_the_gate(spark):
+    items = spark.sql("select 'o1' order_id, 1 order_item_id, 'p1' product_id, 's1' seller_id, "
+                      "timestamp_ntz'2018-01-02 00:00:00' shipping_limit_date, 10.00bd price, 1.00bd freight_value, "
+                      "11.00bd item_total_amount")
+    orders = _orders(spark)
+    dim_c = S.dim_customers(_customers(spark))
+    dim_p = S.dim_products(spark.sql(
+        "select 'p1' product_id, 'x' product_category_name, 1 product_name_length, 1 product_description_length, "
+        "1 product_photos_qty, 1 product_weight_g, 1 product_length_cm, 1 product_height_cm, 1 product_width_cm, "
+        "1 product_volume_cm3"))
+    dim_s = S.dim_sellers(spark.sql("select 's1' seller_id, 1 seller_zip_code_prefix, 'c' seller_city, 'SP' seller_state"))
+    checked = S.fct_order_items(items, orders, dim_c, dim_p, dim_s)
+    proven = S.fct_order_items(items, orders, None, None, None)
+    assert checked.drop("_gold_processed_at").collect() == proven.drop("_gold_processed_at").collect()
+    plan = proven._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" not in plan
