@@ -7,10 +7,18 @@ stage.  For ad-hoc queries (``Lake``) a layer reads the layer below through
 ``checkpoint()`` in the cluster's checkpoint folder.  Either way every layer
 is a lineage cut, each layer's plan is built and run once, and a query plan
 shows exactly one stage of work.
+
+``stored`` writes the layer table once as Parquet under the session's
+checkpoint folder (the shared folder a cluster names in
+``spark.checkpoint.dir``) and reads it back.  Unlike an RDD checkpoint this
+computes the plan once (a reliable RDD checkpoint recomputes it for the
+file write unless it is cached) and the read-back is a Parquet scan with
+column pruning and filter pushdown.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -31,9 +39,12 @@ MART_TABLES = ("mart_daily_sales", "mart_product_performance", "mart_customer_su
 
 
 class Stored:
-    """``stored(name)``: the layer table, checkpointed once (eager, reliable)."""
+    """``stored(name)``: the layer table written once under ``store`` (a
+    folder in shared storage) and read back; without a store, an eager
+    reliable checkpoint."""
 
-    def __init__(self):
+    def __init__(self, store: str | None = None):
+        self.store = store
         self._stored: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:  # pragma: no cover - overridden
@@ -41,13 +52,19 @@ class Stored:
 
     def stored(self, name: str) -> DataFrame:
         if name not in self._stored:
-            self._stored[name] = self.table(name).checkpoint(eager=True)
+            df = self.table(name)
+            if self.store is None:
+                self._stored[name] = df.checkpoint(eager=True)
+            else:
+                path = f"{self.store}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                self._stored[name] = df.sparkSession.read.parquet(path)
         return self._stored[name]
 
 
 class Silver(Stored):
-    def __init__(self, raw: Provider):
-        super().__init__()
+    def __init__(self, raw: Provider, store: str | None = None):
+        super().__init__(store)
         self.raw = raw
         self._tables: dict[str, DataFrame] = {}
 
@@ -64,8 +81,9 @@ class Gold(Stored):
     passed on the same silver tables: every fact key then has its dimension
     row, and the facts skip the dimension semi-joins."""
 
-    def __init__(self, silver: Provider, dims: Provider | None = None, integrity_proven: bool = False):
-        super().__init__()
+    def __init__(self, silver: Provider, dims: Provider | None = None, integrity_proven: bool = False,
+                 store: str | None = None):
+        super().__init__(store)
         self.silver = silver
         self.dims = dims
         self.integrity_proven = integrity_proven
@@ -128,8 +146,8 @@ class Gold(Stored):
 
 
 class Marts(Stored):
-    def __init__(self, gold: Provider):
-        super().__init__()
+    def __init__(self, gold: Provider, store: str | None = None):
+        super().__init__(store)
         self.gold = gold
 
     def table(self, name: str) -> DataFrame:
@@ -160,19 +178,20 @@ class Lake:
     """All layers over one raw provider.  ``silver.table`` / ``gold.table`` /
     ``marts.table`` are each one stage's plan over the *stored* layer below."""
 
-    def __init__(self, raw: Provider):
+    def __init__(self, raw: Provider, store: str | None = None):
         self.raw = raw
-        self.silver = Silver(raw)
-        self.gold = Gold(self.silver.stored, dims=lambda name: self.gold.stored(name))
-        self.marts = Marts(self.gold.stored)
+        where = (lambda layer: f"{store}/{layer}") if store else (lambda layer: None)
+        self.silver = Silver(raw, store=where("silver"))
+        self.gold = Gold(self.silver.stored, dims=lambda name: self.gold.stored(name), store=where("gold"))
+        self.marts = Marts(self.gold.stored, store=where("marts"))
 
     @classmethod
     def from_driver_tables(cls, spark, sf_dir: str) -> "Lake":
         from lakemarts.session import ensure_checkpoint_dir
         from lakemarts.sources.driver_tables import DriverTables
 
-        ensure_checkpoint_dir(spark)
-        lake = cls(DriverTables(spark, sf_dir).raw)
+        store = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
+        lake = cls(DriverTables(spark, sf_dir).raw, store=store)
         lake.spark = spark
         lake.sf_dir = sf_dir
         return lake

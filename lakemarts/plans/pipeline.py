@@ -140,8 +140,8 @@ def mart_stage(catalog: Catalog, report: RunReport) -> DataFrame:
     return written
 
 
-def run_all(spark: SparkSession, raw_dir: str, prefix: str = "lake") -> RunReport:
-    catalog = Catalog(spark, prefix)
+def run_all(spark: SparkSession, raw_dir: str, prefix: str = "lake", location: str | None = None) -> RunReport:
+    catalog = Catalog(spark, prefix, location)
     catalog.create_databases()
     report = RunReport()
     bronze_stage(catalog, raw_dir, report)

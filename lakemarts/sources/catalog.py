@@ -14,9 +14,13 @@ LAYERS = ("bronze", "silver", "gold", "monitoring", "marts")
 
 
 class Catalog:
-    def __init__(self, spark: SparkSession, prefix: str = "lake"):
+    """Per-layer databases ``<prefix>_<layer>``; ``location`` (optional) is a
+    shared folder to hold them instead of the warehouse directory."""
+
+    def __init__(self, spark: SparkSession, prefix: str = "lake", location: str | None = None):
         self.spark = spark
         self.prefix = prefix
+        self.location = location.rstrip("/") if location else None
 
     def database(self, layer: str) -> str:
         return f"{self.prefix}_{layer}"
@@ -26,7 +30,8 @@ class Catalog:
 
     def create_databases(self) -> None:
         for layer in LAYERS:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}")
+            where = f" LOCATION '{self.location}/{self.database(layer)}.db'" if self.location else ""
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}{where}")
 
     def table(self, layer: str, table: str) -> DataFrame:
         """S05."""
