@@ -52,7 +52,7 @@ def main() -> None:
         "strategies before runtime re-optimisation, which is what a 100 TB run starts from.  Session settings: "
         "static auto-broadcast off, so every broadcast below is an explicit one with a proven bound; AQE may "
         "still convert a sort-merge join to a broadcast when a side *measures* under 64 MB, and splits skewed "
-        "partitions.  Gold and mart queries read the layer below from its stored checkpoint "
+        "partitions.  Gold and mart queries read the layer below from its stored Parquet copy in the "
         "(`Scan ExistingRDD`).\n",
     ]
     lk = lake(spark, sf_dir)
