@@ -53,7 +53,7 @@ def main() -> None:
         "static auto-broadcast off, so every broadcast below is an explicit one with a proven bound; AQE may "
         "still convert a sort-merge join to a broadcast when a side *measures* under 64 MB, and splits skewed "
         "partitions.  Gold and mart queries read the layer below from its stored Parquet copy in the "
-        "(`Scan ExistingRDD`).\n",
+        "checkpoint folder (a `Scan parquet` of `lake-*/<layer>/<table>`).\n",
     ]
     lk = lake(spark, sf_dir)
     gated = Gold(lk.silver.stored, dims=lk.gold.stored, integrity_proven=True)
