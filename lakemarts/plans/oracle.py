@@ -12,8 +12,8 @@ Two engine differences are neutralised here:
   Spark's ``round(avg(x), 2)`` and ``round(100.0 * a / b, 2)`` are exact
   HALF_UP decimal operations.  The helpers below compute those roundings in
   exact integer arithmetic.
-* Output types are normalised on both sides: integers → BIGINT, decimals and
-  fractions → DOUBLE, dates → VARCHAR (``comparable`` on the Spark side).
+* Output types are normalised on both sides: numbers → DOUBLE; dates,
+  timestamps and booleans → VARCHAR (``comparable`` on the Spark side).
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def pct2(num: str, den: str) -> str:
     return f"(((20000 * {a} + {b}) // (2 * {b})) / 100.0)"
 
 
-KINDS = {"s": "VARCHAR", "i": "BIGINT", "f": "DOUBLE", "d": "VARCHAR", "t": "TIMESTAMP", "b": "BOOLEAN"}
+KINDS = {"s": "VARCHAR", "i": "DOUBLE", "f": "DOUBLE", "d": "VARCHAR", "t": "VARCHAR", "b": "VARCHAR"}
 
 
 def typed(source: str, spec: str, where: str = "") -> str:
@@ -560,7 +560,7 @@ def _profile_sql(table: str) -> str:
         for parent, k in _ORPHANS.get(table, [])
     ]
     return "\nUNION ALL\n".join(
-        f"SELECT '{table}' AS table_name, '{m}' AS metric, CAST({v} AS BIGINT) AS value" for m, v in metrics
+        f"SELECT '{table}' AS table_name, '{m}' AS metric, CAST({v} AS DOUBLE) AS value" for m, v in metrics
     )
 
 
@@ -636,8 +636,8 @@ def _bodies() -> dict[str, str]:
     for t, spec in SILVER_SPECS.items():
         q[f"silver_{t}"] = typed(f"s_{t}", spec)
     q["dedup_items"] = (
-        "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(order_item_id AS BIGINT) AS order_item_id, "
-        "CAST(count(*) AS BIGINT) AS row_count FROM f_order_items GROUP BY order_id, order_item_id HAVING count(*) > 1"
+        "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(order_item_id AS DOUBLE) AS order_item_id, "
+        "CAST(count(*) AS DOUBLE) AS row_count FROM f_order_items GROUP BY order_id, order_item_id HAVING count(*) > 1"
     )
     for name, (child, parent, key) in ORPHAN_QUERIES.items():
         q[name] = typed(
@@ -648,12 +648,12 @@ def _bodies() -> dict[str, str]:
         q[f"profile_{t}"] = _profile_sql(t)
     for name, spec in GOLD_SPECS.items():
         q[name] = typed(name, spec)
-    q["gold_order_count"] = "SELECT CAST(count(*) AS BIGINT) AS order_count FROM fct_orders"
-    q["tile_total_orders"] = "SELECT CAST(sum(total_orders) AS BIGINT) AS total_orders FROM mart_daily_sales"
-    q["tile_delivered_orders"] = "SELECT CAST(sum(delivered_orders) AS BIGINT) AS delivered_orders FROM mart_daily_sales"
+    q["gold_order_count"] = "SELECT CAST(count(*) AS DOUBLE) AS order_count FROM fct_orders"
+    q["tile_total_orders"] = "SELECT CAST(sum(total_orders) AS DOUBLE) AS total_orders FROM mart_daily_sales"
+    q["tile_delivered_orders"] = "SELECT CAST(sum(delivered_orders) AS DOUBLE) AS delivered_orders FROM mart_daily_sales"
     q["tile_total_revenue"] = "SELECT CAST(sum(payment_total) AS DOUBLE) AS total_revenue FROM mart_daily_sales"
     q["tile_monthly_orders"] = (
-        "SELECT year_month, CAST(sum(total_orders) AS BIGINT) AS total_orders FROM mart_daily_sales GROUP BY year_month"
+        "SELECT year_month, CAST(sum(total_orders) AS DOUBLE) AS total_orders FROM mart_daily_sales GROUP BY year_month"
     )
     q["tile_monthly_revenue"] = (
         "SELECT year_month, CAST(sum(payment_total) AS DOUBLE) AS revenue FROM mart_daily_sales GROUP BY year_month"
@@ -663,17 +663,17 @@ def _bodies() -> dict[str, str]:
         "GROUP BY product_category_name ORDER BY sum(item_revenue) DESC, product_category_name ASC LIMIT 10"
     )
     q["tile_top_categories_units"] = (
-        "SELECT product_category_name, CAST(sum(units_sold) AS BIGINT) AS units_sold FROM mart_product_performance "
+        "SELECT product_category_name, CAST(sum(units_sold) AS DOUBLE) AS units_sold FROM mart_product_performance "
         "GROUP BY product_category_name ORDER BY sum(units_sold) DESC, product_category_name ASC LIMIT 10"
     )
     q["tile_average_delivery_days"] = (
         f"SELECT CAST({avg2_int('delivery_days')} AS DOUBLE) AS average_delivery_days FROM fct_orders "
         "WHERE order_status = 'delivered'"
     )
-    q["tile_late_orders"] = "SELECT CAST(sum(late_orders) AS BIGINT) AS late_orders FROM mart_delivery_quality"
+    q["tile_late_orders"] = "SELECT CAST(sum(late_orders) AS DOUBLE) AS late_orders FROM mart_delivery_quality"
     q["tile_late_orders_trend"] = (
-        "SELECT year_month, CAST(sum(late_orders) AS BIGINT) AS late_orders, "
-        "CAST(sum(delivered_orders) AS BIGINT) AS delivered_orders, "
+        "SELECT year_month, CAST(sum(late_orders) AS DOUBLE) AS late_orders, "
+        "CAST(sum(delivered_orders) AS DOUBLE) AS delivered_orders, "
         f"CAST({pct2('sum(late_orders)', 'sum(delivered_orders)')} AS DOUBLE) AS late_delivery_rate_pct "
         "FROM mart_delivery_quality GROUP BY year_month"
     )
@@ -683,7 +683,7 @@ def _bodies() -> dict[str, str]:
         "failure_rate:f details:s",
     )
     q["dq_summary"] = (
-        "SELECT severity, status, CAST(count(*) AS BIGINT) AS check_count, CAST(sum(failed_rows) AS BIGINT) AS failed_rows "
+        "SELECT severity, status, CAST(count(*) AS DOUBLE) AS check_count, CAST(sum(failed_rows) AS DOUBLE) AS failed_rows "
         "FROM dq_results GROUP BY severity, status"
     )
     q["dq_failures"] = typed(
@@ -691,10 +691,10 @@ def _bodies() -> dict[str, str]:
         where="status = 'FAIL'",
     )
     q["mart_tests"] = (
-        "SELECT model, test_name, column_name, CAST(failures AS BIGINT) AS failures, "
+        "SELECT model, test_name, column_name, CAST(failures AS DOUBLE) AS failures, "
         "CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM mart_tests"
     )
-    q["layer_counts"] = "SELECT layer, table_name, CAST(row_count AS BIGINT) AS row_count FROM layer_counts"
+    q["layer_counts"] = "SELECT layer, table_name, CAST(row_count AS DOUBLE) AS row_count FROM layer_counts"
     q["tax_projection"] = (
         "SELECT order_id, order_status, CAST(order_total AS DOUBLE) AS total_amount, "
         "CAST(round(order_total * 0.15, 2) AS DOUBLE) AS tax_amount, "

@@ -7,8 +7,8 @@ checks and profiles read stored silver (see ``layers.Stored``).
 
 Every query returns ``comparable(df)``: the library result with audit
 columns (processing times, run ids, source files) dropped and types
-normalised the same way as the DuckDB oracle (integers → bigint, decimals
-→ double, dates → string).  The library functions themselves keep the
+normalised the same way as the DuckDB oracle (numbers → double; dates,
+timestamps and booleans → strings).  The library functions themselves keep the
 reference types (decimal money, int keys, dates).
 """
 
@@ -37,20 +37,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def comparable(df: DataFrame) -> DataFrame:
+    """The check-facing projection: numbers → double, dates, timestamps and
+    booleans → their SQL string form, strings unchanged; audit columns
+    dropped.  These types come out identical from Spark and DuckDB however
+    the results are fetched (Python tuples or pandas, with or without
+    NULLs); a nullable integer, for one, would otherwise arrive as float64
+    from Spark and as Int64 from DuckDB."""
     cols = []
     for field in df.schema.fields:
         if field.name in AUDIT:
             continue
         c = F.col(field.name)
         t = field.dataType
-        if isinstance(t, T.DecimalType):
+        if isinstance(t, T.NumericType):
             c = c.cast("double")
-        elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            c = c.cast("bigint")
-        elif isinstance(t, T.DateType):
-            c = c.cast("string")
         elif isinstance(t, T.TimestampType):
-            c = c.cast("timestamp_ntz")
+            c = c.cast("timestamp_ntz").cast("string")
+        elif isinstance(t, (T.DateType, T.TimestampNTZType, T.BooleanType)):
+            c = c.cast("string")
         cols.append(c.alias(field.name))
     return df.select(*cols)
 
