@@ -18,8 +18,10 @@ column pruning and filter pushdown.
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -32,6 +34,30 @@ from lakemarts.operators.cleanse import cleanse
 Provider = Callable[[str], DataFrame]
 
 SILVER_TABLES = tuple(CONTRACTS)
+
+# Which stored inputs each gold table and mart reads (for prefetching).
+GOLD_INPUTS = {
+    "dim_customers": ("customers",),
+    "dim_products": ("products",),
+    "dim_sellers": ("sellers",),
+    "dim_date": ("orders",),
+    "items_per_order": ("order_items",),
+    "payments_per_order": ("payments",),
+    "reviews_per_order": ("reviews",),
+    "fct_orders": ("orders", "customers", "order_items", "payments", "reviews"),
+    "fct_order_items": ("order_items", "orders", "customers", "products", "sellers"),
+}
+GOLD_DIMS = {
+    "fct_orders": ("dim_customers",),
+    "fct_order_items": ("dim_customers", "dim_products", "dim_sellers"),
+}
+MART_INPUTS = {
+    "mart_daily_sales": ("fct_orders", "dim_date"),
+    "mart_product_performance": ("fct_order_items", "dim_products"),
+    "mart_customer_summary": ("fct_orders", "dim_customers"),
+    "mart_delivery_quality": ("fct_orders", "dim_date", "dim_customers"),
+    "gold_order_count": ("fct_orders",),
+}
 DIMENSIONS = ("dim_customers", "dim_products", "dim_sellers", "dim_date")
 FACTS = ("fct_orders", "fct_order_items")
 GOLD_TABLES = DIMENSIONS + FACTS
@@ -46,21 +72,37 @@ class Stored:
     def __init__(self, store: str | None = None):
         self.store = store
         self._stored: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
 
     def table(self, name: str) -> DataFrame:  # pragma: no cover - overridden
         raise NotImplementedError
 
     def stored(self, name: str) -> DataFrame:
-        if name not in self._stored:
-            df = self.table(name)
-            if self.store is None:
-                self._stored[name] = df.checkpoint(eager=True)
-            else:
-                path = f"{self.store}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                self._stored[name] = df.sparkSession.read.parquet(path)
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:  # one writer per table, however many threads ask
+            if name not in self._stored:
+                df = self.table(name)
+                if self.store is None:
+                    self._stored[name] = df.checkpoint(eager=True)
+                else:
+                    path = f"{self.store}/{name}"
+                    df.write.mode("overwrite").parquet(path)
+                    self._stored[name] = df.sparkSession.read.parquet(path)
         return self._stored[name]
 
+    def prefetch(self, names: Iterable[str]) -> None:
+        """Store several independent tables as concurrent Spark jobs (the
+        scheduler interleaves their stages, so small jobs do not leave cores
+        idle one after another)."""
+        todo = [n for n in dict.fromkeys(names) if n not in self._stored]
+        if len(todo) == 1:
+            self.stored(todo[0])
+        elif todo:
+            with ThreadPoolExecutor(max_workers=min(len(todo), 8)) as pool:
+                list(pool.map(self.stored, todo))
+
 
 class Silver(Stored):
     def __init__(self, raw: Provider, store: str | None = None):
@@ -185,6 +227,20 @@ class Lake:
         self.gold = Gold(self.silver.stored, dims=lambda name: self.gold.stored(name), store=where("gold"))
         self.marts = Marts(self.gold.stored, store=where("marts"))
 
+    def prefetch_silver(self, names: Iterable[str]) -> None:
+        self.silver.prefetch(names)
+
+    def prefetch_gold(self, names: Iterable[str]) -> None:
+        names = list(names)
+        self.silver.prefetch(s for n in names for s in GOLD_INPUTS.get(n, ()))
+        self.gold.prefetch(d for n in names for d in GOLD_DIMS.get(n, ()))
+        self.gold.prefetch(names)
+
+    def prefetch_marts(self, names: Iterable[str]) -> None:
+        names = list(names)
+        self.prefetch_gold(g for n in names for g in MART_INPUTS.get(n, ()))
+        self.marts.prefetch(names)
+
     @classmethod
     def from_driver_tables(cls, spark, sf_dir: str) -> "Lake":
         from lakemarts.session import ensure_checkpoint_dir

@@ -28,7 +28,7 @@ from lakemarts.operators import quality as Q
 from lakemarts.operators import tiles
 from lakemarts.operators.cleanse import clean_columns, row_filter
 from lakemarts.operators.dedup import duplicate_keys
-from lakemarts.plans.layers import GOLD_TABLES, SILVER_TABLES, Lake
+from lakemarts.plans.layers import GOLD_INPUTS, GOLD_DIMS, GOLD_TABLES, MART_INPUTS, SILVER_TABLES, Lake
 from lakemarts.plans.oracle import ORPHAN_QUERIES
 
 AUDIT = {"_silver_processed_at", "_gold_processed_at", "_source_file", "_ingested_at", "run_id", "checked_at"}
@@ -76,6 +76,7 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 
 def quality_results(lk: Lake) -> DataFrame:
+    lk.prefetch_silver(SILVER_TABLES)
     run_id, checked_at = Q.new_run()
     checks = Q.quality_checks(lk.silver.stored, lk.raw("reviews"))
     return Q.finish_results(checks, run_id, checked_at)
@@ -87,6 +88,7 @@ def layer_counts(lk: Lake) -> DataFrame:
             F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"
         )
 
+    lk.prefetch_gold(GOLD_TABLES)
     parts = [count("bronze", f"{t}_raw", lk.raw(t)) for t in SILVER_TABLES]
     parts += [count("silver", t, lk.silver.stored(t)) for t in SILVER_TABLES]
     parts += [count("gold", t, lk.gold.stored(t)) for t in GOLD_TABLES]
@@ -109,6 +111,7 @@ def _registry() -> dict[str, Query]:
     for name, (child, parent, key) in ORPHAN_QUERIES.items():
         def orphans(s, d, child=child, parent=parent, key=key):
             lk = lake(s, d)
+            lk.prefetch_silver([child, parent])
             return P.orphans(lk.silver.stored(child), lk.silver.stored(parent), key)
 
         q[name] = orphans
@@ -116,21 +119,38 @@ def _registry() -> dict[str, Query]:
     for t in SILVER_TABLES:
         def prof(s, d, t=t):
             lk = lake(s, d)
+            lk.prefetch_silver([t] + [p for c, p, _ in P.ORPHAN_RELATIONS if c == t])
             return P.profile(t, lk.raw(t), lk.silver.stored)
 
         q[f"profile_{t}"] = prof
 
     for name in ("dim_customers", "dim_products", "dim_sellers", "dim_date",
                  "items_per_order", "payments_per_order", "reviews_per_order", "fct_orders", "fct_order_items"):
-        q[name] = lambda s, d, name=name: lake(s, d).gold.table(name)
+        def gold(s, d, name=name):
+            lk = lake(s, d)
+            lk.prefetch_silver(GOLD_INPUTS[name])
+            lk.gold.prefetch(GOLD_DIMS.get(name, ()))
+            return lk.gold.table(name)
+
+        q[name] = gold
 
     for name in ("mart_daily_sales", "mart_product_performance", "mart_customer_summary",
                  "mart_delivery_quality", "gold_order_count"):
-        q[name] = lambda s, d, name=name: lake(s, d).marts.table(name)
+        def mart(s, d, name=name):
+            lk = lake(s, d)
+            lk.prefetch_gold(MART_INPUTS[name])
+            return lk.marts.table(name)
 
-    daily = lambda s, d: lake(s, d).marts.stored("mart_daily_sales")
-    products = lambda s, d: lake(s, d).marts.stored("mart_product_performance")
-    delivery = lambda s, d: lake(s, d).marts.stored("mart_delivery_quality")
+        q[name] = mart
+
+    def stored_mart(s, d, name):
+        lk = lake(s, d)
+        lk.prefetch_marts([name])
+        return lk.marts.stored(name)
+
+    daily = lambda s, d: stored_mart(s, d, "mart_daily_sales")
+    products = lambda s, d: stored_mart(s, d, "mart_product_performance")
+    delivery = lambda s, d: stored_mart(s, d, "mart_delivery_quality")
     q["tile_total_orders"] = lambda s, d: tiles.total_orders(daily(s, d))
     q["tile_delivered_orders"] = lambda s, d: tiles.delivered_orders(daily(s, d))
     q["tile_total_revenue"] = lambda s, d: tiles.total_revenue(daily(s, d))
@@ -145,7 +165,12 @@ def _registry() -> dict[str, Query]:
     q["dq_results"] = lambda s, d: quality_results(lake(s, d))
     q["dq_summary"] = lambda s, d: Q.summary_report(quality_results(lake(s, d)))
     q["dq_failures"] = lambda s, d: Q.failure_report(quality_results(lake(s, d)))
-    q["mart_tests"] = lambda s, d: Q.mart_tests(lake(s, d).marts.stored)
+    def mart_tests(s, d):
+        lk = lake(s, d)
+        lk.prefetch_marts(Q.MART_TESTS)
+        return Q.mart_tests(lk.marts.stored)
+
+    q["mart_tests"] = mart_tests
     q["layer_counts"] = lambda s, d: layer_counts(lake(s, d))
     q["tax_projection"] = lambda s, d: tiles.tax_projection(lake(s, d).gold.stored("fct_orders"))
     return q
