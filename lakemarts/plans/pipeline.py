@@ -11,6 +11,8 @@ published under their real names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -57,6 +59,14 @@ class RunReport:
     marts: dict[str, int] = field(default_factory=dict)
 
 
+def concurrently(tasks: dict[str, Callable[[], int]]) -> dict[str, int]:
+    """Run independent table writes as concurrent Spark jobs; the first
+    failure is re-raised after all have finished."""
+    with ThreadPoolExecutor(max_workers=min(len(tasks), 8)) as pool:
+        futures = {name: pool.submit(task) for name, task in tasks.items()}
+        return {name: future.result() for name, future in futures.items()}
+
+
 def bronze_stage(catalog: Catalog, raw_dir: str, report: RunReport) -> DataFrame:
     summary = ingest_all(catalog, raw_dir)
     catalog.overwrite(summary, "monitoring", INGEST_TABLE)
@@ -72,9 +82,11 @@ def bronze_stage(catalog: Catalog, raw_dir: str, report: RunReport) -> DataFrame
 
 def silver_stage(catalog: Catalog, report: RunReport) -> None:
     bronze = catalog.provider("bronze")
-    for name, contract in CONTRACTS.items():
-        df = cleanse(spread(bronze(contract.raw)), contract)
-        report.silver[name] = catalog.write_and_count(df, "silver", name)
+    report.silver = concurrently({
+        name: (lambda name=name, contract=contract: catalog.write_and_count(
+            cleanse(spread(bronze(contract.raw)), contract), "silver", name))
+        for name, contract in CONTRACTS.items()
+    })
     # Profiles read the written tables, not the cleansing plans again.
     silver = catalog.provider("silver")
     profiles = reduce(
@@ -110,8 +122,9 @@ def validate_fact(df: DataFrame, fact: str, expected_rows: int) -> None:
 def gold_stage(catalog: Catalog, report: RunReport) -> None:
     silver = catalog.provider("silver")
     builder = Gold(silver)
-    for dim in DIMENSIONS:
-        report.gold[dim] = catalog.write_and_count(builder.table(dim), "gold", dim)
+    report.gold.update(concurrently({
+        dim: (lambda dim=dim: catalog.write_and_count(builder.table(dim), "gold", dim)) for dim in DIMENSIONS
+    }))
     # The gate passed on these silver tables (not-null, uniqueness and the
     # six foreign keys are CRITICAL), so the facts need no dimension joins.
     facts = Gold(silver, dims=catalog.provider("gold"), integrity_proven=True)
@@ -126,8 +139,9 @@ def gold_stage(catalog: Catalog, report: RunReport) -> None:
 
 def mart_stage(catalog: Catalog, report: RunReport) -> DataFrame:
     marts = Marts(catalog.provider("gold"))
-    for mart in MART_TABLES:
-        report.marts[mart] = catalog.write_and_count(marts.table(mart), "marts", mart)
+    report.marts = concurrently({
+        mart: (lambda mart=mart: catalog.write_and_count(marts.table(mart), "marts", mart)) for mart in MART_TABLES
+    })
     catalog.create_view(
         "marts", ORDER_COUNT_VIEW, f"SELECT count(*) AS order_count FROM {catalog.name('gold', 'fct_orders')}"
     )

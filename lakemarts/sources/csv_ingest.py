@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,7 +117,9 @@ def ingest_all(catalog: Catalog, raw_dir: str, files: dict[str, str] = SOURCE_FI
     The summary holds one row per dataset (seven), built from the counts of
     the written tables."""
     frames = open_sources(catalog.spark, raw_dir, files)
-    rows = [ingest(catalog, dataset, df, files[dataset]) for dataset, df in frames.items()]
+    # Datasets are independent: their parse-and-write jobs run concurrently.
+    with ThreadPoolExecutor(max_workers=min(len(frames), 8) or 1) as pool:
+        rows = list(pool.map(lambda item: ingest(catalog, item[0], item[1], files[item[0]]), frames.items()))
     if not rows:
         raise ValueError("no dataset was ingested")
     return catalog.spark.createDataFrame(rows, SUMMARY_SCHEMA).orderBy("dataset_name")
