@@ -3,17 +3,15 @@
 Each layer reads its inputs through a *provider* ``name -> DataFrame``.  In
 the staged pipeline the providers are catalog tables written by the previous
 stage.  For ad-hoc queries (``Lake``) a layer reads the layer below through
-``stored``: the table computed once per session and saved with a reliable
-``checkpoint()`` in the cluster's checkpoint folder.  Either way every layer
-is a lineage cut, each layer's plan is built and run once, and a query plan
-shows exactly one stage of work.
-
-``stored`` writes the layer table once as Parquet under the session's
-checkpoint folder (the shared folder a cluster names in
-``spark.checkpoint.dir``) and reads it back.  Unlike an RDD checkpoint this
-computes the plan once (a reliable RDD checkpoint recomputes it for the
-file write unless it is cached) and the read-back is a Parquet scan with
-column pruning and filter pushdown.
+``stored``: the table computed once per session, written as Parquet under
+the session's checkpoint folder (the shared folder a cluster names in
+``spark.checkpoint.dir``) and read back.  Either way every layer is a
+lineage cut, each layer's plan is built and run once, and a query plan shows
+exactly one stage of work.
+
+Unlike a reliable RDD checkpoint, which recomputes the plan for the file
+write unless it is cached, the Parquet copy computes it once, and reading it
+back is a scan with column pruning and filter pushdown.
 """
 
 from __future__ import annotations
