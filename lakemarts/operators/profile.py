@@ -67,13 +67,21 @@ def profile(table: str, raw: DataFrame, silver) -> DataFrame:
         raw_metrics["failed_casts"] = casts
     parts = [_metrics(raw.agg(*[v.alias(k) for k, v in raw_metrics.items()]), table, list(raw_metrics))]
 
-    silver_metrics = {"silver_rows": F.count(F.lit(1)), "null_keys": count_when(any_null(contract.key))}
-    for name, condition in EXTRA_METRICS.get(table, {}).items():
-        silver_metrics[name] = count_when(condition())
-    parts.append(_metrics(df.agg(*[v.alias(k) for k, v in silver_metrics.items()]), table, list(silver_metrics)))
-
-    dups = df.groupBy(*contract.key).count().agg(count_when(F.col("count") > 1).alias("duplicate_keys"))
-    parts.append(_metrics(dups, table, ["duplicate_keys"]))
+    # One pass grouped by the business key yields rows, NULL keys, duplicate
+    # keys and the table's extra conditions (partial aggregation map-side).
+    extras = EXTRA_METRICS.get(table, {})
+    per_key = df.groupBy(*contract.key).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[count_when(condition()).alias(name) for name, condition in extras.items()],
+    )
+    n = F.col("n")
+    silver_metrics = {
+        "silver_rows": F.sum(n),
+        "null_keys": F.sum(F.when(any_null(contract.key), n).otherwise(0)),
+        **{name: F.sum(name) for name in extras},
+        "duplicate_keys": count_when(n > 1),
+    }
+    parts.append(_metrics(per_key.agg(*[v.alias(k) for k, v in silver_metrics.items()]), table, list(silver_metrics)))
 
     for child, parent, key in ORPHAN_RELATIONS:
         if child != table:
