@@ -84,9 +84,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = stored(
-            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large"
-        )
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

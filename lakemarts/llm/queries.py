@@ -5,28 +5,138 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemarts.llm import bpe, chat, licenses
 from lakemarts.llm.common import table
+from lakemarts.llm.decontaminate import overlaps
+from lakemarts.llm.embeddings import near_vectors
+from lakemarts.llm.langid import languages
+from lakemarts.llm.pii import replace_pii
 from lakemarts.llm.simhash import simhash_components
+from lakemarts.llm.substring import repeated_passages
 from lakemarts.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The conversation that op7 adds: both turns say what a template might write.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.vocabulary(spark, public_tokenizers.path(VOCABULARY))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
+    digests = encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids",
+    )
+    return bpe.decode(digests, ranks, public_tokenizers.PATTERN).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.array_join(F.array_sort(F.array_distinct("pii_spans.kind")), ",")
+    return docs.select("doc_id", "text", F.size("pii_spans").alias("n_entities"), kinds.alias("kinds"))
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    template = chat.Template()
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"),
+    )
+    out = chat.formatted(rows.unionByName(extra), template)
+    read = out.select(
+        "conv_id", "valid", "formatted", chat.read_back(F.col("formatted"), template).alias("turns"),
+        chat.loss_text(F.col("segments"), template).alias("loss"),
+    )
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"), "valid",
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", licenses.scan(docs, licenses.rare_word_index(docs)).alias("s"))
+    return found.select(
+        "doc_id", "s.n_words", F.size("s.places").cast("long").alias("n_base"),
+        F.array_min("s.places").alias("first_word"), F.array_max("s.places").alias("last_word"),
+        F.array_join("s.base_labels", ",").alias("base_labels"), F.array_join("s.labels", ",").alias("labels"),
+        F.col("s.score").alias("score"),
+    )
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", F.size("tiles").alias("n_tiles"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_chat_format": _OP7_SQL}
+
+
+# The template's strings and escapes, written out.
+_OP7_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), steps AS (
+  SELECT *, coalesce(lag(role) OVER w, '') AS before, lead(role) OVER w IS NULL AS is_last,
+    replace(replace(replace(replace(role, '\', '\0'), '<turn>', '\1'), '<text>', '\2'),
+      '</turn>' || chr(10), '\3') AS role_out,
+    replace(replace(replace(replace(text, '\', '\0'), '<turn>', '\1'), '<text>', '\2'),
+      '</turn>' || chr(10), '\3') AS text_out
+  FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), conversations_out AS (
+  SELECT conv_id,
+    count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(length('<turn>') + length(role_out) + length('<text>') + length(text_out) + length('</turn>') + 1)
+      AS formatted_chars,
+    bool_and((before, role) IN (('', 'system'), ('', 'user'), ('system', 'user'), ('user', 'assistant'),
+      ('assistant', 'user')) AND (NOT is_last OR role IN ('user', 'assistant'))) AS valid
+  FROM steps GROUP BY conv_id
+)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256,
+  CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars, valid
+FROM conversations_out
+"""
