@@ -16,9 +16,16 @@ from pyspark.sql import functions as F
 _PACKAGE = Path(__file__).resolve().parent.parent
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package (once a session)."""
+    """Give the executors' Python workers this package (once a session), and
+    let them take whole texts in batches that fit their memory: 1000 rows
+    where the session still has Spark's default of 10,000."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "1000")
     if getattr(sc, "_lakemarts_shipped", False):
         return
     folder = tempfile.mkdtemp(prefix="lakemarts-")  # on the driver only; Spark serves the file

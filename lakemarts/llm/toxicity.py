@@ -33,6 +33,8 @@ from lakemarts.llm.common import ship, stored
 #: Labelled rows that the model is fitted on, at most.
 FIT_ROWS = 8000
 FOLDS = 5
+#: Sampled rows that a feature occurs in at least.
+LEAST_ROWS = 3
 
 
 def held_out(doc_id: str = "doc_id", folds: int = FOLDS) -> Column:
@@ -72,12 +74,15 @@ def fit_model(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows
         y, feature = np.nonzero(held)
         yield pd.DataFrame({"label": y, "feature": feature, "n": held[y, feature]})
 
+    # no feature of fewer rows can be clear enough; this leaves most of them out
     counts = (
         sample.select("text", "label").mapInPandas(count, "label int, feature int, n long")
-        .groupBy("label", "feature").agg(F.sum("n").alias("n")).toPandas()  # two rows a feature at most
+        .groupBy("feature")
+        .agg(F.sum(F.col("n") * (1 - F.col("label"))).alias("n0"), F.sum(F.col("n") * F.col("label")).alias("n1"))
+        .where(F.col("n0") + F.col("n1") >= LEAST_ROWS).toPandas()  # a row per feature of the hash space at most
     )
     held = np.zeros((2, core.SIZE), dtype=np.int64)
-    held[counts["label"], counts["feature"]] = counts["n"]
+    held[0, counts["feature"]], held[1, counts["feature"]] = counts["n0"], counts["n1"]
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     r = core.ratios(held, sizes.get(0, 0), sizes.get(1, 0))
     wanted = spark.sparkContext.broadcast((r != 0).reshape(len(core.LEVELS), -1).any(axis=0))
