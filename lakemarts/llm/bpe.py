@@ -45,6 +45,26 @@ def _replaced(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([batch.column(f) for f in kept] + [column], names=[*kept, name])
 
 
+def _ids(tokenizer: bpe_core.Tokenizer, texts: pa.Array) -> pa.Array:
+    found = list(tokenizer.encode_all(t.as_py() for t in texts))
+    ends = np.cumsum([0, *map(len, found)])
+    if ends[-1] >= 1 << 31:
+        raise ValueError("a batch has too many tokens; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    values = np.concatenate(found).astype(np.int32) if found else np.empty(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
+def _bytes(tokenizer: bpe_core.Tokenizer, ids: pa.Array) -> pa.Array:
+    decoded = [
+        None if row.values is None else tokenizer.decode_flat(row.values.to_numpy(zero_copy_only=False)).tobytes()
+        for row in ids
+    ]
+    return pa.array(decoded, pa.binary())
+
+
+_IDS = T.ArrayType(T.IntegerType())
+
+
 def encode(docs: DataFrame, ranks: Broadcast, pattern: str, text: str = "text") -> DataFrame:
     """The documents with a column ``ids`` (array of int)."""
     ship(docs.sparkSession)
@@ -52,15 +72,9 @@ def encode(docs: DataFrame, ranks: Broadcast, pattern: str, text: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = bpe_core.loaded(ranks.value, pattern)
         for batch in batches:
-            texts = (t.as_py() for t in batch.column(text))
-            found = list(tokenizer.encode_all(texts))
-            ends = np.cumsum([0, *map(len, found)])
-            if ends[-1] >= 1 << 31:
-                raise ValueError("a batch has too many tokens; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-            values = np.concatenate(found).astype(np.int32) if found else np.empty(0, dtype=np.int32)
-            yield _replaced(batch, "ids", pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)))
+            yield _replaced(batch, "ids", _ids(tokenizer, batch.column(text)))
 
-    return docs.mapInArrow(run, _with(docs.schema, "ids", T.ArrayType(T.IntegerType())))
+    return docs.mapInArrow(run, _with(docs.schema, "ids", _IDS))
 
 
 def decode(encoded: DataFrame, ranks: Broadcast, pattern: str, ids: str = "ids") -> DataFrame:
@@ -70,11 +84,20 @@ def decode(encoded: DataFrame, ranks: Broadcast, pattern: str, ids: str = "ids")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = bpe_core.loaded(ranks.value, pattern)
         for batch in batches:
-            column = batch.column(ids)
-            decoded = [
-                None if row.values is None else tokenizer.decode_flat(row.values.to_numpy(zero_copy_only=False)).tobytes()
-                for row in column
-            ]
-            yield _replaced(batch, "decoded", pa.array(decoded, pa.binary()))
+            yield _replaced(batch, "decoded", _bytes(tokenizer, batch.column(ids)))
 
     return encoded.mapInArrow(run, _with(encoded.schema, "decoded", T.BinaryType()))
+
+
+def round_trip(docs: DataFrame, ranks: Broadcast, pattern: str, text: str = "text") -> DataFrame:
+    """The documents with ``ids`` and, from these alone, ``decoded``: both
+    steps in one Python worker, which then holds the vocabulary once."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = bpe_core.loaded(ranks.value, pattern)
+        for batch in batches:
+            ids = _ids(tokenizer, batch.column(text))
+            yield _replaced(_replaced(batch, "ids", ids), "decoded", _bytes(tokenizer, ids))
+
+    return docs.mapInArrow(run, _with(_with(docs.schema, "ids", _IDS), "decoded", T.BinaryType()))

@@ -24,7 +24,7 @@ import regex
 TOGETHER = 64
 ROWS = 1 << 14
 #: Pieces whose tokens are remembered before the memory is cleared.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 #: Pieces of a text looked at a time.
 CHUNK = 1 << 18
 _ID_BITS = 20

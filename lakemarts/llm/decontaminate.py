@@ -80,8 +80,8 @@ def overlaps(
     found = []
     for block in _blocks(benchmark, block_words):
         pairs = docs.select("doc_id", _matches(docs, block, coverage, F.col("text")).alias("pairs"))
-        ids = pd.DataFrame({"item": range(len(block)), "item_id": pd.Series([i for i, _ in block], dtype="Int64")})
-        names = docs.sparkSession.createDataFrame(ids, "item int, item_id long")
+        kind = benchmark.schema["item_id"].dataType.simpleString()
+        names = docs.sparkSession.createDataFrame([(k, i) for k, (i, _) in enumerate(block)], f"item int, item_id {kind}")
         found.append(
             pairs.select("doc_id", F.explode("pairs").alias("p"))
             .select("doc_id", "p.item", "p.coverage", "p.tiles")

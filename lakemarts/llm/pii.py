@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemarts.llm import pii_core as core
-from lakemarts.llm.common import ship, stored
+from lakemarts.llm.common import fresh, ship, stored
 
 #: Entities with a later attempt that every task may hold.
 HELD_ENTITIES = 100_000
@@ -102,6 +102,7 @@ def replace_pii(
     ship(spark)
     docs = docs.drop("pii_spans")
     later = stored(later_attempts(entities(docs, text), key), "later")
+    pii, at_name, own_name = (fresh(docs, c) for c in ("_pii", "_at", "_own"))
     result = f"struct<{text} string, pii_spans array<struct<kind string, start int, stop int>>>"
 
     def rewritten(t, attempts):
@@ -115,7 +116,7 @@ def replace_pii(
         def rewrite(texts: pd.Series) -> pd.DataFrame:
             return pd.DataFrame([rewritten(t, held.value) for t in texts], columns=[text, "pii_spans"])
 
-        out = docs.withColumn("_pii", rewrite(text))
+        out = docs.withColumn(pii, rewrite(text))
     else:
 
         @F.pandas_udf(_ENTITIES)
@@ -126,10 +127,10 @@ def replace_pii(
 
         # a document's own losers, met by the hash of its text; copies share them
         at = F.xxhash64(text)
-        mentions = docs.select(at.alias("_at"), F.explode(named(text)).alias("e")).distinct()
+        mentions = docs.select(at.alias(at_name), F.explode(named(text)).alias("e")).distinct()
         own = (
-            mentions.select("_at", "e.kind", "e.entity").join(later, ["kind", "entity"])
-            .groupBy("_at").agg(F.collect_list(F.struct("kind", "entity", "attempt")).alias("_own"))
+            mentions.select(at_name, "e.kind", "e.entity").join(later, ["kind", "entity"])
+            .groupBy(at_name).agg(F.collect_list(F.struct("kind", "entity", "attempt")).alias(own_name))
         )
 
         @F.pandas_udf(result)
@@ -143,6 +144,6 @@ def replace_pii(
                     columns=[text, "pii_spans"],
                 )
 
-        out = docs.withColumn("_at", at).join(own, "_at", "left").withColumn("_pii", rewrite_own(text, "_own"))
-    kept = [F.col(f"_pii.{c}").alias(c) if c == text else F.col(c) for c in docs.columns]
-    return out.select(*kept, F.col("_pii.pii_spans").alias("pii_spans"))
+        out = docs.withColumn(at_name, at).join(own, at_name, "left").withColumn(pii, rewrite_own(text, own_name))
+    kept = [F.col(f"{pii}.{text}").alias(c) if c == text else F.col(c) for c in docs.columns]
+    return out.select(*kept, F.col(f"{pii}.pii_spans").alias("pii_spans"))

@@ -27,10 +27,10 @@ import itertools
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemarts.llm.common import components, ship, stored
+from lakemarts.llm.common import components, fresh, ship, stored
 from lakemarts.llm.simhash_core import covering_masks, fingerprint
 
 SHINGLE_WORDS = 4
@@ -43,8 +43,7 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)``; ``fp`` holds the 64 bits as a signed long."""
+def _simhash(docs: DataFrame, shingle: int) -> Column:
     ship(docs.sparkSession)
 
     @F.pandas_udf("long")
@@ -52,7 +51,12 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
         found = np.fromiter((fingerprint(t, shingle) for t in texts), dtype=np.uint64, count=len(texts))
         return pd.Series(found.view(np.int64))
 
-    return docs.select("doc_id", simhash("text").alias("fp"))
+    return simhash("text")
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """``(doc_id, fp)``; ``fp`` holds the 64 bits as a signed long."""
+    return docs.select("doc_id", _simhash(docs, shingle).alias("fp"))
 
 
 def _ball(radius: int, bits: int = 64) -> list[int]:
@@ -137,17 +141,9 @@ def keep_first(docs: DataFrame, **parameters) -> DataFrame:
         rest = orphans.join(groups.withColumnRenamed("node", "fp"), "fp", "left").where(
             F.col("label").isNull() | (F.col("label") == F.col("fp"))
         )
-        ship(docs.sparkSession)
-        shingle = parameters.get("shingle", SHINGLE_WORDS)
-
-        @F.pandas_udf("long")
-        def simhash(texts: pd.Series) -> pd.Series:
-            return pd.Series(
-                np.fromiter((fingerprint(t, shingle) for t in texts), dtype=np.uint64, count=len(texts)).view(np.int64)
-            )
-
-        unnamed = nameless.withColumn("_fp", simhash("text")).join(
-            rest.select(F.col("fp").alias("_fp")), "_fp", "left_semi"
+        fp = fresh(docs, "_fp")
+        unnamed = nameless.withColumn(fp, _simhash(docs, parameters.get("shingle", SHINGLE_WORDS))).join(
+            rest.select(F.col("fp").alias(fp)), fp, "left_semi"
         )
-        rows = rows.unionByName(unnamed.dropDuplicates(["_fp"]).select(*docs.columns))
+        rows = rows.unionByName(unnamed.dropDuplicates([fp]).select(*docs.columns))
     return rows.select(*docs.columns)
