@@ -1,0 +1,216 @@
+"""The operators' cores against brute force, without Spark."""
+
+import base64
+import itertools
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+
+from lakemarts.llm import (
+    bpe_core, langid_core, licenses_core, nbsvm_core, pii_core, simhash_core, substring_core, tiling_core,
+)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        return bpe_core.Tokenizer(f.read(), public_tokenizers.PATTERN)
+
+
+def test_bpe_equals_the_reference_library_and_round_trips(tokenizer):
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokenizer.ranks, special_tokens={})
+    rnd = random.Random(3)
+    alphabet = "ab \n\t\x1c\x85 ​еñ漢字'sll123!?%\U0001f600<|endoftext|>\r᠎"
+    texts = ["", " ", "a" * 400, "é" * 100, "x" * 63 + "y", "x" * 64, "x" * 65, "<|endoftext|>"]
+    texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 90))) for _ in range(400)]
+    texts += ["".join(rnd.choice("etaoinshr") for _ in range(rnd.randint(1, 200))) for _ in range(200)]
+    for text, ids in zip(texts, tokenizer.encode_all(texts), strict=True):
+        assert ids.tolist() == own.encode_ordinary(text), text
+        assert tokenizer.decode_flat(ids).tobytes() == text.encode()
+    assert [len(x) for x in tokenizer.encode_all([None, "", None])] == [0, 0, 0]
+
+
+def test_bpe_merges_rows_and_single_pieces_alike(tokenizer, monkeypatch):
+    rnd = random.Random(5)
+    pieces = [bytes(rnd.choice(b"thein gao\xc3\xa9") for _ in range(rnd.randint(2, 64))) for _ in range(300)]
+    order, ids, counts = tokenizer.merge(pieces)
+    parts = dict(zip(order, np.split(ids, np.cumsum(counts)[:-1])))
+    for k, piece in enumerate(pieces):
+        if piece not in tokenizer.ranks:
+            assert parts[k].tolist() == tokenizer._merge_alone(piece)
+
+
+def test_bpe_very_long_texts_in_pieces(tokenizer, monkeypatch):
+    text = "some words, 12 of them! " * 500
+    whole = next(tokenizer.encode_all([text])).tolist()
+    monkeypatch.setattr(bpe_core, "CHUNK", 100)
+    assert next(tokenizer.encode_all([text])).tolist() == whole
+
+
+def brute_fingerprint(text, n=4):
+    w = simhash_core.words(text or "")
+    if not w:
+        return 0
+    grams = [b" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))]
+    h = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_fingerprints(monkeypatch):
+    rnd = random.Random(2)
+    texts = [None, "", " \t ", "one", "A b C", "ÀB àb"] + [
+        " ".join(rnd.choice("abcdefg") for _ in range(rnd.randint(1, 40))) for _ in range(50)
+    ]
+    for chunk in (1 << 18, 3):
+        monkeypatch.setattr(simhash_core, "CHUNK", chunk)
+        assert [simhash_core.fingerprint(t) for t in texts] == [brute_fingerprint(t) for t in texts]
+
+
+def test_every_pair_within_the_radius_shares_a_masked_value():
+    masks = simhash_core.covering_masks(4)
+    assert len(masks) == 31
+    rnd = random.Random(1)
+    for _ in range(20_000):
+        flip = sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 4)))
+        assert any(flip & m == 0 for m in masks)
+    small = simhash_core.covering_masks(2, bits=9)
+    for n in (0, 1, 2):
+        for bits in itertools.combinations(range(9), n):
+            assert any(sum(1 << b for b in bits) & m == 0 for m in small)
+
+
+@pytest.mark.parametrize("values", [[3, 1, 2, 9, 8, 7, 5, 6, 4], [1] * 30, [1, 2] * 20, list(range(40))])
+def test_compact_windows_hold_every_run_once(values):
+    v, width = np.array(values, dtype=np.uint64), 5
+    nodes = substring_core.compact_windows(v, width, np.ones(len(v), dtype=bool)).tolist()
+    for a in range(len(v)):
+        for b in range(a + width - 1, len(v)):
+            holding = [n for n in nodes if n[0] <= a <= n[1] <= b <= n[2]]
+            assert len(holding) == 1 and v[holding[0][1]] == v[a : b + 1].min()
+
+
+def test_word_hashes_tell_words_apart(monkeypatch):
+    text = "The  quick\tbrown\nfox the THE quicK é É"
+    h = substring_core.word_hashes(text)
+    words = simhash_core.words(text)
+    assert len(h) == len(words)
+    assert all((a == b) == (x == y) for (a, x), (b, y) in itertools.product(zip(words, h), repeat=2))
+    monkeypatch.setattr(substring_core, "CHUNK", 7)
+    assert substring_core.word_hashes(text).tolist() == h.tolist()
+    assert len(substring_core.word_hashes(None)) == len(substring_core.word_hashes(" \n ")) == 0
+
+
+def test_passages_are_verified_with_edits_and_shifts():
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    passage = [word() for _ in range(80)]
+    edited = passage[:40] + ["edit"] + passage[41:]
+    x = substring_core.shingles(" ".join([word() for _ in range(30)] + passage))
+    y = substring_core.shingles(" ".join([word() for _ in range(7)] + edited + [word() for _ in range(9)]))
+    assert substring_core.verify(x, y, [(35, 12)]) == [(30, 110, 7, 87)]
+    short = substring_core.shingles(" ".join([word() for _ in range(7)] + passage[:49]))
+    assert substring_core.verify(x, short, [(35, 12)]) == []
+
+
+def test_tiling_marks_the_longest_matches_and_finds_reordered_parts():
+    item = list(range(30))
+    text = [99, *range(15, 30), 98, *range(15), 97]
+    assert sorted(tiling_core.greedy_tiles(item, text)) == [(0, 17, 15), (15, 1, 15)]
+    assert tiling_core.greedy_tiles(item, [-1] * 50) == []
+    assert tiling_core.greedy_tiles([1, 2], [1, 2]) == []  # shorter than a tile
+    rnd = random.Random(9)
+    for _ in range(200):
+        item = [rnd.randint(0, 3) for _ in range(rnd.randint(5, 30))]
+        text = [rnd.randint(0, 3) for _ in range(rnd.randint(5, 60))]
+        tiles = tiling_core.greedy_tiles(item, text)
+        for side, seq in ((0, item), (1, text)):
+            places = [p for t in tiles for p in range(t[side], t[side] + t[2])]
+            assert len(places) == len(set(places)) and all(0 <= p < len(seq) for p in places)
+        assert all(item[i : i + n] == text[t : t + n] and n >= 5 for i, t, n in tiles)
+        free_i = [None if any(i <= k < i + n for i, _, n in tiles) else v for k, v in enumerate(item)]
+        free_t = [None if any(t <= k < t + n for _, t, n in tiles) else v for k, v in enumerate(text)]
+        left = {tuple(free_i[k : k + 5]) for k in range(len(item) - 4) if None not in free_i[k : k + 5]}
+        assert not left & {tuple(free_t[k : k + 5]) for k in range(len(text) - 4)}
+
+
+def test_items_cover_reordered_and_repunctuated_passages():
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    items = tiling_core.Items([item, "too short", None])
+    moved = "x Eta, theta iota kappa lambda MU y alpha beta gamma delta epsilon zeta z"
+    [(k, share, tiles)] = items.matches(moved, 0.6)
+    assert (k, share, tiles) == (0, 1.0, [(0, 8, 6), (6, 1, 6)])
+    assert items.matches("alpha beta gamma delta epsilon", 0.6) == []
+    assert items.matches(None, 0.6) == items.matches("", 0.6) == items.matches("too short", 0.6) == []
+
+
+def test_pii_keeps_kind_format_and_identity():
+    key = b"k"
+    text = (
+        "Write a.b@mail.example.com or A.B@MAIL.EXAMPLE.COM, call +1 (212) 555-0123, card 4111 1111 1111 1111, "
+        "host 10.20.30.40, SSN 123-45-6789, token = \"2abc3ff2ca8fb1e4c565a0eb63815530a948bdde\". "
+        "Mrs. Anna Schmidt met Mr. Otto Kern; Frau Anna Schmidt left. Госпожа Анна Петрова here. Version 2.0 in 2024."
+    )
+    new, spans = pii_core.replace(text, key, {})
+    kinds = [k for k, _, _ in spans]
+    assert kinds == ["email", "email", "phone", "card", "ip", "ssn", "secret", "namef", "namem", "namef", "namef"]
+    shown = [new[a:b] for _, a, b in spans]
+    assert shown[0].upper() == shown[1] and shown[7] == shown[9] and shown[7] != shown[8]
+    assert shown[2][:4] == "+1 (" and "555" in shown[2] and len(shown[2]) == len("+1 (212) 555-0123")
+    assert pii_core._luhn(shown[3].replace(" ", "")) == 0 and shown[3].count(" ") == 3
+    assert set(shown[6]) <= set("0123456789abcdef") and len(shown[6]) == 40
+    assert all("Ѐ" <= c <= "ӿ" or c == " " for c in shown[10])
+    assert shown[7].split()[0] in pii_core.GIVEN["latin", "f"] and shown[8].split()[0] in pii_core.GIVEN["latin", "m"]
+    assert new.endswith("Version 2.0 in 2024.") and "Schmidt" not in new
+    assert pii_core.replace(text, key, {}) == (new, spans) != pii_core.replace(text, b"other", {})
+    assert pii_core.replace(None, key, {}) == (None, []) and pii_core.replace("", key, {}) == ("", [])
+    assert pii_core.find("plain words only") == []
+
+
+def test_toxicity_features_do_not_depend_on_chunks(monkeypatch):
+    text = "You are Stupid, stupid, stupid and more. " * 20
+    whole = nbsvm_core.features(text).tolist()
+    monkeypatch.setattr(nbsvm_core, "CHUNK", 50)
+    assert nbsvm_core.features(text).tolist() == whole
+    assert len(nbsvm_core.features(None)) == len(nbsvm_core.features("")) == 0
+    w, b = nbsvm_core.fit([], np.zeros(0), np.zeros(nbsvm_core.SIZE))
+    assert not w.any() and nbsvm_core.score(nbsvm_core.features(""), w, b) < 0.5
+
+
+def test_language_ngrams_do_not_depend_on_chunks(monkeypatch):
+    text = "Straße und Weg, 12 Häuser! " * 9
+    codes, counts = langid_core.ngrams(text)
+    monkeypatch.setattr(langid_core, "CHUNK", 11)
+    again = langid_core.ngrams(text)
+    assert codes.tolist() == again[0].tolist() and counts.tolist() == again[1].tolist()
+    assert len(langid_core.ngrams("12 !?")[0]) == len(langid_core.ngrams(None)[0]) == 0
+
+
+def test_language_filter_with_more_than_64_languages():
+    names = [f"l{i:03d}" for i in range(70)]
+    texts = ["".join(chr(0x4E00 + 40 * i + (k * 7) % 40) for k in range(60)) for i in range(70)]
+    rows: dict = {}
+    for i, t in enumerate(texts):
+        for s in langid_core.slots(langid_core.ngrams(t)[0]).ravel():
+            key = (int(s), i // 64)
+            rows[key] = rows.get(key, 0) | 1 << (i % 64)
+    slot, word = np.array(list(rows)).T
+    f = langid_core.Filter(names, slot, word, np.array(list(rows.values()), dtype=np.uint64))
+    assert [f.classify(t)[0] for t in texts] == names
+    assert f.classify(None) == f.classify("123") == ("und", 0.0)
+
+
+def test_licence_phrases_and_notices():
+    index = licenses_core.Index({w: 1.0 for w in licenses_core.VOCABULARY})
+    found = index.scan("x Licensed under CC BY-NC 4.0. Apache License, and THE MIT LICENSE mit license")
+    assert found["places"] == [3, 7, 11, 13] and found["base_labels"] == ["apache", "cc-by", "mit"]
+    assert "cc-by-nc-4.0" in found["labels"] and "apache-2.0" not in found["labels"] and found["n_words"] == 15
+    gpl = index.scan("(c) This work is licensed under the GNU General Public License, version 3.")
+    assert gpl["labels"] == ["gpl", "gpl-3.0"] and gpl["score"] == 1.0
+    for empty in (None, "", "..."):
+        assert index.scan(empty) == {"n_words": 0, "places": [], "base_labels": [], "labels": [], "score": 0.0}
+    bsd = index.scan(licenses_core.NOTICES[-1][1] + " and so on")
+    assert bsd["labels"] == ["bsd-3-clause"] and bsd["base_labels"] == []
