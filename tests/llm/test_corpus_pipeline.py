@@ -3,6 +3,7 @@
 import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
+from tiktoken.load import load_tiktoken_bpe
 
 import corpus_pipeline
 from lakemarts.llm import pii_core, simhash, toxicity
@@ -32,7 +33,7 @@ def test_run_equals_brute_force(ready):
     assert set(got) <= clean and len(clean - set(got)) <= len(clean) // 20  # altered passages go too
     own = tiktoken.Encoding(
         "own", pat_str=public_tokenizers.PATTERN, special_tokens={},
-        mergeable_ranks=tiktoken.load.load_tiktoken_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+        mergeable_ranks=load_tiktoken_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken")),
     )
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in got.values())
     for i, r in got.items():

@@ -222,20 +222,25 @@ def test_language_held_out_accuracy_and_edges(ready, edge_docs, no_docs):
 # --- 6, personal data --------------------------------------------------------
 
 
+@pytest.fixture(scope="module")
+def clashing():
+    """Addresses whose first surrogates meet, and one that is a surrogate."""
+    first = defaultdict(list)
+    for a in range(200):
+        for b in range(256):
+            first[pii_core.surrogate("ip", f"192.168.{a}.{b}", 0, pii.KEY)].append(f"192.168.{a}.{b}")
+    meet = [e for group in first.values() if len(group) > 1 for e in group]
+    assert len(meet) > 20
+    return [*meet, "192.168.250.1", pii_core.surrogate("ip", "192.168.250.1", 0, pii.KEY)]
+
+
 @pytest.mark.parametrize("held", [100_000, 0])
-def test_surrogates_are_distinct_and_consistent(ready, monkeypatch, held):
-    # few family names: collisions are certain
+def test_surrogates_are_distinct_and_consistent(ready, clashing, held):
     names = [f"{a}{b}" for a in ("Alt", "Berg", "Claus", "Dorn", "Eich") for b in ("mann", "er", "ing", "ow")]
     docs = [(i, f"Dear Mrs. {n}, and Mr. {n}son, write {n.lower()}@example.com") for i, n in enumerate(names * 2)]
     docs += [(None, None), (98, ""), (99, "nothing here")]
+    docs += [(1000 + i, f"host {e} and {clashing[i - 1]} up") for i, e in enumerate(clashing)]
     frame = ready.createDataFrame([(i, t, 0) for i, t in docs], "doc_id long, text string, _pii int")
-    monkeypatch.setitem(pii_core.SYLLABLES, "latin", ["ba", "de"])
-    drawn = pii.later_attempts(pii.entities(frame)).collect()
-    final = {
-        (k, e): pii_core.surrogate(k, e, {(r.kind, r.entity): r.attempt for r in drawn}.get((k, e), 0), pii.KEY)
-        for k, e in rows(pii.entities(frame))
-    }
-    assert len(final) == 3 * len(names)
     out = pii.replace_pii(frame, held_entities=held)
     assert out.columns == ["doc_id", "text", "_pii", "pii_spans"]
     got = {r.doc_id: r for r in out.collect()}
@@ -243,20 +248,17 @@ def test_surrogates_are_distinct_and_consistent(ready, monkeypatch, held):
     for i, n in enumerate(names):
         assert n not in got[i].text and got[i].text == got[i + len(names)].text
         assert re.fullmatch(r"Dear Mrs. [A-Z]\w+, and Mr. [A-Z]\w+, write \w+@\w+\.example\.com", got[i].text)
+    new = {e: got[1000 + i].text.split()[1] for i, e in enumerate(clashing)}
+    assert len(set(new.values())) == len(new) and not set(new.values()) & set(clashing)
+    assert all(got[1000 + i].text.split()[3] == new[clashing[i - 1]] for i in range(len(clashing)))
 
 
-def test_collisions_are_resolved(ready, monkeypatch):
-    found = ready.createDataFrame([("ip", f"1.2.3.{i}") for i in range(40)], "kind string, entity string")
-    narrow = pii_core.surrogate
-
-    def crowded(kind, entity, attempt, key):  # 50 first draws for 40 entities, some of them entities themselves
-        last = int(narrow(kind, entity, attempt, key).rsplit(".", 1)[1])
-        return f"1.2.3.{last % 50 + 20}" if attempt < 3 else narrow(kind, entity, attempt, key)
-
-    monkeypatch.setattr(pii_core, "surrogate", crowded)
-    later = {(r.kind, r.entity): r.attempt for r in pii.later_attempts(found).collect()}
-    final = [crowded("ip", f"1.2.3.{i}", later.get(("ip", f"1.2.3.{i}"), 0), pii.KEY) for i in range(40)]
-    assert len(set(final)) == 40 and not set(final) & {f"1.2.3.{i}" for i in range(40)} and later
+def test_collisions_are_resolved_in_a_crowded_format(ready):
+    numbers = [f"555{i:04d}" for i in range(0, 10_000, 12)]  # of 10,000 first draws
+    found = ready.createDataFrame([("phone", n) for n in numbers], "kind string, entity string")
+    later = {r.entity: r.attempt for r in pii.later_attempts(found).collect()}
+    final = [pii_core.surrogate("phone", n, later.get(n, 0), pii.KEY) for n in numbers]
+    assert later and len(set(final)) == len(numbers) and not set(final) & set(numbers)
 
 
 def test_pii_edges(edge_docs, no_docs):
