@@ -48,6 +48,8 @@ class TableContract:
     # Survivor preference for duplicated keys: (column, "asc"|"desc").  All
     # remaining non-key columns follow ascending, so the survivor is fixed.
     prefer: tuple[tuple[str, str], ...] = ()
+    # Whether quoted fields of the source may hold line ends.
+    multiline: bool = False
     # Derived columns added after deduplication: name -> builder of a Column.
     derived: tuple[tuple[str, Callable], ...] = field(default=())
 
@@ -140,6 +142,7 @@ PAYMENTS = TableContract(
 REVIEWS = TableContract(
     name="reviews",
     raw="reviews_raw",
+    multiline=True,  # free text
     columns=(
         Col("review_id", "review_id", TRIM),
         Col("order_id", "order_id", TRIM),

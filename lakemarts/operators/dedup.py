@@ -27,26 +27,6 @@ def keep_first(df: DataFrame, key: list[str] | tuple[str, ...], order: list[tupl
     return df.withColumn("_survivor_rank", F.row_number().over(w)).filter("_survivor_rank = 1").drop("_survivor_rank")
 
 
-def distinct_rows(df: DataFrame, columns: list[str] | tuple[str, ...]) -> DataFrame:
-    """Distinct over the selected columns (partial aggregation map-side)."""
-    return df.select(*columns).distinct()
-
-
 def duplicate_keys(df: DataFrame, key: list[str] | tuple[str, ...]) -> DataFrame:
     """Key values occurring more than once, with their row count."""
     return df.groupBy(*key).count().filter(F.col("count") > 1)
-
-
-def key_counts(df: DataFrame, key: list[str] | tuple[str, ...]) -> DataFrame:
-    """D04 as a one-row DataFrame: rows and distinct key values.
-
-    NULL keys count as one value, as ``dropDuplicates`` treats them.
-    """
-    return (
-        df.groupBy(*key)
-        .count()
-        .agg(
-            F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("total_rows"),
-            F.count(F.lit(1)).cast("bigint").alias("distinct_keys"),
-        )
-    )

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemarts.functions import count_when, pct
+from lakemarts.functions import count_when, mean2, pct
 
 DATE_ATTRIBUTES = ("date_key", "full_date", "year_number", "quarter_number", "month_number", "month_name", "year_month")
 
@@ -33,6 +33,12 @@ def _delivered():
     return F.col("order_status") == "delivered"
 
 
+def _score():
+    """The orders' rounded scores as exact decimals, so that sums do not
+    depend on the order of tasks."""
+    return F.col("average_review_score").cast("decimal(12,2)")
+
+
 def _late():
     return F.col("is_delivered_late") == F.lit(True)
 
@@ -48,9 +54,9 @@ def mart_daily_sales(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
         F.round(F.sum("payment_total"), 2).alias("payment_total"),
         F.round(F.avg("payment_total"), 2).alias("average_order_value"),
         count_when(_late()).alias("late_orders"),
-        F.round(F.avg("average_review_score"), 2).alias("average_review_score"),
+        mean2(F.sum(_score()), F.count("average_review_score")).alias("average_review_score"),
     )
-    dates = F.broadcast(dim_date.select(*DATE_ATTRIBUTES))
+    dates = dim_date.select(*DATE_ATTRIBUTES)
     joined = per_day.join(dates, per_day["order_date_key"] == dates["date_key"], "inner")
     return joined.select(
         *DATE_ATTRIBUTES,
@@ -97,9 +103,12 @@ def mart_product_performance(fct_order_items: DataFrame, dim_products: DataFrame
 
 def mart_customer_summary(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     # Latest order per customer id: ties on the purchase time are broken by
-    # order_id, so the "latest" city and state are repeatable.
+    # order_id, so the "latest" city and state are repeatable; orders without
+    # a purchase time are never the latest.
     per_key = fct_orders.groupBy("customer_key").agg(
-        F.max(F.struct("order_purchase_timestamp", "order_id")).alias("latest"),
+        F.max(
+            F.when(F.col("order_purchase_timestamp").isNotNull(), F.struct("order_purchase_timestamp", "order_id"))
+        ).alias("latest"),
         # fct_orders holds one row per order (reconciled against silver), so
         # the distinct order count per customer is a plain count.
         F.count("order_id").alias("orders"),
@@ -110,7 +119,7 @@ def mart_customer_summary(fct_orders: DataFrame, dim_customers: DataFrame) -> Da
         F.min("order_purchase_timestamp").alias("first_order_at"),
         F.max("order_purchase_timestamp").alias("latest_order_at"),
         count_when(_late()).alias("late"),
-        F.sum("average_review_score").alias("review_sum"),
+        F.sum(_score()).alias("review_sum"),
         F.count("average_review_score").alias("reviews"),
     )
     customers = dim_customers.select("customer_key", "customer_unique_id", "customer_city", "customer_state")
@@ -128,12 +137,12 @@ def mart_customer_summary(fct_orders: DataFrame, dim_customers: DataFrame) -> Da
         F.min("first_order_at").alias("first_order_at"),
         F.max("latest_order_at").alias("latest_order_at"),
         F.sum("late").alias("late_orders"),
-        F.round(F.try_divide(F.sum("review_sum"), F.sum("reviews")), 2).alias("average_review_score"),
+        mean2(F.sum("review_sum"), F.sum("reviews")).alias("average_review_score"),
     )
 
 
 def mart_delivery_quality(fct_orders: DataFrame, dim_date: DataFrame, dim_customers: DataFrame) -> DataFrame:
-    dates = F.broadcast(dim_date.select("date_key", "year_month"))
+    dates = dim_date.select("date_key", "year_month")
     dated = fct_orders.join(dates, fct_orders["order_date_key"] == dates["date_key"], "inner")
     delivered = _delivered()
     per_key_month = dated.groupBy("customer_key", "year_month").agg(
@@ -143,7 +152,7 @@ def mart_delivery_quality(fct_orders: DataFrame, dim_date: DataFrame, dim_custom
         count_when(delivered & (F.col("is_delivered_late") == F.lit(False))).alias("on_time"),
         F.sum(F.when(delivered, F.col("delivery_days"))).alias("days_sum"),
         F.count(F.when(delivered, F.col("delivery_days"))).alias("days_n"),
-        F.sum("average_review_score").alias("review_sum"),
+        F.sum(_score()).alias("review_sum"),
         F.count("average_review_score").alias("reviews"),
         F.sum("payment_total").alias("payment_sum"),
     )
@@ -156,7 +165,7 @@ def mart_delivery_quality(fct_orders: DataFrame, dim_date: DataFrame, dim_custom
         F.sum("late").alias("late_orders"),
         F.sum("on_time").alias("on_time_orders"),
         F.try_divide(F.sum("days_sum").cast("double"), F.sum("days_n")).alias("avg_days"),
-        F.try_divide(F.sum("review_sum"), F.sum("reviews")).alias("avg_review"),
+        mean2(F.sum("review_sum"), F.sum("reviews")).alias("average_review_score"),
         F.round(F.sum("payment_sum"), 2).alias("total_payment_value"),
     )
     return rolled.select(
@@ -169,7 +178,7 @@ def mart_delivery_quality(fct_orders: DataFrame, dim_date: DataFrame, dim_custom
         "on_time_orders",
         pct(F.col("late_orders"), F.col("delivered_orders")).alias("late_delivery_rate_pct"),
         F.round("avg_days", 2).alias("average_delivery_days"),
-        F.round("avg_review", 2).alias("average_review_score"),
+        "average_review_score",
         "total_payment_value",
     )
 

@@ -78,5 +78,5 @@ def tax_projection(fct_orders: DataFrame, status: str = "delivered", rate: str =
         "order_status",
         total.alias("total_amount"),
         tax.alias("tax_amount"),
-        F.round(total + tax, 2).alias("total_with_tax"),
-    )
+        F.round(total + tax, 2).alias("amount_with_tax"),
+    ).orderBy(F.desc("amount_with_tax"), "order_id")

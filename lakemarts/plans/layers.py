@@ -9,9 +9,8 @@ the session's checkpoint folder (the shared folder a cluster names in
 lineage cut, each layer's plan is built and run once, and a query plan shows
 exactly one stage of work.
 
-Unlike a reliable RDD checkpoint, which recomputes the plan for the file
-write unless it is cached, the Parquet copy computes it once, and reading it
-back is a scan with column pruning and filter pushdown.
+The Parquet copy computes a plan once, and reading it back is a scan with
+column pruning and filter pushdown.
 """
 
 from __future__ import annotations
@@ -64,8 +63,7 @@ MART_TABLES = ("mart_daily_sales", "mart_product_performance", "mart_customer_su
 
 class Stored:
     """``stored(name)``: the layer table written once under ``store`` (a
-    folder in shared storage) and read back; without a store, an eager
-    reliable checkpoint."""
+    folder in shared storage) and read back."""
 
     def __init__(self, store: str | None = None):
         self.store = store
@@ -83,11 +81,10 @@ class Stored:
             if name not in self._stored:
                 df = self.table(name)
                 if self.store is None:
-                    self._stored[name] = df.checkpoint(eager=True)
-                else:
-                    path = f"{self.store}/{name}"
-                    df.write.mode("overwrite").parquet(path)
-                    self._stored[name] = df.sparkSession.read.parquet(path)
+                    raise ValueError("a store folder is needed to keep a layer")
+                path = f"{self.store}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                self._stored[name] = df.sparkSession.read.parquet(path)
         return self._stored[name]
 
     def prefetch(self, names: Iterable[str]) -> None:
@@ -220,6 +217,7 @@ class Lake:
 
     def __init__(self, raw: Provider, store: str | None = None):
         self.raw = raw
+        self.store = store
         where = (lambda layer: f"{store}/{layer}") if store else (lambda layer: None)
         self.silver = Silver(raw, store=where("silver"))
         self.gold = Gold(self.silver.stored, dims=lambda name: self.gold.stored(name), store=where("gold"))
@@ -239,6 +237,19 @@ class Lake:
         self.prefetch_gold(g for n in names for g in MART_INPUTS.get(n, ()))
         self.marts.prefetch(names)
 
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written once under the store and read back."""
+        path = f"{self.store}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
+
+    def close(self) -> None:
+        """Remove the stored copies (if the session still runs)."""
+        sc = self.spark.sparkContext
+        if self.store and sc._jsc is not None:
+            path = sc._jvm.org.apache.hadoop.fs.Path(self.store)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
     @classmethod
     def from_driver_tables(cls, spark, sf_dir: str) -> "Lake":
         from lakemarts.session import ensure_checkpoint_dir

@@ -20,7 +20,39 @@ from __future__ import annotations
 
 import re
 
-from lakemarts.operators.quality import BUSINESS_RULES, FOREIGN_KEYS, KEY_RULES, MART_TESTS
+# The recorded checks, written out here so that a check dropped
+# from the code under test shows as a difference.
+KEY_CHECKS = {
+    "customers": (["customer_id", "customer_unique_id"], ["customer_id"]),
+    "orders": (["order_id", "customer_id"], ["order_id"]),
+    "order_items": (["order_id", "order_item_id", "product_id", "seller_id"], ["order_id", "order_item_id"]),
+    "payments": (["order_id", "payment_sequential", "payment_value"], ["order_id", "payment_sequential"]),
+    "reviews": (["review_id", "order_id", "review_score"], ["review_id"]),
+    "products": (["product_id"], ["product_id"]),
+    "sellers": (["seller_id"], ["seller_id"]),
+}
+REFERENCES = [
+    ("orders", "customers", "customer_id"),
+    ("order_items", "orders", "order_id"),
+    ("order_items", "products", "product_id"),
+    ("order_items", "sellers", "seller_id"),
+    ("payments", "orders", "order_id"),
+    ("reviews", "orders", "order_id"),
+]
+RULES = [
+    ("order_items", "non_negative_item_amounts", "Price, freight, and item total must not be negative.",
+     "price >= 0 AND freight_value >= 0 AND item_total_amount >= 0"),
+    ("payments", "non_negative_payment_value", "Payment value must not be negative.", "payment_value >= 0"),
+    ("reviews", "valid_review_score", "Review score must be between 1 and 5.", "review_score BETWEEN 1 AND 5"),
+    ("orders", "valid_delivery_sequence", "Delivery date must not occur before purchase date.",
+     "order_delivered_customer_date IS NULL OR order_delivered_customer_date >= order_purchase_timestamp"),
+]
+MART_KEYS = {
+    "mart_daily_sales": (["date_key", "total_orders", "payment_total"], "date_key"),
+    "mart_product_performance": (["product_key", "total_orders", "gross_sales"], "product_key"),
+    "mart_customer_summary": (["customer_unique_id", "total_orders", "lifetime_payment_value"], "customer_unique_id"),
+    "mart_delivery_quality": (["delivery_quality_key", "year_month", "customer_state"], "delivery_quality_key"),
+}
 
 # ------------------------------------------------------------ exact rounding
 
@@ -378,8 +410,8 @@ JOIN dim_products p ON i.product_key = p.product_key
 GROUP BY p.product_key, p.product_id, p.product_category_name"""
 CTES["mart_customer_summary"] = f"""
 SELECT c.customer_unique_id,
-       first(c.customer_city ORDER BY o.order_purchase_timestamp DESC NULLS LAST, o.order_id DESC) AS latest_customer_city,
-       first(c.customer_state ORDER BY o.order_purchase_timestamp DESC NULLS LAST, o.order_id DESC) AS latest_customer_state,
+       first(c.customer_city ORDER BY o.order_purchase_timestamp DESC, o.order_id DESC) FILTER (o.order_purchase_timestamp IS NOT NULL) AS latest_customer_city,
+       first(c.customer_state ORDER BY o.order_purchase_timestamp DESC, o.order_id DESC) FILTER (o.order_purchase_timestamp IS NOT NULL) AS latest_customer_state,
        count(DISTINCT o.order_id) AS total_orders,
        sum(o.item_count) AS total_items,
        sum(o.order_total) AS lifetime_order_value,
@@ -413,69 +445,80 @@ GROUP BY d.year_month, coalesce(c.customer_state, 'UNKNOWN')"""
 # ------------------------------------------------------------ data quality
 
 
-def _quality_sql() -> str:
-    parts = []
+def _check(table, name, ctype, severity, details, total, failed, allowed="0") -> str:
+    details = details.replace("'", "''")
+    return (
+        f"SELECT '{table}' AS table_name, '{name}' AS check_name, '{ctype}' AS check_type, "
+        f"'{severity}' AS severity, CAST({total} AS BIGINT) AS total_rows, CAST({failed} AS BIGINT) AS failed_rows, "
+        f"CAST({allowed} AS BIGINT) AS allowed_failures, '{details}' AS details"
+    )
 
-    def row(table, name, ctype, severity, details, total, failed, allowed="0"):
-        details = details.replace("'", "''")
-        return (
-            f"SELECT '{table}' AS table_name, '{name}' AS check_name, '{ctype}' AS check_type, "
-            f"'{severity}' AS severity, CAST({total} AS BIGINT) AS total_rows, CAST({failed} AS BIGINT) AS failed_rows, "
-            f"CAST({allowed} AS BIGINT) AS allowed_failures, '{details}' AS details"
-        )
 
-    for table, spec in KEY_RULES.items():
-        src = f"s_{table}"
-        nulls = " OR ".join(f"{c} IS NULL" for c in spec["required"])
-        keys = ", ".join(spec["unique"])
-        parts.append(row(table, f"not_null: {', '.join(spec['required'])}", "not_null", "CRITICAL",
-                         "Required columns must not contain NULL.",
-                         f"(SELECT count(*) FROM {src})", f"(SELECT count(*) FROM {src} WHERE {nulls})"))
-        parts.append(row(table, f"unique: {keys}", "uniqueness", "CRITICAL", "Business-key columns must be unique.",
-                         f"(SELECT count(*) FROM {src})",
-                         f"(SELECT count(*) FROM {src}) - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {src}) u)"))
-    for child, parent, key in FOREIGN_KEYS:
-        k = key[0]
-        parts.append(row(child, f"foreign_key: {child} → {parent}", "referential_integrity", "CRITICAL",
-                         f"Keys {key} must exist in {parent}.",
-                         f"(SELECT count(*) FROM s_{child})",
-                         f"(SELECT count(*) FROM s_{child} c WHERE c.{k} IS NOT NULL AND NOT EXISTS "
-                         f"(SELECT 1 FROM s_{parent} p WHERE p.{k} = c.{k}))"))
-    rule_sql = {
-        "non_negative_item_amounts": ("order_items", "price >= 0 AND freight_value >= 0 AND item_total_amount >= 0"),
-        "non_negative_payment_value": ("payments", "payment_value >= 0"),
-        "valid_review_score": ("reviews", "review_score BETWEEN 1 AND 5"),
-        "valid_delivery_sequence": (
-            "orders",
-            "order_delivered_customer_date IS NULL OR order_delivered_customer_date >= order_purchase_timestamp",
-        ),
-    }
-    for table, rules in BUSINESS_RULES.items():
-        for rule in rules:
-            _, cond = rule_sql[rule.name]
-            parts.append(row(table, rule.name, "business_rule", rule.severity, rule.details,
-                             f"(SELECT count(*) FROM s_{table})",
-                             f"(SELECT count(*) FROM s_{table} WHERE NOT coalesce(({cond}), false))"))
-    surplus = "((SELECT count(*) FROM reviews_raw) - (SELECT count(*) FROM (SELECT DISTINCT review_id FROM reviews_raw) u))"
-    parts.append(row("reviews_raw", "duplicate_review_ids_in_source", "source_quality", "WARNING",
-                     "The source contains repeated review_id values. Silver currently retains one record per review_id.",
-                     "(SELECT count(*) FROM reviews_raw)", surplus, allowed=surplus))
-    checks = "\nUNION ALL\n".join(parts)
+def _key_checks(table, src, required, unique) -> list[str]:
+    nulls = " OR ".join(f"{c} IS NULL" for c in required)
+    keys = ", ".join(unique)
+    return [
+        _check(table, f"not_null: {', '.join(required)}", "not_null", "CRITICAL", "Required columns must not contain NULL.",
+               f"(SELECT count(*) FROM {src})", f"(SELECT count(*) FROM {src} WHERE {nulls})"),
+        _check(table, f"unique: {keys}", "uniqueness", "CRITICAL", "Business-key columns must be unique.",
+               f"(SELECT count(*) FROM {src})",
+               f"(SELECT count(*) FROM {src}) - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {src}) u)"),
+    ]
+
+
+def _reference_check(child, parent, key, child_src, parent_src) -> str:
+    return _check(child, f"foreign_key: {child} → {parent}", "referential_integrity", "CRITICAL",
+                  f"Keys ['{key}'] must exist in {parent}.", f"(SELECT count(*) FROM {child_src})",
+                  f"(SELECT count(*) FROM {child_src} c WHERE c.{key} IS NOT NULL AND NOT EXISTS "
+                  f"(SELECT 1 FROM {parent_src} p WHERE p.{key} = c.{key}))")
+
+
+def _rule_check(table, src, name, details, cond) -> str:
+    return _check(table, name, "business_rule", "CRITICAL", details, f"(SELECT count(*) FROM {src})",
+                  f"(SELECT count(*) FROM {src} WHERE NOT coalesce(({cond}), false))")
+
+
+def _results(layer: str, checks: list[str]) -> str:
+    union = "\nUNION ALL\n".join(checks)
     return f"""
-SELECT 'silver' AS layer, table_name, check_name, check_type, severity,
+SELECT '{layer}' AS layer, table_name, check_name, check_type, severity,
        CASE WHEN failed_rows <= allowed_failures THEN 'PASS' ELSE 'FAIL' END AS status,
        total_rows, failed_rows,
        CASE WHEN total_rows > 0 THEN failed_rows / total_rows ELSE 0.0 END AS failure_rate,
        details
-FROM ({checks}) q"""
+FROM ({union}) q"""
+
+
+def _quality_sql() -> str:
+    parts = []
+    for table, (required, unique) in KEY_CHECKS.items():
+        parts += _key_checks(table, f"s_{table}", required, unique)
+    parts += [_reference_check(c, p, k, f"s_{c}", f"s_{p}") for c, p, k in REFERENCES]
+    parts += [_rule_check(t, f"s_{t}", name, details, cond) for t, name, details, cond in RULES]
+    surplus = "((SELECT count(*) FROM reviews_raw) - (SELECT count(*) FROM (SELECT DISTINCT review_id FROM reviews_raw) u))"
+    parts.append(_check("reviews_raw", "duplicate_review_ids_in_source", "source_quality", "WARNING",
+                     "The source contains repeated review_id values. Silver currently retains one record per review_id.",
+                     "(SELECT count(*) FROM reviews_raw)", surplus, allowed=surplus))
+    return _results("silver", parts)
+
+
+def _raw_quality_sql() -> str:
+    return _results("bronze", [
+        *_key_checks("order_items_raw", "order_items_raw", ["order_id", "seller_id"], ["order_id", "order_item_id"]),
+        *_key_checks("reviews_raw", "reviews_raw", ["review_id", "review_comment_title"], ["review_id"]),
+        _rule_check("reviews_raw", "reviews_raw", "valid_review_score", "Review score must be between 1 and 5.",
+                    "TRY_CAST(review_score AS INTEGER) BETWEEN 1 AND 5"),
+        _reference_check("orders_raw", "reviews_raw", "order_id", "orders_raw", "reviews_raw"),
+    ])
 
 
 CTES["dq_results"] = _quality_sql()
+CTES["dq_raw_results"] = _raw_quality_sql()
 
 
 def _mart_tests_sql() -> str:
     parts = []
-    for model, (cols, key) in MART_TESTS.items():
+    for model, (cols, key) in MART_KEYS.items():
         for c in cols:
             parts.append(
                 f"SELECT '{model}' AS model, 'not_null' AS test_name, '{c}' AS column_name, "
@@ -628,6 +671,10 @@ ORPHAN_QUERIES = {
     "orphans_reviews_orders": ("reviews", "orders", "order_id"),
     "orphans_order_items_products": ("order_items", "products", "product_id"),
     "orphans_order_items_sellers": ("order_items", "sellers", "seller_id"),
+    "orders_without_items": ("orders", "order_items", "order_id"),
+    "orders_without_reviews": ("orders", "reviews", "order_id"),
+    "customers_without_orders": ("customers", "orders", "customer_id"),
+    "products_without_items": ("products", "order_items", "product_id"),
 }
 
 
@@ -648,6 +695,8 @@ def _bodies() -> dict[str, str]:
         q[f"profile_{t}"] = _profile_sql(t)
     for name, spec in GOLD_SPECS.items():
         q[name] = typed(name, spec)
+    for name in ("fct_orders", "fct_order_items"):
+        q[f"{name}_gated"] = q[name]
     q["gold_order_count"] = "SELECT CAST(count(*) AS DOUBLE) AS order_count FROM fct_orders"
     q["tile_total_orders"] = "SELECT CAST(sum(total_orders) AS DOUBLE) AS total_orders FROM mart_daily_sales"
     q["tile_delivered_orders"] = "SELECT CAST(sum(delivered_orders) AS DOUBLE) AS delivered_orders FROM mart_daily_sales"
@@ -677,10 +726,14 @@ def _bodies() -> dict[str, str]:
         f"CAST({pct2('sum(late_orders)', 'sum(delivered_orders)')} AS DOUBLE) AS late_delivery_rate_pct "
         "FROM mart_delivery_quality GROUP BY year_month"
     )
-    q["dq_results"] = typed(
-        "dq_results",
+    results = (
         "layer:s table_name:s check_name:s check_type:s severity:s status:s total_rows:i failed_rows:i "
-        "failure_rate:f details:s",
+        "failure_rate:f details:s"
+    )
+    q["dq_results"] = typed("dq_results", results)
+    q["dq_raw_results"] = typed("dq_raw_results", results)
+    q["dq_raw_critical_failures"] = typed(
+        "dq_raw_results", results, where="severity = 'CRITICAL' AND status = 'FAIL'"
     )
     q["dq_summary"] = (
         "SELECT severity, status, CAST(count(*) AS DOUBLE) AS check_count, CAST(sum(failed_rows) AS DOUBLE) AS failed_rows "
@@ -698,7 +751,7 @@ def _bodies() -> dict[str, str]:
     q["tax_projection"] = (
         "SELECT order_id, order_status, CAST(order_total AS DOUBLE) AS total_amount, "
         "CAST(round(order_total * 0.15, 2) AS DOUBLE) AS tax_amount, "
-        "CAST(round(order_total + round(order_total * 0.15, 2), 2) AS DOUBLE) AS total_with_tax "
+        "CAST(round(order_total + round(order_total * 0.15, 2), 2) AS DOUBLE) AS amount_with_tax "
         "FROM fct_orders WHERE order_status = 'delivered'"
     )
     return q

@@ -26,10 +26,11 @@ from lakemarts.operators.cleanse import cleanse
 from lakemarts.plans.layers import DIMENSIONS, FACTS, MART_TABLES, SILVER_TABLES, Gold, Marts
 from lakemarts.sources.catalog import Catalog
 from lakemarts.sources.csv_ingest import MissingSourcesError, ingest_all, missing_sources
-from lakemarts.sources.partitioning import spread
 
 INGEST_TABLE = "ingestion_summary"
 QUALITY_TABLE = "data_quality_results"
+SUMMARY_TABLE = "data_quality_summary"
+FAILURE_TABLE = "data_quality_failures"
 PROFILE_TABLE = "cleansing_profile"
 MART_TEST_TABLE = "mart_test_results"
 ORDER_COUNT_VIEW = "check_gold_connection"
@@ -84,7 +85,7 @@ def silver_stage(catalog: Catalog, report: RunReport) -> None:
     bronze = catalog.provider("bronze")
     report.silver = concurrently({
         name: (lambda name=name, contract=contract: catalog.write_and_count(
-            cleanse(spread(bronze(contract.raw)), contract), "silver", name))
+            cleanse(bronze(contract.raw), contract), "silver", name))
         for name, contract in CONTRACTS.items()
     })
     # Profiles read the written tables, not the cleansing plans again.
@@ -102,6 +103,10 @@ def quality_stage(catalog: Catalog, report: RunReport) -> DataFrame:
     checks = Q.quality_checks(catalog.provider("silver"), catalog.table("bronze", CONTRACTS["reviews"].raw))
     results = Q.finish_results(checks, run_id, checked_at)
     catalog.append(results, "monitoring", QUALITY_TABLE)
+    # Both reports read the stored history, so no check runs twice.
+    history = catalog.table("monitoring", QUALITY_TABLE)
+    catalog.overwrite(Q.summary_report(history), "monitoring", SUMMARY_TABLE)
+    catalog.overwrite(Q.failure_report(history), "monitoring", FAILURE_TABLE)
     Q.enforce_gate(catalog.spark, catalog.name("monitoring", QUALITY_TABLE), run_id)
     return catalog.table("monitoring", QUALITY_TABLE).filter(F.col("run_id") == run_id)
 
@@ -119,6 +124,10 @@ def validate_fact(df: DataFrame, fact: str, expected_rows: int) -> None:
         raise ReconciliationError(f"{fact} has {row.null_keys} rows with a NULL key")
 
 
+def staging(fact: str) -> str:
+    return f"{fact}__staging"
+
+
 def gold_stage(catalog: Catalog, report: RunReport) -> None:
     silver = catalog.provider("silver")
     builder = Gold(silver)
@@ -128,13 +137,15 @@ def gold_stage(catalog: Catalog, report: RunReport) -> None:
     # The gate passed on these silver tables (not-null, uniqueness and the
     # six foreign keys are CRITICAL), so the facts need no dimension joins.
     facts = Gold(silver, dims=catalog.provider("gold"), integrity_proven=True)
+    # Both facts are staged and validated before either is published.
+    expected = {}
+    for fact in FACTS:
+        catalog.overwrite(facts.table(fact), "gold", staging(fact))
+        expected[fact] = catalog.table("silver", FACT_SOURCES[fact]).count()
+        validate_fact(catalog.table("gold", staging(fact)), fact, expected[fact])
     for fact in FACTS:
-        staged = f"{fact}__staging"
-        catalog.overwrite(facts.table(fact), "gold", staged)
-        expected = catalog.table("silver", FACT_SOURCES[fact]).count()
-        validate_fact(catalog.table("gold", staged), fact, expected)
-        catalog.publish(staged, "gold", fact)
-        report.gold[fact] = expected
+        catalog.publish(staging(fact), "gold", fact)
+        report.gold[fact] = expected[fact]
 
 
 def mart_stage(catalog: Catalog, report: RunReport) -> DataFrame:

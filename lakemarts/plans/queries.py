@@ -14,6 +14,7 @@ reference types (decimal money, int keys, dates).
 
 from __future__ import annotations
 
+import atexit
 import weakref
 from collections.abc import Callable
 from functools import reduce
@@ -28,8 +29,7 @@ from lakemarts.operators import quality as Q
 from lakemarts.operators import tiles
 from lakemarts.operators.cleanse import clean_columns, row_filter
 from lakemarts.operators.dedup import duplicate_keys
-from lakemarts.plans.layers import GOLD_INPUTS, GOLD_DIMS, GOLD_TABLES, MART_INPUTS, SILVER_TABLES, Lake
-from lakemarts.plans.oracle import ORPHAN_QUERIES
+from lakemarts.plans.layers import FACTS, GOLD_DIMS, GOLD_INPUTS, GOLD_TABLES, MART_INPUTS, SILVER_TABLES, Gold, Lake
 
 AUDIT = {"_silver_processed_at", "_gold_processed_at", "_source_file", "_ingested_at", "run_id", "checked_at"}
 
@@ -72,6 +72,7 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
     key = sf_dir.rstrip("/")
     if key not in per_session:
         per_session[key] = Lake.from_driver_tables(spark, key)
+        atexit.register(per_session[key].close)
     return per_session[key]
 
 
@@ -82,6 +83,30 @@ def quality_results(lk: Lake) -> DataFrame:
     return Q.finish_results(checks, run_id, checked_at)
 
 
+def quality_history(lk: Lake) -> DataFrame:
+    """A results history of two runs: the checks of now, run once and stored,
+    and an earlier run in which every check failed on all rows.  Reports of
+    the latest run must not see the earlier one."""
+    now = lk.keep("quality", quality_results(lk))
+    earlier = now.withColumns({
+        "run_id": F.lit("earlier"),
+        "checked_at": F.col("checked_at") - F.expr("INTERVAL 1 DAY"),
+        "status": F.lit("FAIL"),
+        "failed_rows": F.col("total_rows"),
+    })
+    return now.unionByName(earlier)
+
+
+def gated_fact(lk: Lake, name: str) -> DataFrame:
+    """The fact as the staged run builds it: only after the gate has passed,
+    and then without joins to the dimensions."""
+    lk.prefetch_silver(SILVER_TABLES)
+    failures = Q.critical_failures(lk.keep("quality_gate", quality_results(lk))).collect()  # 25 rows at most
+    if failures:
+        raise Q.QualityGateError(f"{len(failures)} critical checks failed")
+    return Gold(lk.silver.stored, integrity_proven=True).table(name)
+
+
 def layer_counts(lk: Lake) -> DataFrame:
     def count(layer: str, name: str, df: DataFrame) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -108,7 +133,15 @@ def _registry() -> dict[str, Query]:
 
     q["dedup_items"] = dedup_items
 
-    for name, (child, parent, key) in ORPHAN_QUERIES.items():
+    relations = {f"orphans_{child}_{parent}": (child, parent, key) for child, parent, key in P.ORPHAN_RELATIONS}
+    # the same anti joins where rows are expected: parents without children
+    relations |= {
+        "orders_without_items": ("orders", "order_items", "order_id"),
+        "orders_without_reviews": ("orders", "reviews", "order_id"),
+        "customers_without_orders": ("customers", "orders", "customer_id"),
+        "products_without_items": ("products", "order_items", "product_id"),
+    }
+    for name, (child, parent, key) in relations.items():
         def orphans(s, d, child=child, parent=parent, key=key):
             lk = lake(s, d)
             lk.prefetch_silver([child, parent])
@@ -116,6 +149,25 @@ def _registry() -> dict[str, Query]:
 
         q[name] = orphans
 
+    for name in FACTS:
+        q[f"{name}_gated"] = lambda s, d, name=name: gated_fact(lake(s, d), name)
+
+    def raw_checks(s, d):
+        """The check operators over raw tables, which do hold defects."""
+        lk = lake(s, d)
+        checks = Q.table_checks(lk.raw("order_items"), "order_items_raw", ["order_id", "seller_id"], ["order_id", "order_item_id"])
+        checks = checks.unionByName(Q.table_checks(
+            lk.raw("reviews"), "reviews_raw", ["review_id", "review_comment_title"], ["review_id"],
+            [Q.Rule("valid_review_score", lambda: F.expr("try_cast(review_score AS int)").between(1, 5),
+                    "Review score must be between 1 and 5.")],
+        ))
+        checks = checks.unionByName(Q.foreign_key_check(
+            lk.raw("orders"), lk.raw("reviews"), "orders_raw", "reviews_raw", ["order_id"]))
+        return Q.finish_results(checks, *Q.new_run(), layer="bronze")
+
+    q["dq_raw_results"] = raw_checks
+    q["dq_raw_critical_failures"] = lambda s, d: Q.critical_failures(raw_checks(s, d))
+
     for t in SILVER_TABLES:
         def prof(s, d, t=t):
             lk = lake(s, d)
@@ -163,8 +215,8 @@ def _registry() -> dict[str, Query]:
     q["tile_late_orders_trend"] = lambda s, d: tiles.late_orders_trend(delivery(s, d))
 
     q["dq_results"] = lambda s, d: quality_results(lake(s, d))
-    q["dq_summary"] = lambda s, d: Q.summary_report(quality_results(lake(s, d)))
-    q["dq_failures"] = lambda s, d: Q.failure_report(quality_results(lake(s, d)))
+    q["dq_summary"] = lambda s, d: Q.summary_report(quality_history(lake(s, d)))
+    q["dq_failures"] = lambda s, d: Q.failure_report(quality_history(lake(s, d)))
     def mart_tests(s, d):
         lk = lake(s, d)
         lk.prefetch_marts(Q.MART_TESTS)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings the plans rely on.  AQE re-plans joins from measured shuffle sizes
@@ -34,52 +35,51 @@ DEFAULT_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
-    """Shuffle sizing for a given input volume.
-
-    The initial shuffle partition count is chosen so that an uncompressed
-    partition stays near ``target_partition_bytes``; AQE then coalesces.
-    At 100 TB this gives roughly 800k partitions before coalescing, which is
-    why the count is derived rather than fixed.
-    """
-    partitions = max(200, input_bytes // target_partition_bytes)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-    }
-
-
 def build_session(
     master: str | None = None,
     app_name: str = "lakemarts",
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
+    """A session with ``conf`` and, for keys that neither ``conf`` nor the
+    platform sets, the defaults above.  An active session keeps whatever it
+    has set, its time zone included."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    given = dict(conf or {})
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        present = set(active.conf.getAll)
+    else:
+        # starts the JVM, which knows spark-defaults.conf and submit options
+        SparkContext._ensure_initialized(conf=SparkConf(loadDefaults=False).setAll(given.items()))
+        present = {key for key, _ in SparkConf().getAll()}
+    for key, value in {**{k: v for k, v in DEFAULT_CONF.items() if k not in present}, **given}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, creating a scratch one only when unset.
+    """Return the checkpoint directory, creating a scratch one only for tests.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value is
-    used as is.  Only local runs (tests) get a fresh temporary folder.
+    used as is.  Only a local master gets a temporary folder when it is unset:
+    executors of any other master would each write to a disk of their own.
     """
     sc = spark.sparkContext
     active = sc.getCheckpointDir()
     if active:
         return active
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        sc.setCheckpointDir(current)
-        return current
-    scratch = tempfile.mkdtemp(prefix="lakemarts-ckpt-")
-    sc.setCheckpointDir(scratch)
-    return scratch
+    if not current:
+        require_local(sc.master)
+        current = tempfile.mkdtemp(prefix="lakemarts-ckpt-")
+    sc.setCheckpointDir(current)
+    return current
+
+
+def require_local(master: str) -> None:
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"master {master}: set spark.checkpoint.dir to a folder that all executors share")

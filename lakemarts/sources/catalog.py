@@ -69,10 +69,15 @@ class Catalog:
         return self.table(layer, table).count()
 
     def publish(self, staged: str, layer: str, table: str) -> None:
-        """Replace ``table`` by the already validated staging table."""
-        target = self.name(layer, table)
-        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
+        """Replace ``table`` by the already validated staging table.  The
+        live table is renamed, not dropped, before the staged one takes its
+        name: a failure in between leaves both, and no data is lost."""
+        target, before = self.name(layer, table), self.name(layer, f"{table}__previous")
+        if self.exists(layer, table):
+            self.spark.sql(f"DROP TABLE IF EXISTS {before}")
+            self.spark.sql(f"ALTER TABLE {target} RENAME TO {before}")
         self.spark.sql(f"ALTER TABLE {self.name(layer, staged)} RENAME TO {target}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {before}")
 
     def create_view(self, layer: str, view: str, select_sql: str) -> None:
         """Materialise a SELECT as a view."""

@@ -2,10 +2,10 @@
 
 Every raw column is read as a string with a declared schema (no inference,
 so no extra pass over the data), quoted fields may contain newlines and a
-doubled quote escapes a quote.  ``multiLine`` parsing cannot split a file,
-so parallelism comes from the number of files: a dataset path may be a
-directory of many CSV files, and an under-partitioned read is spread before
-the per-row work of later stages.
+doubled quote escapes a quote.  Only a dataset whose contract says so
+(``multiline``) is parsed across line ends, which cannot split a file: its
+parallelism is its number of files.  The others are split by Spark; a quoted
+line end or any other malformed row in them fails the job, none is dropped.
 """
 
 from __future__ import annotations
@@ -32,9 +32,13 @@ def raw_schema(dataset: str) -> T.StructType:
     return T.StructType([T.StructField(c.source, T.StringType(), True) for c in CONTRACTS[dataset].columns])
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_raw_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True
+) -> DataFrame:
     """The CSV scan with lineage columns."""
-    reader = spark.read.options(header=True, multiLine=True, escape='"', quote='"', enforceSchema=False)
+    reader = spark.read.options(
+        header=True, multiLine=multiline, escape='"', quote='"', enforceSchema=False, mode="FAILFAST"
+    )
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -57,7 +61,7 @@ def open_sources(spark: SparkSession, raw_dir: str, files: dict[str, str] = SOUR
     frames, missing = {}, []
     for dataset, path in source_paths(raw_dir, files).items():
         try:
-            frames[dataset] = read_raw_csv(spark, path, raw_schema(dataset))
+            frames[dataset] = read_raw_csv(spark, path, raw_schema(dataset), CONTRACTS[dataset].multiline)
         except AnalysisException:
             missing.append(files[dataset])
     if missing:
@@ -65,17 +69,6 @@ def open_sources(spark: SparkSession, raw_dir: str, files: dict[str, str] = SOUR
     return frames
 
 
-def rows_per_file(bronze: dict[str, DataFrame]) -> DataFrame:
-    """Rows per (dataset, source file), from the ``_source_file`` column."""
-    parts = [
-        df.groupBy(F.element_at(F.split("_source_file", "/"), -1).alias("file_name"))
-        .count()
-        .select(F.lit(name).alias("dataset_name"), "file_name", F.col("count").alias("row_count"))
-        for name, df in bronze.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def missing_sources(bronze: dict[str, DataFrame], files: dict[str, str] = SOURCE_FILES) -> list[str]:
     """S04 after the scan: an expected source that produced no row (absent or
     header-only) is missing.  A source may be one file or a directory of

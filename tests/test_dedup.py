@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lakemarts.operators.dedup import distinct_rows, duplicate_keys, keep_first, key_counts
+from lakemarts.operators.dedup import duplicate_keys, keep_first
 
 
 def test_keep_first_is_idempotent_and_partition_independent(spark):
@@ -27,10 +27,7 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert out.filter("k = 0").collect()[0].v == 0
 
 
-def test_duplicate_keys_and_counts(spark):
+def test_duplicate_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3), (None, 4)], "k string, v int")
     dup = {r.k: r["count"] for r in duplicate_keys(df, ["k"]).collect()}
     assert dup == {"a": 2, None: 2}
-    counts = key_counts(df, ["k"]).first()
-    assert (counts.total_rows, counts.distinct_keys) == (5, 3)  # NULL counts as one value
-    assert distinct_rows(df, ["k", "v"]).count() == 4

@@ -1,28 +1,48 @@
-"""Session settings, input spreading and the broadcast policy."""
+"""Session settings, stored layers and the broadcast policy."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+from lakemarts import build_session
 from lakemarts.operators import marts as M
 from lakemarts.operators import star as S
-from lakemarts.session import cluster_conf, ensure_checkpoint_dir
-from lakemarts.sources.partitioning import spread
+from lakemarts.plans.layers import Lake
+from lakemarts.session import ensure_checkpoint_dir, require_local
 from test_star_marts import _customers, _orders
 
 
-def test_spread_only_touches_under_partitioned_inputs(spark):
-    parallelism = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=parallelism * 2)
-    assert spread(wide) is wide
-    narrow = spark.range(0, 1000, numPartitions=1)
-    spread_out = spread(narrow, "id")
-    assert spread_out.rdd.getNumPartitions() == parallelism
-    assert sorted(r.id for r in spread_out.collect()) == list(range(1000))
+def test_defaults_fill_only_what_is_unset(spark):
+    """An active session keeps its own settings."""
+    own = {"spark.sql.session.timeZone": "Europe/Paris", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m"}
+    before = {k: spark.conf.get(k) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        again = build_session()
+        assert again is spark and {k: again.conf.get(k) for k in own} == own
+        assert build_session(conf={"spark.sql.session.timeZone": "UTC"}).conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_no_scratch_folder_off_a_local_master():
+    require_local("local[8]")
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://https://host"):
+        with pytest.raises(RuntimeError):
+            require_local(master)
 
 
-def test_cluster_conf_sizes_partitions_from_input():
-    conf = cluster_conf(100 * 1024**4)  # 100 TB
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (128 << 20)
-    assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
+def test_stored_layers_go_with_the_lake(spark):
+    lake = Lake.from_driver_tables(spark, SF_SMALL)
+    assert lake.silver.stored("sellers").count() > 0 and os.path.isdir(lake.store.removeprefix("file:"))
+    lake.close()
+    assert not os.path.exists(lake.store.removeprefix("file:"))
+    with pytest.raises(ValueError):
+        Lake(lake.raw).silver.stored("sellers")
 
 
 def test_checkpoint_dir_is_reused(spark):
@@ -31,8 +51,8 @@ def test_checkpoint_dir_is_reused(spark):
 
 
 def test_no_broadcast_without_a_bound(spark):
-    """Static auto-broadcast is off: the initial fact plans broadcast nothing,
-    and the daily mart broadcasts only the calendar-bounded date dimension."""
+    """Static auto-broadcast is off: neither the fact nor the daily mart
+    broadcasts anything before a size was measured."""
     orders = _orders(spark)
     dim_c = S.dim_customers(_customers(spark))
     empty_items = spark.createDataFrame([], "order_id string, product_id string, seller_id string, "
@@ -46,5 +66,21 @@ def test_no_broadcast_without_a_bound(spark):
     assert "BroadcastExchange" not in fact._jdf.queryExecution().executedPlan().toString()
     daily = M.mart_daily_sales(fact, S.dim_date(orders))
     plan = daily._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastExchange") == 1 and "full_date" in plan.split("BroadcastExchange")[1]
+    assert "BroadcastExchange" not in plan
     assert daily.agg(F.sum("total_orders")).first()[0] == 3
+
+
+def test_customer_without_purchase_times_has_no_latest_city(spark):
+    orders = _orders(spark).withColumn("order_purchase_timestamp", F.lit(None).cast("timestamp_ntz"))
+    dim_c = S.dim_customers(_customers(spark))
+    empty = {
+        "items": "order_id string, product_id string, seller_id string, price decimal(12,2), "
+                 "freight_value decimal(12,2), item_total_amount decimal(12,2)",
+        "payments": "order_id string, payment_type string, payment_installments int, payment_value decimal(12,2)",
+        "reviews": "review_id string, order_id string, review_score int, has_comment boolean",
+    }
+    frames = {k: spark.createDataFrame([], v) for k, v in empty.items()}
+    fact = S.fct_orders(orders, dim_c, S.items_per_order(frames["items"]), S.payments_per_order(frames["payments"]),
+                        S.reviews_per_order(frames["reviews"]))
+    rows = M.mart_customer_summary(fact, dim_c).collect()
+    assert rows and all(r.latest_customer_city is None and r.latest_customer_state is None for r in rows)
