@@ -37,7 +37,7 @@ _NAME = "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True))
 _FINDERS = [
     ("email", re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+"), "@"),
     ("secret", re.compile(
-        r"(?i:\b(?:token|api[_-]?key|secret|password|passwd)\s*[=:]\s*[\"']?)(?P<e>[A-Za-z0-9+/_-]{8,})"
+        r"(?i:\b(?:token|api[_-]?key|secret|password|passwd)\s*[=:]\s*[\"']?)(?P<e>(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{8,})"
         r"|\b(?P<h>[0-9a-fA-F]{32,128})\b"), None),
     ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"), "."),
     ("phone", re.compile(
@@ -48,9 +48,11 @@ _FINDERS = [
 ]
 _NAMES = re.compile(rf"(?<!\w)({_NAME})\s+([^\W\d_][\w'’-]*(?:\s+[^\W\d_][\w'’-]*){{0,2}})")
 _DIGIT = re.compile(r"\d")
-#: Attempts after which a surrogate may grow or vary in more places, so that
-#: a crowded format still leaves room.
+#: Attempts after which a surrogate varies in more places and grows with each
+#: further attempt, so that a crowded format always leaves room in the end.
 CROWDED = 8
+#: Attempts after which an address, which cannot grow, becomes one of IPv6.
+EXHAUSTED = 64
 
 
 def _names(text: str) -> Iterator[tuple[str, int, int]]:
@@ -148,6 +150,7 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
     gender and format."""
     s = _Stream(key, kind, entity, str(attempt))
     crowded = attempt > CROWDED
+    grown = max(0, attempt - CROWDED)
     if kind == "email":
         local, _, domain = entity.partition("@")
         # a domain's replacement does not depend on the mailbox
@@ -155,15 +158,16 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
         reserved = re.search(r"(?:^|\.)(example\.(?:com|org|net))$", domain)
         host = "".join("bcdfghjklmnpqrstvwxz"[d.below(20)] for _ in range(8))
         domain = f"{host}.{reserved.group(1)}" if reserved else f"{host}.example"
-        return f"{_letters(local, s)}{s.below(10**6) if crowded else ''}@{domain}"
+        return f"{_letters(local, s)}{s.below(10**6) if crowded else ''}{_letters('0' * (grown - 1), s)}@{domain}"
     if kind == "secret":
-        text = _letters(entity, s, hexa=re.fullmatch("[0-9a-f]+", entity) is not None)
-        return text
+        return _letters(entity + "0" * grown, s, hexa=re.fullmatch("[0-9a-f]+", entity) is not None)
     if kind == "ip":
+        if attempt > EXHAUSTED:
+            return "2001:db8:" + ":".join(f"{s.below(1 << 16):x}" for _ in range(6))
         first = 10 if not crowded else 11 + s.below(200)
         return ".".join([str(first), *(str(s.below(256)) for _ in range(3))])
     if kind == "card":
-        body = "".join(str(s.below(10)) for _ in entity)
+        body = "".join(str(s.below(10)) for _ in range(len(entity) + grown))
         if _luhn(entity) == 0:  # a valid number stays valid
             body = next(body[:-1] + str(c) for c in range(10) if _luhn(body[:-1] + str(c)) == 0)
         elif _luhn(body) == 0:
@@ -176,15 +180,15 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
         at = len(entity) - 7
         if not crowded and at >= 0 and entity[at : at + 3] == "555":
             digits = digits[:at] + "555" + digits[at + 3 :]
-        return digits
+        return digits + _letters("0" * grown, s)
     if kind == "ssn":
-        return "".join(str(s.below(10)) for _ in entity)
+        return "".join(str(s.below(10)) for _ in range(len(entity) + grown))
     gender, script = kind[4:], _script(entity)
     words = entity.split()
     given = GIVEN[script, gender]
     out = [given[s.below(len(given))].lower() for _ in words[:-1]]
     syllables = SYLLABLES[script]
-    family = "".join(syllables[s.below(len(syllables))] for _ in range(3 + 2 * crowded))
+    family = "".join(syllables[s.below(len(syllables))] for _ in range(3 + crowded + grown))
     return " ".join([*out, family + ENDINGS[script, gender]])
 
 
@@ -192,7 +196,7 @@ def render(kind: str, mention: str, replacement: str) -> str:
     """A canonical replacement in the format of the mention."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(replacement)
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join([*(next(digits) if c.isdigit() else c for c in mention), *digits])
     letters = [c for c in mention if c.isalpha()]
     if letters and all(c.isupper() for c in letters):
         return replacement.upper()

@@ -170,6 +170,23 @@ def test_pii_keeps_kind_format_and_identity():
     assert pii_core.find("plain words only") == []
 
 
+def test_a_secret_without_letters_or_digits_is_a_placeholder():
+    for text in ("password: --------", "token=________", "secret = /+/+/+/+/+"):
+        assert pii_core.find(text) == []
+    assert [k for k, _, _ in pii_core.find("password: -------1 token=________x")] == ["secret", "secret"]
+
+
+@pytest.mark.parametrize("kind, entity", [
+    ("secret", "-------1"), ("email", "-@a.com"), ("phone", "123456"), ("ssn", "123456789"), ("card", "4" * 13),
+])
+def test_a_crowded_format_grows_with_the_attempts(kind, entity):
+    last = pii_core.CROWDED
+    sizes = [len(pii_core.surrogate(kind, entity, n, b"k")) for n in (0, last + 2, last + 5, last + 40)]
+    assert sizes == sorted(set(sizes))
+    shown = pii_core.surrogate(kind, entity, last + 5, b"k")
+    assert sum(c.isdigit() for c in pii_core.render(kind, entity, shown)) == sum(c.isdigit() for c in shown)
+
+
 def test_toxicity_features_do_not_depend_on_chunks(monkeypatch):
     text = "You are Stupid, stupid, stupid and more. " * 20
     whole = nbsvm_core.features(text).tolist()

@@ -261,6 +261,15 @@ def test_collisions_are_resolved_in_a_crowded_format(ready):
     assert later and len(set(final)) == len(numbers) and not set(final) & set(numbers)
 
 
+def test_placeholders_and_exhausted_formats_end(ready):
+    secrets = [f"-------{d}" for d in range(10)]  # every value that the format has
+    docs = [(i, f"password={e} here") for i, e in enumerate([*secrets, "--------", "________"])]
+    out = {r.doc_id: r.text for r in pii.replace_pii(ready.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [out[i] for i in (10, 11)] == ["password=-------- here", "password=________ here"]
+    new = [out[i].split()[0].removeprefix("password=") for i in range(10)]
+    assert len(set(new)) == 10 and not set(new) & set(secrets) and all(x.startswith("-------") for x in new)
+
+
 def test_pii_edges(edge_docs, no_docs):
     out = pii.replace_pii(edge_docs)
     assert out.count() == edge_docs.count() and out.columns == [*edge_docs.columns, "pii_spans"]
