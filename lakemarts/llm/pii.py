@@ -2,7 +2,11 @@
 its type, gender, script and format.
 
 An entity is a kind and a canonical form; all its mentions, in all documents,
-get the same surrogate, and different entities get different ones.  A
+get the same surrogate, and different entities get different ones.  A name is
+found behind a title; its given names and its family name are entities of
+their own, so that full and family name of one person agree, and every
+further capitalised mention of one of these words in the document is replaced
+too.  A name that no title of its document announces is not found.  A
 surrogate is drawn by a keyed hash of the entity and an attempt number.
 ``later_attempts`` checks the first draws of all distinct entities against
 each other and against all entities that occur: who loses a collision draws
@@ -42,15 +46,7 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
 
     @F.pandas_udf(_ENTITIES)
     def found(texts: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                [
-                    {"kind": k, "entity": e}
-                    for k, e in sorted({(k, core.canonical(k, t[a:b])) for k, a, b in core.find(t)})
-                ]
-                for t in texts
-            ]
-        )
+        return pd.Series([[{"kind": k, "entity": e} for k, e in core.entities(t)] for t in texts])
 
     return docs.select(F.explode(found(text)).alias("e")).select("e.kind", "e.entity").distinct()
 
@@ -66,8 +62,8 @@ def later_attempts(found: DataFrame, key: bytes = KEY) -> DataFrame:
     found = stored(found, "entities")
     drawn = found.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw("kind", "entity", "attempt"))
     drawn = stored(drawn, "drawn")
-    # genders share a family of names: a surrogate has to differ across them
-    family = F.when(F.col("kind").startswith("name"), "name").otherwise(F.col("kind"))
+    # genders share a family of given names: a surrogate has to differ across them
+    family = F.when(F.col("kind").startswith("given"), "given").otherwise(F.col("kind"))
     while True:
         rows = drawn.withColumn("family", family)
         holder = rows.groupBy("family", "surrogate").agg(
@@ -121,9 +117,7 @@ def replace_pii(
 
         @F.pandas_udf(_ENTITIES)
         def named(texts: pd.Series) -> pd.Series:
-            return pd.Series(
-                [[{"kind": k, "entity": core.canonical(k, t[a:b])} for k, a, b in core.find(t)] for t in texts]
-            )
+            return pd.Series([[{"kind": k, "entity": e} for k, e in core.entities(t)] for t in texts])
 
         # a document's own losers, met by the hash of its text; copies share them
         at = F.xxhash64(text)

@@ -30,8 +30,9 @@ SYLLABLES = {
     "latin": "ba de fi go lu ma ne pi ro su ta ve wi ka lo mi".split(),
     "cyrillic": "ба ве ги до лу ма не по ри су та фе".split(),
 }
-ENDINGS = {("latin", "m"): "n", ("latin", "f"): "n", ("latin", ""): "n",
-           ("cyrillic", "m"): "ов", ("cyrillic", "f"): "ова", ("cyrillic", ""): "енко"}
+#: Endings of made-up given names.
+ENDINGS = {("latin", "m"): "n", ("latin", "f"): "na", ("latin", ""): "s",
+           ("cyrillic", "m"): "н", ("cyrillic", "f"): "на", ("cyrillic", ""): "ша"}
 
 _NAME = "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True))
 _FINDERS = [
@@ -46,37 +47,117 @@ _FINDERS = [
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), "-"),
     ("card", re.compile(r"(?<![\w.])(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}|\d{13,19})(?!\w)"), None),
 ]
-_NAMES = re.compile(rf"(?<!\w)({_NAME})\s+([^\W\d_][\w'’-]*(?:\s+[^\W\d_][\w'’-]*){{0,2}})")
+_TITLE = re.compile(rf"(?<!\w)({_NAME})(?=\s)")
+_TITLE_WORDS = {t.rstrip(".") for t in TITLES}
+_WORD = re.compile(r"(?<![^\W_])[^\W\d_][\w'’-]*")
+_NEXT = re.compile(r"\s+(?:(?P<initial>[^\W\d_])\.(?=\s+[^\W\d_])|(?P<word>[^\W\d_][\w'’-]*))")
+_TAIL = re.compile(r"['’]s$|[_'’-]+$")
+#: Words of a name after its titles, initials apart.
+NAME_WORDS = 3
 _DIGIT = re.compile(r"\d")
 #: Attempts after which a surrogate varies in more places and grows with each
 #: further attempt, so that a crowded format always leaves room in the end.
 CROWDED = 8
+#: Attempts for which a given name is drawn from ``GIVEN``; later ones are made up.
+LISTED = 2
 #: Attempts after which an address, which cannot grow, becomes one of IPv6.
 EXHAUSTED = 64
 
 
-def _names(text: str) -> Iterator[tuple[str, int, int]]:
+#: A mention: kind, start, end, and the entities in it with their places.
+Mention = tuple[str, int, int, list[tuple[str, int, int]]]
+
+
+def _trimmed(text: str, start: int, end: int) -> int:
+    """The end of a word without a possessive ending or trailing signs."""
+    tail = _TAIL.search(text[start:end])
+    return start + tail.start() if tail else end
+
+
+def _titled(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """Gender and places of the words of every name behind one or more titles:
+    the capitalised words that are no titles."""
+    gender, ended = "", 0
+    for m in _TITLE.finditer(text):
+        chained = ended and not text[ended : m.start()].strip()
+        gender, ended = (gender if chained else "") or TITLES[m.group(1)], m.end()
+        words, initials, at = [], [], m.end()
+        while len(words) < NAME_WORDS and (w := _NEXT.match(text, at)):
+            start, at = w.span("word" if w["word"] else "initial")
+            if not text[start].isupper() or text[start:at] in _TITLE_WORDS:
+                break
+            if w["initial"]:
+                initials.append((start, at))
+                at = w.end()
+                continue
+            end = _trimmed(text, start, at)
+            words.append((start, end))
+            if end < at:
+                break
+        if words or initials:
+            yield gender, words or initials[:1]
+
+
+def _names(text: str, taken: list[tuple[int, int]]) -> list[Mention]:
+    """Names behind titles, and all further mentions of their words outside
+    the taken spans.  The last word is the family name and the others are
+    given names, wherever in the text a longer name tells so."""
     if not any(t in text for t in TITLES):
-        return
-    for m in _NAMES.finditer(text):
-        words = m.group(2).split()
-        kept = 0
-        while kept < len(words) and words[kept][0].isupper():
-            kept += 1
-        if kept:
-            start = m.start(2)
-            end = start
-            for w in words[:kept]:
-                end = text.index(w, end) + len(w)
-            yield f"name{TITLES[m.group(1)]}", start, end
+        return []
+    titled = list(_titled(text))
+    if not titled:
+        return []
+    family: dict[str, str] = {}  # each with the gender that a title of this text gives
+    given: dict[str, str] = {}
+    by_length = sorted(titled, key=lambda n: len(n[1]) == 1)
+    for gender, places in by_length:
+        words = [canonical("name", text[a:b]) for a, b in places]
+        for w in words[:-1]:
+            given[w] = given.get(w) or gender
+        alone = len(words) == 1 and words[0] in given and words[0] not in family
+        of = given if alone else family
+        of[words[-1]] = of.get(words[-1]) or gender
 
+    def mention(places: list[tuple[int, int]], gender: str | None) -> Mention:
+        words = [canonical("name", text[a:b]) for a, b in places]
+        parts = []
+        for k, (w, (a, b)) in enumerate(zip(words, places)):
+            if (w in family) if k == len(words) - 1 else (w not in given):
+                parts.append(("family", a, b))
+            else:
+                parts.append((f"given{gender or given[w]}", a, b))
+        if gender is None:
+            gender = next((g for w in words for g in (given.get(w), family.get(w)) if g), "")
+        return f"name{gender}", places[0][0], places[-1][1], parts
 
-def find(text: str | None) -> list[tuple[str, int, int]]:
-    """Entities ``(kind, start, end)`` in text order, none overlapping: where
-    two patterns meet, the earlier start wins, then the longer one."""
+    out = [mention(places, gender) for gender, places in titled]
+    held = sorted([*taken, *((a, b) for _, a, b, _ in out)])
+    k, run = 0, []
+    for m in _WORD.finditer(text):
+        a, b = m.start(), _trimmed(text, *m.span())
+        while k < len(held) and held[k][1] <= a:
+            k += 1
+        known = text[a].isupper() and b - a > 1 and not (k < len(held) and held[k][0] < b)
+        w = canonical("name", text[a:b]) if known else ""
+        known = w in family or w in given
+        # a given name and the known word right behind it are one mention
+        if run and not (known and text[run[-1][1] : a].isspace() and canonical("name", text[slice(*run[-1])]) in given):
+            out.append(mention(run, None))
+            run = []
+        if known:
+            run.append((a, b))
+    if run:
+        out.append(mention(run, None))
+    return out
+
+
+def mentions(text: str | None) -> list[Mention]:
+    """Mentions in text order, none overlapping: where two patterns meet, the
+    earlier start wins, then the longer one.  A name's entities are its given
+    names and its family name; any other mention is one entity."""
     if not text:
         return []
-    found = list(_names(text))
+    found: list[Mention] = []
     if "@" in text or _DIGIT.search(text) or '"' in text or "=" in text or ":" in text:
         digits = _DIGIT.search(text) is not None
         for kind, pattern, needs in _FINDERS:
@@ -84,15 +165,27 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                 continue
             for m in pattern.finditer(text):
                 group = next((g for g in ("e", "h") if kind == "secret" and m.group(g)), 0)
-                found.append((kind, m.start(group), m.end(group)))
+                a, b = m.span(group)
+                found.append((kind, a, b, [(kind, a, b)]))
+    found += _names(text, [(a, b) for _, a, b, _ in found])
     out, end = [], 0
-    for kind, a, b in sorted(found, key=lambda f: (f[1], -f[2], f[0])):
-        if a >= end:
-            out.append((kind, a, b))
-            end = b
+    for m in sorted(found, key=lambda m: (m[1], -m[2], m[0])):
+        if m[1] >= end:
+            out.append(m)
+            end = m[2]
     return out
 
 
+def find(text: str | None) -> list[tuple[str, int, int]]:
+    """Kind, start and end of the mentions."""
+    return [m[:3] for m in mentions(text)]
+
+
+def entities(text: str | None) -> list[tuple[str, str]]:
+    """The distinct entities ``(kind, canonical form)`` of a text."""
+    return sorted({(k, canonical(k, text[a:b])) for *_, parts in mentions(text) for k, a, b in parts})
+
+
 def canonical(kind: str, mention: str) -> str:
     """The entity of a mention: all spellings of one entity share it."""
     mention = unicodedata.normalize("NFC", mention)
@@ -183,13 +276,17 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
         return digits + _letters("0" * grown, s)
     if kind == "ssn":
         return "".join(str(s.below(10)) for _ in range(len(entity) + grown))
-    gender, script = kind[4:], _script(entity)
-    words = entity.split()
-    given = GIVEN[script, gender]
-    out = [given[s.below(len(given))].lower() for _ in words[:-1]]
+    script = _script(entity)
     syllables = SYLLABLES[script]
-    family = "".join(syllables[s.below(len(syllables))] for _ in range(3 + crowded + grown))
-    return " ".join([*out, family + ENDINGS[script, gender]])
+    if kind == "family":
+        # its form follows the name's, whatever title stands before it
+        end = "n" if script == "latin" else "ова" if entity[-1] in "ая" else "ов" if entity[-1] in "внй" else "енко"
+        return "".join(syllables[s.below(len(syllables))] for _ in range(3 + attempt)) + end
+    gender = kind.removeprefix("given")
+    if attempt < LISTED:
+        given = GIVEN[script, gender]
+        return given[s.below(len(given))].lower()
+    return "".join(syllables[s.below(len(syllables))] for _ in range(1 + attempt)) + ENDINGS[script, gender]
 
 
 def render(kind: str, mention: str, replacement: str) -> str:
@@ -200,8 +297,8 @@ def render(kind: str, mention: str, replacement: str) -> str:
     letters = [c for c in mention if c.isalpha()]
     if letters and all(c.isupper() for c in letters):
         return replacement.upper()
-    if kind.startswith("name"):
-        return " ".join(w[:1].upper() + w[1:] for w in replacement.split())
+    if kind == "family" or kind.startswith("given"):
+        return replacement[:1].upper() + replacement[1:]
     return replacement
 
 
@@ -209,18 +306,20 @@ def replace(text: str | None, key: bytes, attempts: dict[tuple[str, str], int])
     """The text with every entity replaced, and the replacements' spans
     ``(kind, start, end)`` in the new text.  ``attempts`` names the entities
     whose first surrogate was not free."""
-    spans = find(text)
-    if not spans:
+    found = mentions(text)
+    if not found:
         return text, []
     out, done, at, new = [], [], 0, 0
-    for kind, a, b in spans:
-        mention = text[a:b]
-        entity = canonical(kind, mention)
-        shown = render(kind, mention, surrogate(kind, entity, attempts.get((kind, entity), 0), key))
-        out += [text[at:a], shown]
-        new += a - at
-        done.append((kind, new, new + len(shown)))
-        new += len(shown)
-        at = b
+    for kind, start, _, parts in found:
+        out.append(text[at:start])
+        at = start
+        first = new = new + len(out[-1])
+        for part, a, b in parts:
+            entity = canonical(part, text[a:b])
+            shown = render(part, text[a:b], surrogate(part, entity, attempts.get((part, entity), 0), key))
+            out += [text[at:a], shown]
+            new += a - at + len(shown)
+            at = b
+        done.append((kind, first, new))
     out.append(text[at:])
     return "".join(out), done

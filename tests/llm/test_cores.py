@@ -170,6 +170,34 @@ def test_pii_keeps_kind_format_and_identity():
     assert pii_core.find("plain words only") == []
 
 
+@pytest.mark.parametrize("text, names", [
+    ("Mrs. Brown and Mr. Green", ["Brown", "Green"]),
+    ("Herr Mueller und Frau Schmidt", ["Mueller", "Schmidt"]),
+    ("Mrs. Brown Mr. Green", ["Brown", "Green"]),
+    ("Herr Dr. Schmidt", ["Schmidt"]),
+    ("Mr. J. Smith's House", ["Smith"]),
+    ("Smith and JOHN. Mr. John Smith said; later Smith's car, blacksmith", ["Smith", "JOHN", "John Smith", "Smith"]),
+    ("Mr. John Smith met Mr. John and John Smith.", ["John Smith", "John", "John Smith"]),
+    ("write Smith@x.com, Mr. Smith", ["Smith@x.com", "Smith"]),
+    ("Mr. said", []),
+])
+def test_every_mention_of_a_titled_name_is_found(text, names):
+    assert [text[a:b] for _, a, b in pii_core.find(text)] == names
+
+
+def test_full_and_family_name_are_one_person():
+    text = "Mr. John Smith, Mr. Smith, Dr. Smith, Dr. John Smith, SMITH, John; Mrs. Jane Smith"
+    new, spans = pii_core.replace(text, b"k", {})
+    full, *others, john, jane = (new[a:b] for _, a, b in spans)
+    given, family = full.split()
+    assert others == [family, family, full, family.upper()] and john == given
+    assert jane.split()[1] == family and jane.split()[0] in pii_core.GIVEN["latin", "f"]
+    assert {k for k, _ in pii_core.entities(text)} == {"family", "givenm", "givenf"}
+    later = {("givenm", "john"): 5, ("family", "smith"): 4}
+    a, b = (pii_core.replace(t, b"k", later)[0] for t in ("Mr. John Smith", "Dr. Smith"))
+    assert a.split()[2] == b.split()[1] != family
+
+
 def test_a_secret_without_letters_or_digits_is_a_placeholder():
     for text in ("password: --------", "token=________", "secret = /+/+/+/+/+"):
         assert pii_core.find(text) == []
