@@ -12,8 +12,15 @@ is counted only in the first pass whose window holds it: links are counted
 without being listed, and a block returns at most a row per class.
 
 The number of passes follows the number of classes, so that a pair at the
-threshold meets in some window with probability ``RECALL`` at every size
-(``passes_for``).
+threshold meets in some window with probability ``RECALL`` where the vectors
+lie evenly (``passes_for``).  In a dense group a window is full before it
+holds all partners.  So every class that the windows link to ``window *
+CROWDED`` others or more is crowded, and is compared with all classes that can
+link to it: pivots are taken until each crowded class is within the threshold's
+angle of one, which is its home; all its partners are within twice that angle
+of the home.  These pairs are compared in blocks, and those that no window
+held are added: the links of crowded classes are exact.  A group's own pairs
+are all compared, and every class once with every pivot.
 
 Inputs: vectors that are null, empty or zero, or hold null or non-finite
 components, link with nothing; vectors of other lengths never link.  Repeated
@@ -36,6 +43,14 @@ from lakemarts.llm.common import components, ship, stored
 COSINE = 0.95
 WINDOW = 512
 BLOCK = 2048
+#: Share of a window's size from which the links of a class are crowded.
+CROWDED = 0.25
+#: Uncovered crowded vectors looked at by the driver at a time, for pivots.
+SAMPLE = 1000
+#: Classes of a side in a block of crowded pairs.
+SIDE = 4096
+#: Allowance for rounding where vectors are only chosen to be compared.
+SLACK = 1e-6
 #: Probability that a pair at the threshold meets in a window.
 RECALL = 0.995
 LEAST_PASSES = 8
@@ -121,8 +136,20 @@ def _smallest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _unit(vectors) -> np.ndarray:
+    """Vectors of one length as rows of length 1."""
+    x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    x /= np.abs(x).max(axis=1)[:, None]  # against overflow and underflow of squares
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    return x
+
+
+_FOUND = "cid long, links long, degree long, to long"
+
+
 def _block_links(rows: pd.DataFrame, cosine: float, window: int, block: int) -> pd.DataFrame:
-    """Links of one block of one pass: ``(cid, links, to)``."""
+    """Links of one block of one pass: ``(cid, links, degree, to)``, the degree
+    being the links without the copies."""
     p = int(rows["pass"].iloc[0])
     ranks = np.stack(rows["ranks"].to_list())
     order = np.argsort(ranks[:, p], kind="stable")
@@ -134,9 +161,7 @@ def _block_links(rows: pd.DataFrame, cosine: float, window: int, block: int) ->
     firsts, seconds = [], []
     for size in np.unique(sizes):
         at = np.flatnonzero(sizes == size)
-        x = np.stack([vectors[i] for i in at])
-        x /= np.abs(x).max(axis=1)[:, None]  # against overflow and underflow of squares
-        x /= np.sqrt((x * x).sum(axis=1))[:, None]
+        x = _unit([vectors[i] for i in at])
         for k in range(0, len(at), 256):
             i, j = np.nonzero(x[k : k + 256] @ x.T >= cosine)
             i, j = at[i + k], at[j]
@@ -149,13 +174,151 @@ def _block_links(rows: pd.DataFrame, cosine: float, window: int, block: int) ->
     for q in range(p):
         new &= np.abs(ranks[i, q] - ranks[j, q]) > window
     links = np.bincount(i[new], n[j[new]], len(cid)) + np.bincount(j[new], n[i[new]], len(cid))
+    degree = np.bincount(i[new], minlength=len(cid)) + np.bincount(j[new], minlength=len(cid))
     to = _smallest(len(cid), i, j)
     linked = np.flatnonzero((links > 0) | (to != np.arange(len(cid))))
-    return pd.DataFrame({"cid": cid[linked], "links": links[linked].astype(np.int64), "to": cid[to[linked]]})
+    return pd.DataFrame(
+        {"cid": cid[linked], "links": links[linked].astype(np.int64), "degree": degree[linked], "to": cid[to[linked]]}
+    )
+
+
+Pivots = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _uncovered(pivots, cosine: float):
+    """A function of vectors: whether no pivot is within the angle."""
+
+    @F.pandas_udf("boolean")
+    def uncovered(vectors: pd.Series) -> pd.Series:
+        out = np.ones(len(vectors), dtype=bool)
+        sizes = vectors.map(len).to_numpy()
+        for size in np.unique(sizes):
+            if size in pivots.value:
+                at = np.flatnonzero(sizes == size)
+                out[at] = (_unit(vectors.iloc[at]) @ pivots.value[size][1].T).max(axis=1) < cosine - SLACK
+        return pd.Series(out)
+
+    return uncovered
+
+
+def _pivots(crowded: DataFrame, cosine: float) -> Pivots:
+    """By vector length: numbers and unit vectors of pivots, such that every
+    crowded class is within the threshold's angle of one."""
+    spark = crowded.sparkSession
+    held: Pivots = {}
+    rest, n = crowded, 0
+    while True:
+        sample = [r.embedding for r in rest.select("embedding").limit(SAMPLE).collect()]
+        if not sample:
+            return held
+        for size in {len(v) for v in sample}:
+            new: list[np.ndarray] = []  # the first one always: no earlier pivot covers it
+            for v in _unit([v for v in sample if len(v) == size]):
+                if not new or (np.stack(new) @ v).max() < cosine - SLACK:
+                    new.append(v)
+            ids, units = held.get(size, (np.empty(0, dtype=np.int64), np.empty((0, size))))
+            held[size] = np.append(ids, np.arange(n, n + len(new))), np.concatenate([units, new])
+            n += len(new)
+        rest = crowded.where(_uncovered(spark.sparkContext.broadcast(held), cosine)("embedding"))
+
+
+def _near_pivots(placed: DataFrame, pivots: Pivots, cosine: float) -> DataFrame:
+    """``placed`` once for every pivot that a partner of it may have as its
+    home, with ``home``: whether it is a crowded class of this home."""
+    held = placed.sparkSession.sparkContext.broadcast(pivots)
+    least = math.cos(min(math.pi, 2 * math.acos(min(1.0, max(-1.0, cosine))))) - 10 * SLACK
+
+    @F.pandas_udf("struct<home long, near array<long>>")
+    def near(vectors: pd.Series) -> pd.DataFrame:
+        home, lists = np.full(len(vectors), -1), [[] for _ in range(len(vectors))]
+        sizes = vectors.map(len).to_numpy()
+        for size in np.unique(sizes):
+            if size not in held.value:
+                continue
+            ids, units = held.value[size]
+            at = np.flatnonzero(sizes == size)
+            cosines = _unit(vectors.iloc[at]) @ units.T
+            home[at] = ids[cosines.argmax(axis=1)]
+            for k, row in zip(at, cosines):
+                lists[k] = ids[row >= least].tolist()
+        return pd.DataFrame({"home": home, "near": lists})
+
+    return (
+        placed.withColumn("at", near("embedding")).select("*", F.explode("at.near").alias("pivot"))
+        .withColumn("home", F.col("crowded") & (F.col("at.home") == F.col("pivot"))).drop("at")
+    )
+
+
+def _side_links(rows: pd.DataFrame, cosine: float, window: int) -> pd.DataFrame:
+    """Links of one block of crowded classes with classes near their home,
+    counted where no window held the pair: ``(cid, links, degree, to)``.  The
+    link of two crowded classes is counted for each at its own home."""
+    first = rows["first"].to_numpy()
+    x, y = rows[first], rows[~first]
+    if not len(x) or not len(y):
+        return pd.DataFrame({"cid": [], "links": [], "degree": [], "to": []}, dtype=np.int64)
+    a, b = _unit(x["embedding"]), _unit(y["embedding"])
+    x_cid, y_cid, x_n, y_n = (c.to_numpy() for c in (x["cid"], y["cid"], x["n"], y["n"]))
+    x_ranks, y_ranks = (np.stack(c["ranks"].to_list()).T for c in (x, y))
+    hit = np.empty((len(x), len(y)), dtype=bool)
+    links, degree = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=np.int64)
+    for k in range(0, len(x), 256):
+        some = slice(k, k + 256)
+        hit[some] = (a[some] @ b.T >= cosine) & (x_cid[some, None] != y_cid)
+        new = hit[some].copy()
+        for p, q in zip(x_ranks, y_ranks):
+            new &= np.abs(p[some, None] - q) > window
+        links[: len(x)][some] = np.where(new, y_n, 0).sum(axis=1)
+        degree[: len(x)][some] = new.sum(axis=1)
+        links[len(x) :] += np.where(new, x_n[some, None], 0).sum(axis=0)
+        degree[len(x) :] += new.sum(axis=0)
+    own = len(x) + np.flatnonzero(y["crowded"].to_numpy())
+    links[own] = degree[own] = 0
+    # the smallest row connected with each row
+    none = len(rows)
+    to = np.arange(none)
+    while True:
+        before = to.copy()
+        up = np.array([np.where(h, to[len(x) :], none).min() for h in hit])
+        to[: len(x)] = np.minimum(to[: len(x)], up)
+        for k, h in enumerate(hit):
+            np.minimum(to[len(x) :], to[k], out=to[len(x) :], where=h)
+        if (to == before).all():
+            break
+    cid = np.concatenate([x_cid, y_cid])
+    linked = np.flatnonzero((links > 0) | (to != np.arange(none)))
+    return pd.DataFrame({"cid": cid[linked], "links": links[linked], "degree": degree[linked], "to": cid[to[linked]]})
+
+
+def _crowded_links(placed: DataFrame, found: DataFrame, cosine: float, window: int, side: int) -> DataFrame | None:
+    """The links of crowded classes that no window held, as ``found`` has
+    those of the windows; ``None`` where no class is crowded."""
+    crowded = stored(
+        found.groupBy("cid").agg(F.sum("degree").alias("degree"))
+        .where(F.col("degree") >= max(1, window * CROWDED)).select("cid", F.lit(True).alias("crowded")), "crowded",
+    )
+    if crowded.isEmpty():
+        return None
+    placed = stored(
+        placed.join(crowded, "cid", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))), "placed"
+    )
+    pivots = _pivots(placed.where("crowded").select("embedding"), cosine)
+    near = stored(_near_pivots(placed, pivots, cosine), "near")
+    sides = near.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias("sides"))
+    dealt = near.join(sides, "pivot").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("sides")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("sides") - 1))
+    columns = ["pivot", "cid", "n", "embedding", "ranks", "crowded"]
+    firsts = dealt.where("home").select(*columns, F.lit(True).alias("first"), F.col("own").alias("i"), every.alias("j"))
+    seconds = dealt.select(*columns, F.lit(False).alias("first"), F.col("own").alias("j"), every.alias("i"))
+    return stored(
+        firsts.unionByName(seconds).groupBy("pivot", "i", "j")
+        .applyInPandas(lambda rows: _side_links(rows, cosine, window), _FOUND), "crowd",
+    )
 
 
 def near_vectors(
-    vectors: DataFrame, cosine: float = COSINE, window: int = WINDOW, block: int = BLOCK, passes: int | None = None
+    vectors: DataFrame, cosine: float = COSINE, window: int = WINDOW, block: int = BLOCK, passes: int | None = None,
+    side: int = SIDE,
 ) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``."""
     if block < window:
@@ -189,9 +352,12 @@ def near_vectors(
     found = stored(
         by_pass.select("cid", "n", "embedding", "ranks", "pass", F.explode(blocks).alias("block"))
         .groupBy("pass", "block")
-        .applyInPandas(lambda rows: _block_links(rows, cosine, window, block), "cid long, links long, to long"),
+        .applyInPandas(lambda rows: _block_links(rows, cosine, window, block), _FOUND),
         "links",
     )
+    crowd = _crowded_links(placed, found, cosine, window, side)
+    if crowd is not None:
+        found = found.unionByName(crowd)
     counted = found.groupBy("cid").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("cid").alias("a"), F.col("to").alias("b")))
     of_class = (

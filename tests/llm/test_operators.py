@@ -163,6 +163,24 @@ def test_vectors_equal_brute_force(ready):
     assert rows(embeddings.near_vectors(frame.where("false"))) == []
 
 
+@pytest.mark.parametrize("side", [4096, 150])
+def test_links_of_dense_groups_are_exact(ready, side):
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal((2, 32))
+    x = np.concatenate([
+        rng.standard_normal((300, 32)), centre[0] + 0.15 * rng.standard_normal((900, 32)),
+        centre[1] + 0.28 * rng.standard_normal((500, 32)),  # only a part of its pairs link
+    ])
+    x = np.concatenate([x, x[400:410]])
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    comp = union_find(range(len(x)), zip(*(a.tolist() for a in np.nonzero(linked))))
+    frame = ready.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = rows(embeddings.near_vectors(frame, window=32, block=256, passes=8, side=side))
+    assert {i: (n, c) for i, n, c, _ in got} == {i: (int(linked[i].sum()), comp[i]) for i in range(len(x))}
+
+
 def test_more_vectors_need_more_passes():
     assert embeddings.passes_for(0) == embeddings.passes_for(500) == embeddings.LEAST_PASSES
     counts = [embeddings.passes_for(10**k) for k in range(3, 10)]
