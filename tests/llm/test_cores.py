@@ -116,6 +116,34 @@ def test_passages_are_verified_with_edits_and_shifts():
     assert substring_core.verify(x, short, [(35, 12)]) == []
 
 
+@pytest.mark.parametrize("line_first", [True, False])
+def test_passages_are_verified_next_to_a_line_that_is_elsewhere(line_first):
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    passage, line = [word() for _ in range(60)], [word() for _ in range(25)]
+    edited = passage[:30] + ["edit"] + passage[31:]
+    x = substring_core.shingles(" ".join(line + passage if line_first else passage + line))
+    y = substring_core.shingles(" ".join([word() for _ in range(9)] + edited + [word() for _ in range(40)] + line))
+    at = 25 * line_first
+    for k in (3, 40):
+        assert substring_core.verify(x, y, [(at + k, 9 + k)]) == [(at, at + 60, 9, 69)]
+    # text of the same kind that reaches the similarity only in a part
+    scattered = [w if k < 60 or k % 8 else "edit" for k, w in enumerate(passage + [word() for _ in range(60)])]
+    x = substring_core.shingles(" ".join(passage + [word() for _ in range(60)]))
+    y = substring_core.shingles(" ".join(scattered))
+    assert substring_core.verify(x, y, [(5, 5)]) == [(0, 60, 0, 60)]
+
+
+def test_an_equal_run_is_verified_whatever_stands_next_to_it():
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    passage, other = [word() for _ in range(50)], [word() for _ in range(30)]
+    x = substring_core.shingles(" ".join(passage + other))
+    y = substring_core.shingles(" ".join(passage + [word() for _ in range(8)] + other[8:16] + other[:8] * 6))
+    found = substring_core.verify(x, y, [(5, 5)])
+    assert len(found) == 1 and found[0][0] == found[0][2] == 0 and min(found[0][1], found[0][3]) >= 50
+
+
 def test_tiling_marks_the_longest_matches_and_finds_reordered_parts():
     item = list(range(30))
     text = [99, *range(15, 30), 98, *range(15), 97]
