@@ -134,6 +134,19 @@ def test_passages_are_verified_next_to_a_line_that_is_elsewhere(line_first):
     assert substring_core.verify(x, y, [(5, 5)]) == [(0, 60, 0, 60)]
 
 
+def test_near_passages_of_the_least_similarity_become_candidates():
+    rnd = random.Random(3)
+    words = lambda n: ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    for _ in range(700):
+        passage = words(50)
+        edited = passage[:25] + words(1) + passage[26:]  # similar to 41 / 51
+        x, y = (substring_core.shingles(" ".join(words(60) + p + words(60))) for p in (passage, edited))
+        (x_keys, x_places, _), (y_keys, y_places, _) = substring_core.windows(x), substring_core.windows(y)
+        a, b = np.nonzero(x_keys[:, None] == y_keys)
+        centres = substring_core.anchors(x_places[a], y_places[b], substring_core.ENOUGH, 50) if len(a) else []
+        assert (60, 110, 60, 110) in substring_core.verify(x, y, centres)
+
+
 def test_an_equal_run_is_verified_whatever_stands_next_to_it():
     rnd = random.Random(7)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
