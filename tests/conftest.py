@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lakemarts import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -25,9 +23,3 @@ def spark():
     )
     yield session
     session.stop()
-
-
-def frame(spark, rows, columns):
-    """All-string DataFrame, as bronze tables are."""
-    schema = ", ".join(f"{c} string" for c in columns)
-    return spark.createDataFrame(rows, schema)

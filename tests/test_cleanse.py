@@ -1,7 +1,7 @@
 from decimal import Decimal
 import datetime as dt
 
-from conftest import frame
+from support import frame
 
 from lakemarts.contracts import CONTRACTS
 from lakemarts.operators.cleanse import cleanse

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from support import SF_SMALL
 from lakemarts.plans.oracle import oracle_queries
 from lakemarts.plans.queries import queries
 from lakemarts.sources.driver_tables import BASE_TABLES

@@ -4,7 +4,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from lakemarts.contracts import CONTRACTS, SOURCE_FILES
 from lakemarts.operators import quality as Q
 from lakemarts.plans import pipeline

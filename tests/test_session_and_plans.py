@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from lakemarts import build_session
 from lakemarts.operators import marts as M
 from lakemarts.operators import star as S

@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from lakemarts.operators import marts as M
 from lakemarts.operators import quality as Q
 from lakemarts.operators import star as S
