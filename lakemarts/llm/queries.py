@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemarts.llm import bpe, chat, licenses
+from lakemarts.llm.alignment import align
 from lakemarts.llm.common import table
 from lakemarts.llm.decontaminate import overlaps
 from lakemarts.llm.embeddings import near_vectors
@@ -99,6 +100,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "coverage", F.size("tiles").alias("n_tiles"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN,
+    )
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
