@@ -63,13 +63,13 @@ def walked(sides, text):
     ]
     if b"".join(in_a) != (" " + text).encode() or b"".join(in_b) != (" " + text).encode():
         return none, []
-    end_a, end_b = ends(in_a), ends(in_b)
+    ids, end_a, end_b = a.ids, ends(in_a), ends(in_b)
     i = j = 0
     links, groups, own = [], [], ([], [])
     while i < len(end_a):
-        links.append((a.ids[i], b[j]))
+        links.append((ids[i], b[j]))
         if end_a[i] <= end_b[j]:
-            own[0].append(str(a.ids[i]))
+            own[0].append(str(ids[i]))
         if end_b[j] <= end_a[i]:
             own[1].append(str(b[j]))
         if end_a[i] == end_b[j]:
