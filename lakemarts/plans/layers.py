@@ -222,6 +222,7 @@ class Lake:
         self.silver = Silver(raw, store=where("silver"))
         self.gold = Gold(self.silver.stored, dims=lambda name: self.gold.stored(name), store=where("gold"))
         self.marts = Marts(self.gold.stored, store=where("marts"))
+        self.parts: dict = {}  # what else lives under the store, by name; closed with it
 
     def prefetch_silver(self, names: Iterable[str]) -> None:
         self.silver.prefetch(names)
@@ -237,16 +238,12 @@ class Lake:
         self.prefetch_gold(g for n in names for g in MART_INPUTS.get(n, ()))
         self.marts.prefetch(names)
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
-        """``df`` written once under the store and read back."""
-        path = f"{self.store}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
-
     def close(self) -> None:
         """Remove the stored copies (if the session still runs)."""
         sc = self.spark.sparkContext
         if self.store and sc._jsc is not None:
+            for part in self.parts.values():
+                part.close()
             path = sc._jvm.org.apache.hadoop.fs.Path(self.store)
             path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 

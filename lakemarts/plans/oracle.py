@@ -678,6 +678,62 @@ ORPHAN_QUERIES = {
 }
 
 
+# The sources' file names and the facts' keys.
+_FILES = {
+    "customers": "olist_customers_dataset.csv", "orders": "olist_orders_dataset.csv",
+    "order_items": "olist_order_items_dataset.csv", "payments": "olist_order_payments_dataset.csv",
+    "reviews": "olist_order_reviews_dataset.csv", "products": "olist_products_dataset.csv",
+    "sellers": "olist_sellers_dataset.csv",
+}
+_FACTS = {
+    "fct_orders": ("orders", ["order_id"], ["order_key", "customer_key", "order_date_key"]),
+    "fct_order_items": (
+        "order_items", ["order_id", "order_item_id"],
+        ["order_item_key", "customer_key", "product_key", "seller_key", "order_date_key"],
+    ),
+}
+
+
+# The raw tables' columns.
+_RAW = {
+    "customers": ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"],
+    "orders": [
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+        "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
+    ],
+    "order_items": [
+        "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value",
+    ],
+    "payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
+    "reviews": [
+        "review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
+        "review_creation_date", "review_answer_timestamp",
+    ],
+    "products": [
+        "product_id", "product_category_name", "product_name_lenght", "product_description_lenght",
+        "product_photos_qty", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",
+    ],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+}
+
+
+def _reconciliation_sql(fact: str, source: str) -> str:
+    table, natural, keys = _FACTS[fact]
+    key = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in natural)
+    number = f"sum(CAST(('0x' || substr(md5({key}), 1, 15)) AS HUGEINT))"
+    nulls = " || ', ' || ".join(f"'{k}=' || CAST(count(*) FILTER ({k} IS NULL) AS VARCHAR)" for k in keys)
+    any_null = " OR ".join(f"{k} IS NULL" for k in keys)
+    return (
+        f"SELECT '{fact}' AS fact_name, CAST(n AS DOUBLE) AS source_rows, CAST(f AS DOUBLE) AS fact_rows, "
+        "CAST(a AS VARCHAR) AS source_checksum, CAST(b AS VARCHAR) AS fact_checksum, "
+        "CAST(bad AS DOUBLE) AS null_key_rows, nulls_by_key, "
+        "CASE WHEN n = f AND a = b AND bad = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM "
+        f"(SELECT count(*) AS n, coalesce({number}, 0) AS a FROM {source.format(table)}), "
+        f"(SELECT count(*) AS f, coalesce({number}, 0) AS b, count(*) FILTER ({any_null}) AS bad, "
+        f"{nulls} AS nulls_by_key FROM {fact})"
+    )
+
+
 def _bodies() -> dict[str, str]:
     q: dict[str, str] = {}
     for t, spec in SILVER_SPECS.items():
@@ -735,14 +791,39 @@ def _bodies() -> dict[str, str]:
     q["dq_raw_critical_failures"] = typed(
         "dq_raw_results", results, where="severity = 'CRITICAL' AND status = 'FAIL'"
     )
+    # of two recorded runs, silver's and the raw tables', the latter is the latest
+    q["dq_history"] = typed("dq_results", results) + " UNION ALL " + typed("dq_raw_results", results)
     q["dq_summary"] = (
         "SELECT severity, status, CAST(count(*) AS DOUBLE) AS check_count, CAST(sum(failed_rows) AS DOUBLE) AS failed_rows "
-        "FROM dq_results GROUP BY severity, status"
+        "FROM dq_raw_results GROUP BY severity, status"
     )
     q["dq_failures"] = typed(
-        "dq_results", "table_name:s check_name:s severity:s failed_rows:i failure_rate:f details:s",
+        "dq_raw_results", "table_name:s check_name:s severity:s failed_rows:i failure_rate:f details:s",
         where="status = 'FAIL'",
     )
+    for name, source in (("dq_gate", "dq_raw_results"), ("dq_gate_silver", "dq_results")):
+        q[name] = (
+            "SELECT CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict, "
+            "CAST(count(*) AS DOUBLE) AS critical_failures, "
+            "string_agg(line, '; ' ORDER BY line) AS error FROM ("
+            "SELECT table_name || ': ' || check_name || ' (' || CAST(CAST(failed_rows AS BIGINT) AS VARCHAR) || ' rows)' AS line "
+            f"FROM {source} WHERE severity = 'CRITICAL' AND status = 'FAIL')"
+        )
+    q["ingestion_summary"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset_name, '{_FILES[t]}' AS source_file, '{t}_raw' AS table_name, "
+        f"CAST(count(*) AS DOUBLE) AS row_count, CAST({len(_RAW[t]) + 3} AS DOUBLE) AS column_count, "
+        f"'success' AS status FROM {t}_raw" for t in SILVER_SPECS
+    )
+    for t, spec in SILVER_SPECS.items():
+        q[f"staged_silver_{t}"] = typed(f"s_{t}", spec)
+        first = _RAW[t][0]
+        columns = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _RAW[t])
+        q[f"bronze_{t}"] = (
+            f"SELECT {columns}, CASE WHEN substr(md5(coalesce(CAST({first} AS VARCHAR), '')), 1, 1) >= '8' THEN '2' END "
+            f"AS feed_version FROM {t}_raw"
+        )
+    for name, prefix in (("fact_reconciliation", "s_{}"), ("fact_reconciliation_raw", "{}_raw")):
+        q[name] = " UNION ALL ".join(_reconciliation_sql(fact, prefix) for fact in _FACTS)
     q["mart_tests"] = (
         "SELECT model, test_name, column_name, CAST(failures AS DOUBLE) AS failures, "
         "CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM mart_tests"

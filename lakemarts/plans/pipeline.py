@@ -3,10 +3,10 @@
 Each stage writes tables and the next stage reads them, so every layer is a
 lineage cut (a lost executor costs at most the current stage) and later
 stages scan compact Parquet instead of re-parsing CSV.  A stage starts only
-after the previous one succeeded; the quality gate stops the run on a
-critical failure after its results were recorded.  Facts are built into
-staging tables, reconciled (Q16) and key-checked (Q17), and only then
-published under their real names.
+after the previous one succeeded.  The quality gate is part of gold's plans:
+gold reads silver through the recorded verdict, and its jobs fail where the
+verdict does.  Facts are staged as versions no reader sees, reconciled (Q16)
+and key-checked (Q17) in one job, and only then published.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from lakemarts.operators import quality as Q
 from lakemarts.operators.cleanse import cleanse
 from lakemarts.plans.layers import DIMENSIONS, FACTS, MART_TABLES, SILVER_TABLES, Gold, Marts
 from lakemarts.sources.catalog import Catalog
-from lakemarts.sources.csv_ingest import MissingSourcesError, ingest_all, missing_sources
+from lakemarts.sources.csv_ingest import ingest_all, refuse_missing
 
 INGEST_TABLE = "ingestion_summary"
 QUALITY_TABLE = "data_quality_results"
@@ -33,15 +34,10 @@ SUMMARY_TABLE = "data_quality_summary"
 FAILURE_TABLE = "data_quality_failures"
 PROFILE_TABLE = "cleansing_profile"
 MART_TEST_TABLE = "mart_test_results"
+GATE_TABLE = "quality_gate"
+RECONCILIATION_TABLE = "fact_reconciliation"
 ORDER_COUNT_VIEW = "check_gold_connection"
 
-# Fact key columns that must never be NULL (Q17).
-FACT_KEYS = {
-    "fct_orders": ["order_key", "customer_key", "order_date_key"],
-    "fct_order_items": ["order_item_key", "customer_key", "product_key", "seller_key", "order_date_key"],
-}
-FACT_SOURCES = {"fct_orders": "orders", "fct_order_items": "order_items"}
-
 
 class ReconciliationError(AssertionError):
     pass
@@ -71,25 +67,26 @@ def concurrently(tasks: dict[str, Callable[[], int]]) -> dict[str, int]:
 def bronze_stage(catalog: Catalog, raw_dir: str, report: RunReport) -> DataFrame:
     summary = ingest_all(catalog, raw_dir)
     catalog.overwrite(summary, "monitoring", INGEST_TABLE)
-    report.bronze = {r.dataset_name: r.row_count for r in summary.select("dataset_name", "row_count").collect()}
-    # S04 on the written tables: a source that produced no row (header-only
-    # file) is as missing as an absent one.  Reads one column of Parquet.
-    bronze = {name: catalog.table("bronze", contract.raw) for name, contract in CONTRACTS.items()}
-    missing = missing_sources(bronze)
-    if missing:
-        raise MissingSourcesError(f"Sources without rows: {', '.join(missing)}")
+    rows = summary.collect()  # one per dataset
+    report.bronze = {r.dataset_name: r.row_count for r in rows}
+    refuse_missing(rows)
     return summary
 
 
-def silver_stage(catalog: Catalog, report: RunReport) -> None:
+def write_silver(catalog: Catalog, names: tuple[str, ...] = SILVER_TABLES) -> dict[str, int]:
+    """Cleanse bronze tables into silver ones; their row counts."""
     bronze = catalog.provider("bronze")
-    report.silver = concurrently({
-        name: (lambda name=name, contract=contract: catalog.write_and_count(
-            cleanse(bronze(contract.raw), contract), "silver", name))
-        for name, contract in CONTRACTS.items()
+    return concurrently({
+        name: (lambda contract=CONTRACTS[name]: catalog.overwrite(
+            cleanse(bronze(contract.raw), contract), "silver", contract.name))
+        for name in names
     })
+
+
+def silver_stage(catalog: Catalog, report: RunReport) -> None:
+    report.silver = write_silver(catalog)
     # Profiles read the written tables, not the cleansing plans again.
-    silver = catalog.provider("silver")
+    bronze, silver = catalog.provider("bronze"), catalog.provider("silver")
     profiles = reduce(
         DataFrame.unionByName,
         [P.profile(name, bronze(CONTRACTS[name].raw), silver) for name in CONTRACTS],
@@ -97,61 +94,60 @@ def silver_stage(catalog: Catalog, report: RunReport) -> None:
     catalog.overwrite(profiles, "monitoring", PROFILE_TABLE)
 
 
-def quality_stage(catalog: Catalog, report: RunReport) -> DataFrame:
+def record_results(catalog: Catalog, checks: DataFrame, layer: str) -> tuple[str, DataFrame]:
+    """Q07: run the checks once into the history; the run and its rows."""
     run_id, checked_at = Q.new_run()
-    report.run_id = run_id
+    results = Q.dated(Q.finish_results(checks, run_id, checked_at, layer))
+    catalog.record(results, "monitoring", QUALITY_TABLE, Q.HISTORY_SCHEMA, run_id)
+    return run_id, catalog.table("monitoring", QUALITY_TABLE).filter(F.col("run_id") == run_id)
+
+
+def quality_stage(catalog: Catalog, report: RunReport) -> DataFrame:
     checks = Q.quality_checks(catalog.provider("silver"), catalog.table("bronze", CONTRACTS["reviews"].raw))
-    results = Q.finish_results(checks, run_id, checked_at)
-    catalog.append(results, "monitoring", QUALITY_TABLE)
+    report.run_id, results = record_results(catalog, checks, "silver")
     # Both reports read the stored history, so no check runs twice.
     history = catalog.table("monitoring", QUALITY_TABLE)
     catalog.overwrite(Q.summary_report(history), "monitoring", SUMMARY_TABLE)
     catalog.overwrite(Q.failure_report(history), "monitoring", FAILURE_TABLE)
-    Q.enforce_gate(catalog.spark, catalog.name("monitoring", QUALITY_TABLE), run_id)
-    return catalog.table("monitoring", QUALITY_TABLE).filter(F.col("run_id") == run_id)
-
-
-def validate_fact(df: DataFrame, fact: str, expected_rows: int) -> None:
-    """Q16 + Q17 in one pass over the staged fact."""
-    keys = FACT_KEYS[fact]
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]), 1).otherwise(0)).alias("null_keys"),
-    ).first()
-    if row.n != expected_rows:
-        raise ReconciliationError(f"{fact} has {row.n} rows, silver has {expected_rows}")
-    if row.null_keys:
-        raise ReconciliationError(f"{fact} has {row.null_keys} rows with a NULL key")
+    catalog.overwrite(Q.gate(results), "monitoring", GATE_TABLE)
+    return results
 
 
-def staging(fact: str) -> str:
-    return f"{fact}__staging"
+def gated_silver(catalog: Catalog) -> Callable[[str], DataFrame]:
+    """Silver tables that only a passed gate lets through."""
+    verdict = catalog.table("monitoring", GATE_TABLE)
+    return lambda name: Q.gated(catalog.table("silver", name), verdict)
 
 
 def gold_stage(catalog: Catalog, report: RunReport) -> None:
-    silver = catalog.provider("silver")
+    silver = gated_silver(catalog)
     builder = Gold(silver)
     report.gold.update(concurrently({
-        dim: (lambda dim=dim: catalog.write_and_count(builder.table(dim), "gold", dim)) for dim in DIMENSIONS
+        dim: (lambda dim=dim: catalog.overwrite(builder.table(dim), "gold", dim)) for dim in DIMENSIONS
     }))
     # The gate passed on these silver tables (not-null, uniqueness and the
     # six foreign keys are CRITICAL), so the facts need no dimension joins.
     facts = Gold(silver, dims=catalog.provider("gold"), integrity_proven=True)
     # Both facts are staged and validated before either is published.
-    expected = {}
-    for fact in FACTS:
-        catalog.overwrite(facts.table(fact), "gold", staging(fact))
-        expected[fact] = catalog.table("silver", FACT_SOURCES[fact]).count()
-        validate_fact(catalog.table("gold", staging(fact)), fact, expected[fact])
+    staged = concurrently({
+        fact: (lambda fact=fact: catalog.stage(facts.table(fact), "gold", fact)) for fact in FACTS
+    })
+    found = Q.reconciliation(lambda fact: catalog.table("gold", staged[fact][0]), catalog.provider("silver"))
+    catalog.overwrite(found, "monitoring", RECONCILIATION_TABLE)
+    failed = catalog.table("monitoring", RECONCILIATION_TABLE).filter("status = 'FAIL'").collect()  # two rows at most
+    if failed:
+        raise ReconciliationError("; ".join(
+            f"{r.fact_name}: {r.fact_rows} of {r.source_rows} rows, {r.null_key_rows} with a NULL key" for r in failed
+        ))
     for fact in FACTS:
-        catalog.publish(staging(fact), "gold", fact)
-        report.gold[fact] = expected[fact]
+        catalog.publish(staged[fact][0], "gold", fact)
+        report.gold[fact] = staged[fact][1]
 
 
 def mart_stage(catalog: Catalog, report: RunReport) -> DataFrame:
     marts = Marts(catalog.provider("gold"))
     report.marts = concurrently({
-        mart: (lambda mart=mart: catalog.write_and_count(marts.table(mart), "marts", mart)) for mart in MART_TABLES
+        mart: (lambda mart=mart: catalog.overwrite(marts.table(mart), "marts", mart)) for mart in MART_TABLES
     })
     catalog.create_view(
         "marts", ORDER_COUNT_VIEW, f"SELECT count(*) AS order_count FROM {catalog.name('gold', 'fct_orders')}"
@@ -172,7 +168,12 @@ def run_all(spark: SparkSession, raw_dir: str, prefix: str = "lake", location: s
     bronze_stage(catalog, raw_dir, report)
     silver_stage(catalog, report)
     quality_stage(catalog, report)
-    gold_stage(catalog, report)
+    try:
+        gold_stage(catalog, report)
+    except SparkRuntimeException as e:
+        if Q.GATE_FAILED not in str(e):
+            raise
+        raise Q.QualityGateError(str(e)) from e
     mart_stage(catalog, report)
     return report
 

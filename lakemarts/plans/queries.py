@@ -15,7 +15,6 @@ reference types (decimal money, int keys, dates).
 from __future__ import annotations
 
 import atexit
-import weakref
 from collections.abc import Callable
 from functools import reduce
 
@@ -30,7 +29,10 @@ from lakemarts.operators import tiles
 from lakemarts.operators.cleanse import clean_columns, row_filter
 from lakemarts.operators.dedup import duplicate_keys
 from lakemarts.plans.layers import FACTS, GOLD_DIMS, GOLD_INPUTS, GOLD_TABLES, MART_INPUTS, SILVER_TABLES, Gold, Lake
+from lakemarts.plans.staged import Staged
 
+#: The benchmark tables that the raw tables come from.
+LAKE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 AUDIT = {"_silver_processed_at", "_gold_processed_at", "_source_file", "_ingested_at", "run_id", "checked_at"}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,21 +61,37 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-_LAKES: "weakref.WeakKeyDictionary[SparkSession, dict[str, Lake]]" = weakref.WeakKeyDictionary()
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Sizes and times of the tables a lake reads, by which a change shows."""
+    sc = spark.sparkContext
+    found = []
+    for name in LAKE_TABLES:
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        status = path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path)
+        found.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(found)
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """The layered plans over one directory, built once per session.
+    """The layered plans over one directory, built once per session and state
+    of its tables.
 
     DataFrames are immutable plans, so queries of the same session share the
     raw, silver and gold DataFrames instead of re-reading Parquet footers and
-    re-analysing the same plans for every query."""
-    per_session = _LAKES.setdefault(spark, {})
-    key = sf_dir.rstrip("/")
-    if key not in per_session:
-        per_session[key] = Lake.from_driver_tables(spark, key)
-        atexit.register(per_session[key].close)
-    return per_session[key]
+    re-analysing the same plans for every query.  The session itself holds
+    its lakes, so they go with it."""
+    held = vars(spark).setdefault("_lakemarts_lakes", {})
+    key = (sf_dir.rstrip("/"), _stamp(spark, sf_dir.rstrip("/")))
+    if key not in held:
+        held[key] = Lake.from_driver_tables(spark, key[0])
+        atexit.register(held[key].close)
+    return held[key]
+
+
+def staged(lk: Lake) -> Staged:
+    if "staged" not in lk.parts:
+        lk.parts["staged"] = Staged(lk)
+    return lk.parts["staged"]
 
 
 def quality_results(lk: Lake) -> DataFrame:
@@ -83,28 +101,17 @@ def quality_results(lk: Lake) -> DataFrame:
     return Q.finish_results(checks, run_id, checked_at)
 
 
-def quality_history(lk: Lake) -> DataFrame:
-    """A results history of two runs: the checks of now, run once and stored,
-    and an earlier run in which every check failed on all rows.  Reports of
-    the latest run must not see the earlier one."""
-    now = lk.keep("quality", quality_results(lk))
-    earlier = now.withColumns({
-        "run_id": F.lit("earlier"),
-        "checked_at": F.col("checked_at") - F.expr("INTERVAL 1 DAY"),
-        "status": F.lit("FAIL"),
-        "failed_rows": F.col("total_rows"),
-    })
-    return now.unionByName(earlier)
+def gated_fact(lk: Lake, name: str) -> DataFrame:
+    """The fact as the staged run builds it: over silver that the gate lets
+    through, verdict of the recorded silver run, and without joins to the
+    dimensions."""
+    verdict = Q.gate(staged(lk).history().where("layer = 'silver'"))
+    return Gold(lambda t: Q.gated(lk.silver.stored(t), verdict), integrity_proven=True).table(name)
 
 
-def gated_fact(lk: Lake, name: str) -> DataFrame:
-    """The fact as the staged run builds it: only after the gate has passed,
-    and then without joins to the dimensions."""
-    lk.prefetch_silver(SILVER_TABLES)
-    failures = Q.critical_failures(lk.keep("quality_gate", quality_results(lk))).collect()  # 25 rows at most
-    if failures:
-        raise Q.QualityGateError(f"{len(failures)} critical checks failed")
-    return Gold(lk.silver.stored, integrity_proven=True).table(name)
+def fact_reconciliation(lk: Lake, sources: Callable[[str], DataFrame]) -> DataFrame:
+    lk.prefetch_gold(FACTS)
+    return Q.reconciliation(lk.gold.stored, sources)
 
 
 def layer_counts(lk: Lake) -> DataFrame:
@@ -152,21 +159,23 @@ def _registry() -> dict[str, Query]:
     for name in FACTS:
         q[f"{name}_gated"] = lambda s, d, name=name: gated_fact(lake(s, d), name)
 
-    def raw_checks(s, d):
-        """The check operators over raw tables, which do hold defects."""
-        lk = lake(s, d)
-        checks = Q.table_checks(lk.raw("order_items"), "order_items_raw", ["order_id", "seller_id"], ["order_id", "order_item_id"])
-        checks = checks.unionByName(Q.table_checks(
-            lk.raw("reviews"), "reviews_raw", ["review_id", "review_comment_title"], ["review_id"],
-            [Q.Rule("valid_review_score", lambda: F.expr("try_cast(review_score AS int)").between(1, 5),
-                    "Review score must be between 1 and 5.")],
-        ))
-        checks = checks.unionByName(Q.foreign_key_check(
-            lk.raw("orders"), lk.raw("reviews"), "orders_raw", "reviews_raw", ["order_id"]))
-        return Q.finish_results(checks, *Q.new_run(), layer="bronze")
-
-    q["dq_raw_results"] = raw_checks
-    q["dq_raw_critical_failures"] = lambda s, d: Q.critical_failures(raw_checks(s, d))
+    def raw_results(s, d):
+        return Q.finish_results(Q.raw_checks(lake(s, d).raw), *Q.new_run(), layer="bronze")
+
+    q["dq_raw_results"] = raw_results
+    q["dq_raw_critical_failures"] = lambda s, d: Q.critical_failures(raw_results(s, d))
+
+    # the catalog path: CSV part files, bronze and silver tables, history
+    q["ingestion_summary"] = lambda s, d: staged(lake(s, d)).ingestion_summary()
+    for t in SILVER_TABLES:
+        q[f"bronze_{t}"] = lambda s, d, t=t: staged(lake(s, d)).bronze(t)
+        q[f"staged_silver_{t}"] = lambda s, d, t=t: staged(lake(s, d)).silver(t)
+    q["dq_history"] = lambda s, d: staged(lake(s, d)).history().drop("run_date")
+    q["dq_gate"] = lambda s, d: Q.gate(raw_results(s, d))
+    q["dq_gate_silver"] = lambda s, d: Q.gate(staged(lake(s, d)).history().where("layer = 'silver'"))
+    q["fact_reconciliation"] = lambda s, d: fact_reconciliation(lake(s, d), lake(s, d).silver.stored)
+    # the facts against the raw tables, from which they do differ
+    q["fact_reconciliation_raw"] = lambda s, d: fact_reconciliation(lake(s, d), lake(s, d).raw)
 
     for t in SILVER_TABLES:
         def prof(s, d, t=t):
@@ -215,8 +224,9 @@ def _registry() -> dict[str, Query]:
     q["tile_late_orders_trend"] = lambda s, d: tiles.late_orders_trend(delivery(s, d))
 
     q["dq_results"] = lambda s, d: quality_results(lake(s, d))
-    q["dq_summary"] = lambda s, d: Q.summary_report(quality_history(lake(s, d)))
-    q["dq_failures"] = lambda s, d: Q.failure_report(quality_history(lake(s, d)))
+    q["dq_summary"] = lambda s, d: Q.summary_report(staged(lake(s, d)).history())
+    q["dq_failures"] = lambda s, d: Q.failure_report(staged(lake(s, d)).history())
+
     def mart_tests(s, d):
         lk = lake(s, d)
         lk.prefetch_marts(Q.MART_TESTS)

@@ -72,14 +72,54 @@ def test_twenty_five_checks_and_gate(spark, tmp_path):
     assert ok.count() == 25
     assert ok.filter("status = 'FAIL'").count() == 0
 
-    spark.sql("CREATE DATABASE IF NOT EXISTS qtest")
-    bad_run = Q.new_run()
-    bad = Q.finish_results(Q.quality_checks(_silver(spark, ("u1", None)), raw_reviews), *bad_run)
-    bad.write.mode("append").saveAsTable("qtest.dq")
-    with pytest.raises(Q.QualityGateError, match="not_null: customer_id, customer_unique_id"):
-        Q.enforce_gate(spark, "qtest.dq", bad_run[0])
-    # results were appended before the gate raised
-    assert spark.table("qtest.dq").filter(F.col("run_id") == bad_run[0]).count() == 25
+    bad = finish(Q.quality_checks(_silver(spark, ("u1", None)), raw_reviews))
+    verdict = Q.gate(bad).first()
+    assert verdict.verdict == "FAIL" and "not_null: customer_id, customer_unique_id" in verdict.error
+
+
+def test_checks_share_groupings(spark):
+    """One grouping per key: 12 scans and fewer than 20 exchanges for all 25."""
+    checks = Q.quality_checks(_silver(spark), spark.createDataFrame([("r1",)], "review_id string"))
+    plan = checks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition") < 20
+    assert "Join" not in plan and plan.count("Scan") <= 12
+
+
+def test_families_on_nulls_duplicates_and_orphans(spark):
+    """NULL keys are equal for uniqueness and no failure of a foreign key."""
+    def table(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    silver = {
+        "orders": spark.sql(
+            "select * from values ('o1','c1'), ('o1','c9'), (null,'c1'), (null,null) as t(order_id, customer_id)"
+        ).selectExpr("*", "timestamp_ntz'2018-01-02' order_purchase_timestamp",
+                     "if(customer_id = 'c9', timestamp_ntz'2018-01-01', null) order_delivered_customer_date"),
+        "customers": table([("c1", "u")], "customer_id string, customer_unique_id string"),
+        "order_items": table(
+            [("o1", 1, "p1", "s1", -1.0, 0.0, 0.0), ("o1", 1, "p2", None, 1.0, None, 1.0), ("o7", 1, "p1", "s1", 1.0, 0.0, 1.0),
+             (None, None, "p1", "s1", 1.0, 0.0, 1.0), (None, None, "p1", "s1", 1.0, 0.0, 1.0)],
+            "order_id string, order_item_id int, product_id string, seller_id string, price double, freight_value double, item_total_amount double"),
+        "payments": table([], "order_id string, payment_sequential int, payment_value double"),
+        "reviews": table([("r1", "o8", 9), ("r1", None, None)], "review_id string, order_id string, review_score int"),
+        "products": table([("p1",)], "product_id string"),
+        "sellers": table([("s1",)], "seller_id string"),
+    }
+    raw = table([("r1",), ("r1",), (None,), (None,)], "review_id string")
+    got = {(r.table_name, r.check_name.split(":")[0] + (r.check_name.split("→")[1] if "→" in r.check_name else "")):
+           (r.total_rows, r.failed_rows) for r in Q.quality_checks(silver.get, raw).collect()}
+    assert len(got) == 25
+    expected = {
+        ("orders", "not_null"): (4, 2), ("orders", "unique"): (4, 2), ("orders", "valid_delivery_sequence"): (4, 1),
+        ("orders", "foreign_key customers"): (4, 1), ("customers", "unique"): (1, 0),
+        ("order_items", "not_null"): (5, 3), ("order_items", "unique"): (5, 2),
+        ("order_items", "non_negative_item_amounts"): (5, 2), ("order_items", "foreign_key orders"): (5, 1),
+        ("order_items", "foreign_key products"): (5, 1), ("order_items", "foreign_key sellers"): (5, 0),
+        ("payments", "not_null"): (0, 0), ("payments", "unique"): (0, 0), ("payments", "foreign_key orders"): (0, 0),
+        ("reviews", "not_null"): (2, 1), ("reviews", "unique"): (2, 1), ("reviews", "valid_review_score"): (2, 2),
+        ("reviews", "foreign_key orders"): (2, 1), ("reviews_raw", "duplicate_review_ids_in_source"): (4, 2),
+    }
+    assert {k: got[k] for k in expected} == expected
 
 
 def test_reports_use_latest_run(spark):
