@@ -10,10 +10,11 @@ one row per order or item:
 * product performance: aggregate items per ``product_key``, then attach the
   product attributes;
 * customer summary: aggregate orders per ``customer_key``, join the customer
-  dimension one-to-one, then roll up to ``customer_unique_id``;
-* delivery quality: attach ``year_month`` by a broadcast of ``dim_date``
-  (bounded by the calendar), aggregate per (``customer_key``, month), join the
-  customer dimension, then roll up to (month, state).
+  dimension one-to-one, then roll up to ``customer_unique_id``; the latest
+  order is a ranked window, of which every map task hands on one row a key;
+* delivery quality: attach ``year_month`` by a join with ``dim_date`` (one row
+  per day), aggregate per (``customer_key``, month), join the customer
+  dimension, then roll up to (month, state).
 
 A customer holding a third of all orders is thus reduced map-side to one row
 per month before any shuffle that is keyed by customer.
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemarts.functions import count_when, mean2, pct
+from lakemarts.operators.dedup import keep_first
 
 DATE_ATTRIBUTES = ("date_key", "full_date", "year_number", "quarter_number", "month_number", "month_name", "year_month")
 
@@ -102,13 +104,7 @@ def mart_product_performance(fct_order_items: DataFrame, dim_products: DataFrame
 
 
 def mart_customer_summary(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
-    # Latest order per customer id: ties on the purchase time are broken by
-    # order_id, so the "latest" city and state are repeatable; orders without
-    # a purchase time are never the latest.
     per_key = fct_orders.groupBy("customer_key").agg(
-        F.max(
-            F.when(F.col("order_purchase_timestamp").isNotNull(), F.struct("order_purchase_timestamp", "order_id"))
-        ).alias("latest"),
         # fct_orders holds one row per order (reconciled against silver), so
         # the distinct order count per customer is a plain count.
         F.count("order_id").alias("orders"),
@@ -125,9 +121,7 @@ def mart_customer_summary(fct_orders: DataFrame, dim_customers: DataFrame) -> Da
     customers = dim_customers.select("customer_key", "customer_unique_id", "customer_city", "customer_state")
     joined = per_key.join(customers, "customer_key", "inner")
     payment_sum = F.sum("payment_value")
-    return joined.groupBy("customer_unique_id").agg(
-        F.max_by("customer_city", "latest").alias("latest_customer_city"),
-        F.max_by("customer_state", "latest").alias("latest_customer_state"),
+    rolled = joined.groupBy("customer_unique_id").agg(
         F.sum("orders").alias("total_orders"),
         F.sum("items").alias("total_items"),
         F.round(F.sum("order_value"), 2).alias("lifetime_order_value"),
@@ -139,6 +133,23 @@ def mart_customer_summary(fct_orders: DataFrame, dim_customers: DataFrame) -> Da
         F.sum("late").alias("late_orders"),
         mean2(F.sum("review_sum"), F.sum("reviews")).alias("average_review_score"),
     )
+    # Ties on the purchase time are broken by order_id, so the latest city and
+    # state are repeatable; orders without a purchase time are never the latest.
+    timed = fct_orders.select("customer_key", "order_purchase_timestamp", "order_id").where(
+        F.col("order_purchase_timestamp").isNotNull()
+    )
+    newest = [("order_purchase_timestamp", "desc"), ("order_id", "desc")]
+    latest = keep_first(
+        keep_first(timed, ["customer_key"], newest).join(customers, "customer_key"), ["customer_unique_id"], newest
+    ).select(
+        F.col("customer_unique_id").alias("of"), F.col("customer_city").alias("latest_customer_city"),
+        F.col("customer_state").alias("latest_customer_state"),
+    )
+    same = F.col("customer_unique_id").eqNullSafe(F.col("of"))
+    return rolled.join(latest, same, "left").select(
+        "customer_unique_id", "latest_customer_city", "latest_customer_state",
+        *[c for c in rolled.columns if c != "customer_unique_id"],
+    )
 
 
 def mart_delivery_quality(fct_orders: DataFrame, dim_date: DataFrame, dim_customers: DataFrame) -> DataFrame:

@@ -8,13 +8,13 @@ locally.  Because silver guarantees key-unique dimensions (the quality gate
 checks it before gold runs), this is the same result as the inner join, but
 the join ships one id column instead of id plus a 64-character key.
 
-The fact joins are shaped around the largest table:
+The fact joins are shaped around the largest table, whose keys may be skewed:
 
-* ``orders ⋉ customers`` runs on orders, which are smaller than items;
-* ``order_items ⋈ orders`` is the single shuffle of the item rows;
-* products and sellers are semi-joined afterwards; AQE turns those joins into
-  broadcasts when the measured dimension side is small, and splits a hot
-  product or seller partition otherwise (skew join).
+* the item rows are shuffled once, by order, for the join with their order;
+* whether products, sellers and customers exist is asked of the *distinct*
+  child keys, which partial aggregation reduces map-side; the few that are
+  missing are then anti-joined by broadcast (see ``with_parent``), so neither
+  items nor orders are ever shuffled by a product, seller or customer.
 """
 
 from __future__ import annotations
@@ -23,6 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemarts.functions import date_key, surrogate_key
+from lakemarts.session import ensure_checkpoint_dir
+
+#: Missing keys up to which they are broadcast; beyond, the parents are joined.
+MISSING_LIMIT = 100_000
+#: What a sum of money columns has, however many levels it is summed in.
+MONEY_SUM = "decimal(22,2)"
 
 
 def _zero_money():
@@ -33,6 +39,9 @@ def _stamp(df: DataFrame) -> DataFrame:
     return df.withColumn("_gold_processed_at", F.current_timestamp())
 
 
+# The output columns of the dimensions and facts below, their
+# names and order included.
+
 # ------------------------------------------------------------------ dims
 
 
@@ -80,11 +89,8 @@ def dim_sellers(sellers: DataFrame) -> DataFrame:
 
 
 def dim_date(orders: DataFrame) -> DataFrame:
-    """One row per *observed* purchase date (gaps are not filled).
-
-    Its size is bounded by the calendar (one row per day), whatever the order
-    volume, which is what makes broadcasting it safe.
-    """
+    """One row per *observed* purchase date (gaps are not filled), so its
+    size is bounded by the days that occur, whatever the order volume."""
     d = F.col("full_date")
     dates = orders.select(F.col("purchase_date").alias("full_date")).where(d.isNotNull()).distinct()
     return _stamp(
@@ -108,6 +114,23 @@ def dim_date(orders: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ order facts
 
 
+def with_parent(rows: DataFrame, parent: DataFrame, key: str, limit: int = MISSING_LIMIT) -> DataFrame:
+    """The rows whose ``key`` is in ``parent``: a left semi join that does not
+    shuffle the rows.  The distinct keys of the rows are joined instead, and
+    those without a parent are kept (checkpointed).  As they are counted
+    before they are broadcast, their size is known; more than ``limit`` of
+    them fall back to the plain semi join."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    present = F.col(key).isNotNull()
+    keys = rows.select(key).where(present).distinct()
+    missing = keys.join(parent.select(key), key, "left_anti").checkpoint()
+    n = missing.limit(limit + 1).count()
+    if n > limit:
+        return rows.join(parent.select(key), key, "left_semi")
+    rows = rows.where(present)
+    return rows.join(F.broadcast(missing), key, "left_anti") if n else rows
+
+
 def orders_with_customer(orders: DataFrame, dim_customers_df: DataFrame | None) -> DataFrame:
     """Orders whose customer exists in the dimension (the facts' inner join).
 
@@ -116,7 +139,7 @@ def orders_with_customer(orders: DataFrame, dim_customers_df: DataFrame | None)
     nothing and is skipped."""
     if dim_customers_df is None:
         return orders
-    return orders.join(dim_customers_df.select("customer_id"), "customer_id", "left_semi")
+    return with_parent(orders, dim_customers_df, "customer_id")
 
 
 def order_context(orders: DataFrame) -> DataFrame:
@@ -141,14 +164,15 @@ def fct_order_items(
 ) -> DataFrame:
     """One row per (order, item) with matching order, customer, product
     and seller.  A ``None`` dimension is one whose foreign key the quality
-    gate has already proven, so its semi-join is skipped: after the gate
-    the item rows are shuffled once, for the join with their order."""
+    gate has already proven, so it is not asked.  Either way the item rows are
+    shuffled once, for the join with their order."""
     context = order_context(orders_with_customer(orders, dim_customers_df)).drop("order_purchase_timestamp")
-    items = order_items.join(context, "order_id", "inner")
+    items = order_items
     if dim_products_df is not None:
-        items = items.join(dim_products_df.select("product_id"), "product_id", "left_semi")
+        items = with_parent(items, dim_products_df, "product_id")
     if dim_sellers_df is not None:
-        items = items.join(dim_sellers_df.select("seller_id"), "seller_id", "left_semi")
+        items = with_parent(items, dim_sellers_df, "seller_id")
+    items = items.join(context, "order_id", "inner")
     return _stamp(
         items.select(
             surrogate_key("order_id", "order_item_id").alias("order_item_key"),
@@ -171,41 +195,47 @@ def fct_order_items(
 
 
 def items_per_order(order_items: DataFrame) -> DataFrame:
-    """G07.  The two distinct counts plan as Expand + two-level aggregation,
-    so even an order with millions of items is spread over tasks by
-    (order, product) before its final count."""
-    return order_items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("item_count"),
-        F.countDistinct("product_id").alias("distinct_product_count"),
-        F.countDistinct("seller_id").alias("distinct_seller_count"),
+    """G07.  Each distinct count is a two-level grouping of its own, by
+    (order, product) and (order, seller) and then by order: rows are not
+    multiplied as for two distinct counts in one aggregate, and an order with
+    millions of items is spread over tasks by the finer key.  Both end
+    partitioned by order, so their join moves nothing.  Items without an
+    order_id, which silver does not have, belong to no order."""
+    per_product = order_items.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("price").alias("price"),
+        F.sum("freight_value").alias("freight"),
+        F.sum("item_total_amount").alias("total"),
+    )
+    per_seller = order_items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("n"))
+    products = per_product.groupBy("order_id").agg(
+        F.sum("n").alias("item_count"),
+        F.count("product_id").alias("distinct_product_count"),
         F.sum("price").alias("item_subtotal"),
-        F.sum("freight_value").alias("freight_total"),
-        F.sum("item_total_amount").alias("order_total"),
+        F.sum("freight").alias("freight_total"),
+        F.sum("total").alias("order_total"),
+    )
+    sellers = per_seller.groupBy("order_id").agg(F.count("seller_id").alias("distinct_seller_count"))
+    return products.join(sellers, "order_id").select(
+        "order_id", "item_count", "distinct_product_count", "distinct_seller_count",
+        *[F.col(c).cast(MONEY_SUM).alias(c) for c in ("item_subtotal", "freight_total", "order_total")],
     )
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
-    """G08.  The set of payment *types* per order is bounded by the handful
-    of payment methods, not by the order's size, so one ``collect_set``
-    yields both the distinct type count and the sorted list without a
-    separate distinct-aggregation stage."""
-    types = F.collect_set("payment_type")
-    return (
-        payments.groupBy("order_id")
-        .agg(
-            F.count(F.lit(1)).alias("payment_record_count"),
-            types.alias("types"),
-            F.max("payment_installments").alias("maximum_installments"),
-            F.sum("payment_value").alias("payment_total"),
-        )
-        .select(
-            "order_id",
-            "payment_record_count",
-            F.size("types").cast("bigint").alias("payment_type_count"),
-            F.concat_ws(", ", F.sort_array("types")).alias("payment_types"),
-            "maximum_installments",
-            "payment_total",
-        )
+    """G08, in two levels: payments are reduced to one row per (order, type)
+    before the sorted list of an order's types is built."""
+    per_type = payments.groupBy("order_id", "payment_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("payment_installments").alias("installments"),
+        F.sum("payment_value").alias("value"),
+    )
+    return per_type.groupBy("order_id").agg(
+        F.sum("n").alias("payment_record_count"),
+        F.count("payment_type").alias("payment_type_count"),
+        F.concat_ws(", ", F.sort_array(F.collect_list("payment_type"))).alias("payment_types"),
+        F.max("installments").alias("maximum_installments"),
+        F.sum("value").cast(MONEY_SUM).alias("payment_total"),
     )
 
 
@@ -231,7 +261,7 @@ def fct_orders(
 
     The three per-order aggregates are all hash-partitioned on ``order_id``,
     so the left joins reuse that partitioning: the orders side is exchanged
-    once and the aggregates are not exchanged again.
+    once, by order, and the aggregates are not exchanged again.
     """
     joined = (
         orders_with_customer(orders, dim_customers_df)

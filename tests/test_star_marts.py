@@ -102,3 +102,72 @@ def test_fact_without_dimension_joins_after_the_gate(spark):
     assert checked.drop("_gold_processed_at").collect() == proven.drop("_gold_processed_at").collect()
     plan = proven._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" not in plan
+
+
+def _tree(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _hot_items(spark, n=3000):
+    """A third of the items has one product, and some products, sellers and
+    orders have no parent or no key."""
+    money = "cast(1 as decimal(12,2))"
+    return spark.range(n).selectExpr(
+        "concat('o', id % 700) order_id", "cast(id as int) order_item_id",
+        "case when id % 3 = 0 then 'p0' when id % 41 = 1 then null else concat('p', id % 90) end product_id",
+        "concat('s', id % 17) seller_id", "timestamp_ntz'2018-01-02 00:00:00' shipping_limit_date",
+        f"{money} price", f"{money} freight_value", f"{money} item_total_amount")
+
+
+def _keys(spark, prefix, n):
+    return spark.range(n).selectExpr(f"concat('{prefix}', id) k")
+
+
+def test_with_parent_equals_semi_join_on_both_sides_of_the_limit(spark):
+    items = _hot_items(spark)
+    for parents in (_keys(spark, "p", 80), _keys(spark, "p", 90), _keys(spark, "p", 0)):
+        parent = parents.withColumnRenamed("k", "product_id")
+        expected = sorted(r.order_item_id for r in items.join(parent, "product_id", "left_semi").collect())
+        for limit in (100_000, 10, 1):
+            got = S.with_parent(items, parent, "product_id", limit)
+            assert sorted(r.order_item_id for r in got.collect()) == expected
+    parent = _keys(spark, "p", 80).withColumnRenamed("k", "product_id")
+    # no row of the items is shuffled where the missing keys are few
+    assert "Exchange hashpartitioning" not in _tree(S.with_parent(items, parent, "product_id"))
+    assert "LeftSemi" in _tree(S.with_parent(items, parent, "product_id", 3))
+
+
+def test_item_rows_are_shuffled_once(spark):
+    items = _hot_items(spark)
+    orders = spark.range(650).selectExpr(
+        "concat('o', id) order_id", "concat('c', id % 60) customer_id", "'delivered' order_status",
+        "timestamp_ntz'2018-01-01 00:00:00' order_purchase_timestamp", "3 delivery_days", "false is_delivered_late",
+        "date'2018-01-01' purchase_date")
+    dims = [_keys(spark, p, n).withColumnRenamed("k", f"{name}_id")
+            for p, n, name in (("c", 50, "customer"), ("p", 85, "product"), ("s", 16, "seller"))]
+    fact = S.fct_order_items(items, orders, *dims)
+    expected = (items.join(orders, "order_id").join(dims[0], "customer_id").join(dims[1], "product_id")
+                .join(dims[2], "seller_id"))
+    assert sorted(r.order_item_id for r in fact.collect()) == sorted(r.order_item_id for r in expected.collect())
+    plan = _tree(fact)
+    initial = plan[plan.rindex("== Initial Plan =="):] if "== Initial Plan ==" in plan else plan
+    # items and orders, each by order
+    assert initial.count("Exchange hashpartitioning(order_id") == initial.count("Exchange hashpartitioning") == 2
+
+
+def test_per_order_aggregates_equal_plain_sql_without_expand(spark):
+    _hot_items(spark).createOrReplaceTempView("hot_items")
+    got = S.items_per_order(spark.table("hot_items"))
+    assert "Expand" not in _tree(got)
+    plain = spark.sql("""select order_id, count(*), count(distinct product_id), count(distinct seller_id), sum(price),
+                         sum(freight_value), sum(item_total_amount) from hot_items group by order_id""")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    assert [t for _, t in got.dtypes] == [t for _, t in plain.dtypes]
+
+
+def test_customer_summary_sorts_no_aggregate(spark):
+    fact, dim_c = _fact(spark)
+    untimed = fact.withColumn("order_purchase_timestamp", F.lit(None).cast("timestamp_ntz"))
+    assert "SortAggregate" not in _tree(M.mart_customer_summary(fact, dim_c))
+    row = M.mart_customer_summary(untimed, dim_c).first()
+    assert row.total_orders == 3 and row.latest_customer_city is None and row.latest_order_at is None
