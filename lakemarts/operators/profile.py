@@ -1,4 +1,4 @@
-"""Cleansing profiles and orphan reports.
+"""Cleansing profiles, rejection and orphan reports.
 
 A profile is a long table (table_name, metric, value) so every silver table
 shares one schema.  Each metric family is one aggregate: the raw scan counts
@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemarts.contracts import CONTRACTS
-from lakemarts.functions import LOWER, TRIM, UPPER, Ref, any_null, clean, count_when, stack_rows
+from lakemarts.functions import LOWER, TRIM, UPPER, Ref, any_null, clean, count_when, null_as_false, stack_rows
+from lakemarts.operators.cleanse import row_filter
 from lakemarts.operators.quality import key_presence
 
 # Orphan relations (child, parent, key) that the cleansing
@@ -91,3 +92,26 @@ def profile(table: str, raw: DataFrame, silver) -> DataFrame:
         counted = keyed.agg(F.sum(F.when(F.col("found").isNull(), F.col("n")).otherwise(0)).alias(metric))
         parts.append(_metrics(counted, table, [metric]))
     return reduce(DataFrame.unionByName, parts)
+
+
+def rejections(table: str, raw: DataFrame) -> DataFrame:
+    """Why raw rows do not reach silver, in one grouped pass: rows that each
+    rule of the contract rejects (a row may break several), rows rejected at
+    all, and surplus rows of repeated keys among the others (A02, A03, P07-P11)."""
+    contract = CONTRACTS[table]
+    rules = {f"null_{c}": F.col(c).isNull() for c in contract.not_null}
+    rules |= {f"blank_{c}": ~null_as_false(F.length(c) > 0) & F.col(c).isNotNull() for c in contract.non_blank}
+    rules |= {f"negative_{c}": ~null_as_false(F.col(c) >= 0) for c in contract.non_negative}
+    rules |= {f"out_of_range_{c}": ~null_as_false(F.col(c).between(lo, hi)) for c, lo, hi in contract.ranges}
+    kept = null_as_false(row_filter(contract))
+    cleaned = raw.select(*[clean(c.rule, c.source).alias(c.target) for c in contract.columns])
+    per_key = cleaned.groupBy(*contract.key).agg(
+        count_when(kept).alias("n"), count_when(~kept).alias("rejected_rows"),
+        *[count_when(c).alias(name) for name, c in rules.items()],
+    )
+    totals = {name: F.sum(name) for name in rules} | {
+        "rejected_rows": F.sum("rejected_rows"),
+        "repeated_keys": count_when(F.col("n") > 1),
+        "surplus_rows": F.sum(F.greatest(F.col("n") - 1, F.lit(0))),
+    }
+    return _metrics(per_key.agg(*[v.alias(k) for k, v in totals.items()]), table, list(totals))

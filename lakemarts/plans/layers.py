@@ -248,12 +248,13 @@ class Lake:
             path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
     @classmethod
-    def from_driver_tables(cls, spark, sf_dir: str) -> "Lake":
+    def from_driver_tables(cls, spark, sf_dir: str, seeded: bool = False) -> "Lake":
+        """``seeded``: over the raw tables with planted defects."""
         from lakemarts.session import ensure_checkpoint_dir
-        from lakemarts.sources.driver_tables import DriverTables
+        from lakemarts.sources.driver_tables import DriverTables, SeededTables
 
         store = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
-        lake = cls(DriverTables(spark, sf_dir).raw, store=store)
+        lake = cls((SeededTables if seeded else DriverTables)(spark, sf_dir).raw, store=store)
         lake.spark = spark
         lake.sf_dir = sf_dir
         return lake

@@ -742,6 +742,11 @@ def _bodies() -> dict[str, str]:
         "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(order_item_id AS DOUBLE) AS order_item_id, "
         "CAST(count(*) AS DOUBLE) AS row_count FROM f_order_items GROUP BY order_id, order_item_id HAVING count(*) > 1"
     )
+    q["dedup_reviews"] = (
+        "SELECT CAST(review_id AS VARCHAR) AS review_id, CAST(count(*) AS DOUBLE) AS row_count FROM c_reviews "
+        "WHERE review_id IS NOT NULL AND order_id IS NOT NULL AND review_score BETWEEN 1 AND 5 "
+        "GROUP BY review_id HAVING count(*) > 1"
+    )
     for name, (child, parent, key) in ORPHAN_QUERIES.items():
         q[name] = typed(
             f"s_{child} c", SILVER_SPECS[child],
@@ -838,24 +843,118 @@ def _bodies() -> dict[str, str]:
     return q
 
 
-def _with_ctes(body: str) -> str:
-    """Prefix the CTEs the body needs, in dependency order."""
-    names = list(CTES)
+def _digit(*columns: str) -> str:
+    text = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in columns)
+    return f"substr(md5({text}), 1, 1)"
+
+
+def _seeded() -> dict[str, str]:
+    """The raw tables with planted defects."""
+    changes = {
+        "customers": f"* REPLACE (CASE WHEN {_digit('customer_id')} = '0' THEN '   ' ELSE customer_id END AS customer_id)",
+        "sellers": f"* REPLACE (CASE WHEN {_digit('seller_id')} = '5' THEN '   ' ELSE seller_id END AS seller_id)",
+        "orders": (
+            f"* REPLACE (CASE WHEN {_digit('order_id')} = '1' AND order_delivered_customer_date IS NOT NULL "
+            "THEN '1990-01-01 00:00:00' ELSE order_delivered_customer_date END AS order_delivered_customer_date)"
+        ),
+        "order_items": (
+            f"* REPLACE (CASE WHEN {_digit('order_id', 'order_item_id')} = '2' THEN '-5.00' ELSE price END AS price)"
+        ),
+        "products": f"* REPLACE (product_category_name || ' ' || {_digit('product_id')} AS product_category_name)",
+    }
+    where = {"products": f" WHERE {_digit('product_id')} <> '3'"}
+    return {
+        f"{t}_raw": f"SELECT {change} FROM ({CTES[f'{t}_raw']}) raw_{t[:4]}{where.get(t, '')}"
+        for t, change in changes.items()
+    }
+
+
+def _defective() -> dict[str, str]:
+    """The marts with repeated and missing keys and values."""
+    out = {}
+    for mart, (not_null, key) in MART_KEYS.items():
+        nulls = ", ".join(
+            f"CASE WHEN digit <> '{2 if c == key else 1}' THEN {c} END AS {c}" for c in not_null
+        )
+        out[mart] = (
+            f"SELECT * EXCLUDE (digit, copy_no) REPLACE ({nulls}) FROM (SELECT *, {_digit(key)} AS digit, "
+            f"unnest(CASE WHEN {_digit(key)} = '0' THEN [1, 2] ELSE [1] END) AS copy_no FROM ({CTES[mart]}) m)"
+        )
+    return out
+
+
+_RULES_OF = {
+    # table: (keys, not null, not blank, not negative, in range)
+    "customers": (["customer_id"], ["customer_id"], ["customer_id"], [], []),
+    "orders": (["order_id"], ["order_id"], ["order_id"], [], []),
+    "order_items": (
+        ["order_id", "order_item_id"], ["order_id", "order_item_id", "product_id", "seller_id"], [],
+        ["price", "freight_value"], [],
+    ),
+    "payments": (
+        ["order_id", "payment_sequential"], ["order_id", "payment_sequential"], [], ["payment_value"], [],
+    ),
+    "reviews": (["review_id"], ["review_id", "order_id"], [], [], [("review_score", 1, 5)]),
+    "products": (["product_id"], ["product_id"], [], [], []),
+    "sellers": (["seller_id"], ["seller_id"], ["seller_id"], [], []),
+}
+
+
+def _rejections_sql(table: str) -> str:
+    keys, not_null, not_blank, not_negative, ranges = _RULES_OF[table]
+    broken = {f"null_{c}": f"{c} IS NULL" for c in not_null}
+    broken |= {f"blank_{c}": f"length({c}) = 0" for c in not_blank}
+    broken |= {f"negative_{c}": f"({c} < 0 OR {c} IS NULL)" for c in not_negative}
+    broken |= {f"out_of_range_{c}": f"({c} NOT BETWEEN {lo} AND {hi} OR {c} IS NULL)" for c, lo, hi in ranges}
+    bad = " OR ".join(f"coalesce({c}, false)" for c in broken.values())
+    groups = f"(SELECT count(*) AS n FROM c_{table} WHERE NOT ({bad}) GROUP BY {', '.join(keys)} HAVING count(*) > 1)"
+    metrics = {name: f"(SELECT count(*) FROM c_{table} WHERE {c})" for name, c in broken.items()} | {
+        "rejected_rows": f"(SELECT count(*) FROM c_{table} WHERE {bad})",
+        "repeated_keys": f"(SELECT count(*) FROM {groups} g)",
+        "surplus_rows": f"(SELECT coalesce(sum(n - 1), 0) FROM {groups} g)",
+    }
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, '{m}' AS metric, CAST({v} AS DOUBLE) AS value" for m, v in metrics.items()
+    )
+
+
+def _seeded_bodies() -> dict[str, tuple[str, dict[str, str]]]:
+    """Query SQL with the CTEs it puts in the place of others."""
+    own, seeds = _bodies(), _seeded()
+    every = "\nUNION ALL\n".join(_rejections_sql(t) for t in SILVER_SPECS)
+    q = {"rejections": (every, {}), "seeded_rejections": (every, seeds)}
+    q["seeded_dq_results"] = (own["dq_results"], seeds)
+    q["seeded_dq_gate"] = (own["dq_gate_silver"], seeds)
+    q["seeded_profiles"] = ("\nUNION ALL\n".join(_profile_sql(t) for t in SILVER_SPECS), seeds)
+    for name in ("orphans_orders_customers", "orphans_order_items_products", "orphans_order_items_sellers",
+                 "fct_orders", "fct_order_items"):
+        q[f"seeded_{name}"] = (own[name], seeds)
+    for by in ("revenue", "units"):
+        q[f"seeded_top_categories_{by}"] = (own[f"tile_top_categories_{by}"], seeds)
+    q["defective_mart_tests"] = (own["mart_tests"], _defective())
+    return q
+
+
+def _with_ctes(body: str, instead: dict[str, str] | None = None) -> str:
+    """Prefix the CTEs the body needs, in dependency order; ``instead`` has
+    CTEs that take the place of others of their name."""
+    ctes = CTES | (instead or {})
     needed: list[str] = []
 
     def visit(text: str) -> None:
-        for name in names:
+        for name in ctes:
             if name not in needed and re.search(rf"\b{re.escape(name)}\b", text):
-                visit(CTES[name])
+                visit(ctes[name])
                 if name not in needed:
                     needed.append(name)
 
     visit(body)
     if not needed:
         return body
-    ctes = ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in needed)
-    return f"WITH {ctes}\n{body}"
+    text = ",\n".join(f"{n} AS ({ctes[n].strip()})" for n in needed)
+    return f"WITH {text}\n{body}"
 
 
 def oracle_queries() -> dict[str, str]:
-    return {name: _with_ctes(body) for name, body in _bodies().items()}
+    found = {name: _with_ctes(body) for name, body in _bodies().items()}
+    return found | {name: _with_ctes(body, instead) for name, (body, instead) in _seeded_bodies().items()}

@@ -30,6 +30,7 @@ from lakemarts.operators.cleanse import clean_columns, row_filter
 from lakemarts.operators.dedup import duplicate_keys
 from lakemarts.plans.layers import FACTS, GOLD_DIMS, GOLD_INPUTS, GOLD_TABLES, MART_INPUTS, SILVER_TABLES, Gold, Lake
 from lakemarts.plans.staged import Staged
+from lakemarts.sources.driver_tables import defective_mart
 
 #: The benchmark tables that the raw tables come from.
 LAKE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -72,7 +73,7 @@ def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(found)
 
 
-def lake(spark: SparkSession, sf_dir: str) -> Lake:
+def lake(spark: SparkSession, sf_dir: str, seeded: bool = False) -> Lake:
     """The layered plans over one directory, built once per session and state
     of its tables.
 
@@ -81,9 +82,9 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
     re-analysing the same plans for every query.  The session itself holds
     its lakes, so they go with it."""
     held = vars(spark).setdefault("_lakemarts_lakes", {})
-    key = (sf_dir.rstrip("/"), _stamp(spark, sf_dir.rstrip("/")))
+    key = (sf_dir.rstrip("/"), seeded, _stamp(spark, sf_dir.rstrip("/")))
     if key not in held:
-        held[key] = Lake.from_driver_tables(spark, key[0])
+        held[key] = Lake.from_driver_tables(spark, key[0], seeded)
         atexit.register(held[key].close)
     return held[key]
 
@@ -140,8 +141,15 @@ def _registry() -> dict[str, Query]:
 
     q["dedup_items"] = dedup_items
 
+    def dedup_reviews(s, d):
+        contract = CONTRACTS["reviews"]
+        cleaned = clean_columns(lake(s, d).raw("reviews"), contract).filter(row_filter(contract))
+        return duplicate_keys(cleaned, contract.key).withColumnRenamed("count", "row_count")
+
+    q["dedup_reviews"] = dedup_reviews
+
     relations = {f"orphans_{child}_{parent}": (child, parent, key) for child, parent, key in P.ORPHAN_RELATIONS}
-    # the same anti joins where rows are expected: parents without children
+    # parents without children; customers and products without any are few
     relations |= {
         "orders_without_items": ("orders", "order_items", "order_id"),
         "orders_without_reviews": ("orders", "reviews", "order_id"),
@@ -233,6 +241,55 @@ def _registry() -> dict[str, Query]:
         return Q.mart_tests(lk.marts.stored)
 
     q["mart_tests"] = mart_tests
+    # checks, profiles and reports over raw tables with planted defects
+    def rejections(s, d, seeded):
+        raw = lake(s, d, seeded).raw
+        return reduce(DataFrame.unionByName, [P.rejections(t, raw(t)) for t in SILVER_TABLES])
+
+    q["rejections"] = lambda s, d: rejections(s, d, False)
+    q["seeded_rejections"] = lambda s, d: rejections(s, d, True)
+    q["seeded_dq_results"] = lambda s, d: quality_results(lake(s, d, True))
+    q["seeded_dq_gate"] = lambda s, d: Q.gate(quality_results(lake(s, d, True)))
+
+    def seeded_profiles(s, d):
+        lk = lake(s, d, True)
+        lk.prefetch_silver(SILVER_TABLES)
+        return reduce(DataFrame.unionByName, [P.profile(t, lk.raw(t), lk.silver.stored) for t in SILVER_TABLES])
+
+    q["seeded_profiles"] = seeded_profiles
+    for child, parent, key in P.ORPHAN_RELATIONS:
+        if parent in ("customers", "products", "sellers"):
+            def seeded_orphans(s, d, child=child, parent=parent, key=key):
+                lk = lake(s, d, True)
+                lk.prefetch_silver([child, parent])
+                return P.orphans(lk.silver.stored(child), lk.silver.stored(parent), key)
+
+            q[f"seeded_orphans_{child}_{parent}"] = seeded_orphans
+    for name in FACTS:
+        def seeded_fact(s, d, name=name):
+            lk = lake(s, d, True)
+            lk.prefetch_silver(GOLD_INPUTS[name])
+            lk.gold.prefetch(GOLD_DIMS.get(name, ()))
+            return lk.gold.table(name)
+
+        q[f"seeded_{name}"] = seeded_fact
+
+    def seeded_products(s, d):
+        lk = lake(s, d, True)
+        lk.prefetch_marts(["mart_product_performance"])
+        return lk.marts.stored("mart_product_performance")
+
+    q["seeded_top_categories_revenue"] = lambda s, d: tiles.top_categories_by_revenue(seeded_products(s, d))
+    q["seeded_top_categories_units"] = lambda s, d: tiles.top_categories_by_units(seeded_products(s, d))
+
+    def defective_mart_tests(s, d):
+        lk = lake(s, d)
+        lk.prefetch_marts(Q.MART_TESTS)
+        return Q.mart_tests(
+            lambda m: defective_mart(lk.marts.stored(m), Q.MART_TESTS[m][1], Q.MART_TESTS[m][0])
+        )
+
+    q["defective_mart_tests"] = defective_mart_tests
     q["layer_counts"] = lambda s, d: layer_counts(lake(s, d))
     q["tax_projection"] = lambda s, d: tiles.tax_projection(lake(s, d).gold.stored("fct_orders"))
     return q

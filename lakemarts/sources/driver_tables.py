@@ -161,3 +161,45 @@ class DriverTables:
         """Raw table by silver name (``orders``) or bronze name (``orders_raw``)."""
         attr = name if name.endswith("_raw") else f"{name}_raw"
         return getattr(self, attr)
+
+
+def _first_hex(*columns: str) -> Column:
+    """The first hex digit of the columns' MD5: picks a sixteenth of the rows."""
+    return F.substring(F.md5(F.concat_ws("|", *columns)), 1, 1)
+
+
+class SeededTables(DriverTables):
+    """The raw tables with defects that the benchmark data lacks, each in a
+    sixteenth of the rows: blank customer and seller ids (so orders and items
+    lose their parents), products that are gone, deliveries before the
+    purchase, negative prices; and sixteen times as many categories."""
+
+    def raw(self, name: str) -> DataFrame:
+        df = super().raw(name)
+        table = name.removesuffix("_raw")
+        if table == "customers":
+            return df.withColumn("customer_id", F.when(_first_hex("customer_id") == "0", "   ").otherwise(F.col("customer_id")))
+        if table == "sellers":
+            return df.withColumn("seller_id", F.when(_first_hex("seller_id") == "5", "   ").otherwise(F.col("seller_id")))
+        if table == "orders":
+            delivered = F.col("order_delivered_customer_date")
+            early = (_first_hex("order_id") == "1") & delivered.isNotNull()
+            return df.withColumn("order_delivered_customer_date", F.when(early, "1990-01-01 00:00:00").otherwise(delivered))
+        if table == "order_items":
+            negative = _first_hex("order_id", "order_item_id") == "2"
+            return df.withColumn("price", F.when(negative, "-5.00").otherwise(F.col("price")))
+        if table == "products":
+            finer = F.concat("product_category_name", F.lit(" "), _first_hex("product_id"))
+            return df.where(_first_hex("product_id") != "3").withColumn("product_category_name", finer)
+        return df
+
+
+def defective_mart(df: DataFrame, key: str, not_null: list[str]) -> DataFrame:
+    """A mart as a faulty build might leave it: a sixteenth of its keys twice,
+    a sixteenth NULL, and a sixteenth of the other columns NULL."""
+    digit = F.substring(F.md5(F.col(key).cast("string")), 1, 1)
+    marked = df.withColumn("_digit", digit)
+    rows = marked.unionByName(marked.where("_digit = '0'"))
+    for c in not_null:
+        rows = rows.withColumn(c, F.when(F.col("_digit") != ("2" if c == key else "1"), F.col(c)))
+    return rows.drop("_digit")
