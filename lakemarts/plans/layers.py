@@ -87,6 +87,11 @@ class Stored:
                 self._stored[name] = df.sparkSession.read.parquet(path)
         return self._stored[name]
 
+    def folder(self, name: str) -> str:
+        """The folder of the stored table."""
+        self.stored(name)
+        return f"{self.store}/{name}"
+
     def prefetch(self, names: Iterable[str]) -> None:
         """Store several independent tables as concurrent Spark jobs (the
         scheduler interleaves their stages, so small jobs do not leave cores

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemarts.contracts import CONTRACTS
+from lakemarts.operators import counts
 from lakemarts.operators import profile as P
 from lakemarts.operators import quality as Q
 from lakemarts.operators.cleanse import cleanse
@@ -182,9 +183,4 @@ def layer_counts(catalog: Catalog) -> DataFrame:
     """U01 over the written tables, ordered by layer and name."""
     names = [("bronze", CONTRACTS[t].raw) for t in SILVER_TABLES]
     names += [("silver", t) for t in SILVER_TABLES] + [("gold", t) for t in DIMENSIONS + FACTS]
-    parts = [
-        catalog.table(layer, t).agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(layer).alias("layer"), F.lit(t).alias("table_name"), "row_count")
-        for layer, t in names
-    ]
-    return reduce(DataFrame.unionByName, parts).orderBy("layer", "table_name")
+    return counts.layer_counts(catalog.spark, [(layer, t, catalog.table(layer, t)) for layer, t in names])

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from lakemarts.contracts import CONTRACTS
 from lakemarts.operators import profile as P
 from lakemarts.operators import quality as Q
-from lakemarts.operators import tiles
+from lakemarts.operators import counts, tiles
 from lakemarts.operators.cleanse import clean_columns, row_filter
 from lakemarts.operators.dedup import duplicate_keys
 from lakemarts.plans.layers import FACTS, GOLD_DIMS, GOLD_INPUTS, GOLD_TABLES, MART_INPUTS, SILVER_TABLES, Gold, Lake
@@ -116,16 +116,12 @@ def fact_reconciliation(lk: Lake, sources: Callable[[str], DataFrame]) -> DataFr
 
 
 def layer_counts(lk: Lake) -> DataFrame:
-    def count(layer: str, name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"
-        )
-
+    lk.prefetch_silver(SILVER_TABLES)
     lk.prefetch_gold(GOLD_TABLES)
-    parts = [count("bronze", f"{t}_raw", lk.raw(t)) for t in SILVER_TABLES]
-    parts += [count("silver", t, lk.silver.stored(t)) for t in SILVER_TABLES]
-    parts += [count("gold", t, lk.gold.stored(t)) for t in GOLD_TABLES]
-    return reduce(DataFrame.unionByName, parts).orderBy("layer", "table_name")
+    tables = [("bronze", f"{t}_raw", lk.raw(t)) for t in SILVER_TABLES]
+    tables += [("silver", t, lk.silver.folder(t)) for t in SILVER_TABLES]
+    tables += [("gold", t, lk.gold.folder(t)) for t in GOLD_TABLES]
+    return counts.layer_counts(lk.spark, tables)
 
 
 def _registry() -> dict[str, Query]:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from support import SF_SMALL
 from lakemarts.contracts import CONTRACTS, SOURCE_FILES
+from lakemarts.operators import counts
 from lakemarts.operators import quality as Q
 from lakemarts.plans import pipeline
 from lakemarts.plans.layers import Lake
@@ -252,3 +253,13 @@ def test_reports_built_together_can_both_be_read(spark):
     built = [own[name](spark, SF_SMALL) for name in ("dq_summary", "dq_failures", "fct_orders_gated", "dq_history", "dq_summary")]
     counts = [df.count() for df in built]
     assert counts[0] == counts[4] == 2 and counts[1] == 5 and counts[2] == 1500 and counts[3] == 31
+
+
+def test_counts_come_from_file_statistics(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "id * 2 as b").write.parquet(folder)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")}
+    found = counts.layer_counts(spark, [("x", "files", folder), ("x", "rows", spark.range(7))])
+    assert "PushedAggregation: [COUNT(*)]" in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("x", "files", 1000), ("x", "rows", 7)]
+    assert before == {k: spark.conf.get(k) for k in before}
