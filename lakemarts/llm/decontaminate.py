@@ -8,13 +8,17 @@ parts.  A document is contaminated by an item if tiles cover at least
 ``COVERAGE`` of the item's words.
 
 The benchmark's side of the join is held by every task.  Its words are
-counted first: it is split by item into blocks of about ``BLOCK_WORDS``
-words, and the documents are read once per block.  No document is shuffled.
+counted first: it is dealt row by row into blocks of about ``BLOCK_WORDS``
+words, of which the driver and a task hold one at a time; the documents are
+read once per block, and a block's result is stored before the next.  No
+document is shuffled.
 
 Inputs: null and empty texts match nothing.  Items of fewer than
 ``SEED_WORDS`` words are too short to be recognised and match nothing.
 Repeated documents and repeated items give a row for each pair; a null
-doc_id or item_id stays null in the result.  Extra columns are ignored
+doc_id or item_id stays null in the result.  Of tiles of equal length the one
+that starts first in the item, then in the document, is taken.  Very long
+texts are read whole; a word or passage that a text repeats is looked up once.  Extra columns are ignored
 (``overlaps``) or kept (``drop_contaminated``).  Empty tables give no pairs.
 """
 
@@ -27,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemarts.llm.common import ship, union
+from lakemarts.llm.common import ship, stored, union
 from lakemarts.llm.tiling_core import SEED_WORDS, Items
 
 #: Share of an item's words that tiles must cover.
@@ -38,13 +42,18 @@ BLOCK_WORDS = 2_000_000
 _PAIRS = "array<struct<item int, coverage double, tiles array<struct<item_start int, doc_start int, n_words int>>>>"
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple]]:
-    """The items ``(item_id, text)`` in blocks of about ``block_words``."""
-    total = benchmark.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"\s+")))).first()[0] or 0
+def _blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
+    """The items ``(item_id, text)`` in blocks of about ``block_words``.  Rows
+    are dealt one by one, so that equal items do not share a block; they are
+    stored with their numbers first, which then stay."""
+    words = F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))
+    total = benchmark.agg(F.sum(words)).first()[0] or 0
     n = max(1, math.ceil(total / block_words))
-    at = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    for k in range(n):
-        yield [tuple(r) for r in benchmark.where(at == k).select("item_id", "text").collect()]
+    items = benchmark.select("item_id", "text")
+    if n == 1:
+        return [items]
+    items = stored(items.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n))), "items")
+    return [items.where(F.col("block") == k).select("item_id", "text") for k in range(n)]
 
 
 def _matches(docs: DataFrame, block: list[tuple], coverage: float, text: Column) -> Column:
@@ -77,17 +86,21 @@ def overlaps(
     """One row per contaminated document and item: ``doc_id, item_id,
     coverage, tiles``."""
     ship(docs.sparkSession)
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    blocks = _blocks(benchmark, block_words)
     found = []
-    for block in _blocks(benchmark, block_words):
+    for rows in blocks:
+        block = [tuple(r) for r in rows.collect()]
         pairs = docs.select("doc_id", _matches(docs, block, coverage, F.col("text")).alias("pairs"))
-        kind = benchmark.schema["item_id"].dataType.simpleString()
         names = docs.sparkSession.createDataFrame([(k, i) for k, (i, _) in enumerate(block)], f"item int, item_id {kind}")
-        found.append(
+        one = (
             pairs.select("doc_id", F.explode("pairs").alias("p"))
             .select("doc_id", "p.item", "p.coverage", "p.tiles")
             .join(F.broadcast(names), "item")  # one block's ids
             .select("doc_id", "item_id", "coverage", "tiles")
         )
+        # a block is done with before the next one is read
+        found.append(stored(one, "overlaps") if len(blocks) > 1 else one)
     return union(found)
 
 
@@ -96,8 +109,12 @@ def drop_contaminated(
 ) -> DataFrame:
     """The documents that no item contaminates; all columns stay."""
     ship(docs.sparkSession)
-    for block in _blocks(benchmark, block_words):
+    blocks = _blocks(benchmark, block_words)
+    for rows in blocks:
+        block = [tuple(r) for r in rows.collect()]
         docs = docs.where(F.size(_matches(docs, block, coverage, F.col("text"))) == 0)
+        if len(blocks) > 1:
+            docs = stored(docs, "decontaminated")
     return docs
 
 

@@ -3,6 +3,7 @@ the benchmark items worth tiling (no Spark here; see ``decontaminate.py``)."""
 
 from __future__ import annotations
 
+import heapq
 import re
 
 import numpy as np
@@ -35,55 +36,83 @@ class _Rolling:
         return (self.sums[start + length] - self.sums[start] * self.powers[length]) % _PRIME
 
 
-def _free_windows(marked: bytearray, length: int):
+def _unmarked(marked: np.ndarray) -> list[tuple[int, int]]:
+    """Runs ``(start, end)`` of places that are not marked."""
+    edges = np.flatnonzero(np.diff(~marked, prepend=False, append=False))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+def _free_windows(marked: np.ndarray, length: int):
     """Starts of windows without a marked token."""
-    run = 0
-    for at, taken in enumerate(marked):
-        run = 0 if taken else run + 1
-        if run >= length:
-            yield at - length + 1
+    for lo, hi in _unmarked(marked):
+        yield from range(lo, hi - length + 1)
+
+
+def _matches(item: np.ndarray, text: np.ndarray, item_marked: np.ndarray, text_marked: np.ndarray,
+             hashes: tuple[_Rolling, _Rolling], length: int):
+    """Matches ``(item_start, text_start, n)`` of at least ``length`` unmarked
+    tokens that cannot be extended on either side: of a long match every
+    window meets, but only the first one starts it."""
+    starts: dict[int, list[int]] = {}
+    for t in _free_windows(text_marked, length):
+        starts.setdefault(hashes[1].window(t, length), []).append(t)
+    held: dict[int, np.ndarray] = {}
+    for i in _free_windows(item_marked, length) if starts else ():
+        key = hashes[0].window(i, length)
+        if key not in starts:
+            continue
+        if key not in held:
+            held[key] = np.array(starts[key], dtype=np.int64)
+        at = held[key]
+        if i and not item_marked[i - 1]:
+            before = at - 1
+            at = at[(before < 0) | (text[before] != item[i - 1]) | text_marked[before]]
+        # all of them are extended side by side, token by token
+        n = np.zeros(len(at), dtype=np.int64)
+        going = np.arange(len(at))
+        for k in range(len(item) - i):
+            if item_marked[i + k]:
+                break
+            going = going[at[going] + k < len(text)]
+            going = going[(text[at[going] + k] == item[i + k]) & ~text_marked[at[going] + k]]
+            if not len(going):
+                break
+            n[going] = k + 1
+        for t, size in zip(at.tolist(), n.tolist()):
+            if size >= length:  # else equal hashes of unequal windows
+                yield i, t, size
 
 
 def greedy_tiles(item: list[int], text: list[int], shortest: int = SEED_WORDS) -> list[tuple[int, int, int]]:
     """Tiles ``(item_start, text_start, length)``: again and again the longest
     match of unmarked tokens is taken and marked on both sides, down to
     ``shortest`` tokens.  Ties go to the earliest start in the item, then in
-    the text.  ``text`` may hold negative tokens, which match nothing."""
-    item_marked = bytearray(len(item))
-    text_marked = bytearray(1 if t < 0 else 0 for t in text)
-    item_sums, text_sums = _Rolling(item), _Rolling(text)
+    the text.  ``text`` may hold negative tokens, which match nothing.
+
+    Matches are searched at a length that is halved from ``START_LENGTH``.
+    Those of a length wait in a heap, longest first; one that has been marked
+    in part by then goes back as its unmarked runs."""
+    own, other = np.asarray(item, dtype=np.int64), np.asarray(text, dtype=np.int64)
+    item_marked, text_marked = np.zeros(len(own), dtype=bool), other < 0
+    hashes = _Rolling(item), _Rolling(text)
     tiles: list[tuple[int, int, int]] = []
     length = max(shortest, min(START_LENGTH, len(item)))
     while True:
-        starts: dict[int, list[int]] = {}
-        for at in _free_windows(text_marked, length):
-            starts.setdefault(text_sums.window(at, length), []).append(at)
-        found: list[tuple[int, int, int]] = []
-        longest = 0
-        for i in _free_windows(item_marked, length) if starts else ():
-            for t in starts.get(item_sums.window(i, length), ()):
-                if item[i : i + length] != text[t : t + length]:
-                    continue  # equal hashes of unequal windows
-                n = length
-                while (
-                    i + n < len(item) and t + n < len(text) and item[i + n] == text[t + n]
-                    and not item_marked[i + n] and not text_marked[t + n]
-                ):
-                    n += 1
-                longest = max(longest, n)
-                found.append((n, i, t))
-        if longest > 2 * length:
-            length = longest  # a much longer match: search for its like first
-            continue
-        for n, i, t in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
-            if any(item_marked[i : i + n]) or any(text_marked[t : t + n]):
-                continue  # partly taken; what is left shows up at a smaller length
-            item_marked[i : i + n] = text_marked[t : t + n] = b"\x01" * n
+        heap = [(-n, i, t) for i, t, n in _matches(own, other, item_marked, text_marked, hashes, length)]
+        heapq.heapify(heap)
+        while heap and not item_marked.all():
+            n, i, t = heapq.heappop(heap)
+            n = -n
+            taken = item_marked[i : i + n] | text_marked[t : t + n]
+            if taken.any():
+                for lo, hi in _unmarked(taken):
+                    if hi - lo >= length:
+                        heapq.heappush(heap, (lo - hi, i + lo, t + lo))
+                continue
+            item_marked[i : i + n] = text_marked[t : t + n] = True
             tiles.append((i, t, n))
-        if length == shortest:
-            if not found:
-                return tiles
-            continue  # until nothing of the shortest length is left
+        if length == shortest or item_marked.all():
+            return tiles
         length = max(shortest, length // 2)
 
 
@@ -130,27 +159,36 @@ class Items:
         if not len(places):
             return []
         h = self._seeds(tokens)[places]
-        first = np.searchsorted(self.hashes, h, "left")
-        last = np.searchsorted(self.hashes, h, "right")
-        hit = np.flatnonzero(last > first)
+        # every seed is looked up once, however often the text repeats it
+        order = np.argsort(h, kind="stable")
+        seeds, bounds = np.unique(h[order], return_index=True)
+        bounds = np.append(bounds, len(h))
+        places = places[order]
+        first = np.searchsorted(self.hashes, seeds, "left")
+        counts = np.searchsorted(self.hashes, seeds, "right") - first
+        hit = np.flatnonzero(counts)
         if not len(hit):
             return []
-        counts = (last - first)[hit]
-        at = np.repeat(first[hit], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        where, item, start = np.repeat(places[hit], counts), self.items[at], self.starts[at]
-        order = np.lexsort((where, item))
-        where, item, start = where[order], item[order], start[order]
+        first, counts = first[hit], counts[hit]
+        at = np.repeat(first, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        seed, item, start = np.repeat(hit, counts), self.items[at], self.starts[at]
+        by_item = np.argsort(item, kind="stable")
+        seed, item, start = seed[by_item], item[by_item], start[by_item]
         found = []
-        bounds = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
-        for a, b in zip(bounds[:-1], bounds[1:]):
+        cuts = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
+        for a, b in zip(cuts[:-1], cuts[1:]):
             own = self.tokens[k := int(item[a])]
             covered = np.zeros(len(own), dtype=bool)
             for offset in range(self.seed):
                 covered[start[a:b] + offset] = True
             if covered.sum() < coverage * len(own):
                 continue  # every tile consists of seeds, so tiles cannot cover more
+            where = np.concatenate([places[bounds[s] : bounds[s + 1]] for s in np.unique(seed[a:b])])
             # the words around this item's seeds; -1 keeps tiles from crossing a gap
-            near = np.unique((where[a:b, None] + np.arange(self.seed)).ravel())
+            inside = np.zeros(len(tokens), dtype=bool)
+            for offset in range(self.seed):
+                inside[where + offset] = True
+            near = np.flatnonzero(inside)
             gaps = np.flatnonzero(np.diff(near) > 1) + 1
             part = np.insert(tokens[near], gaps, -1)
             origin = np.insert(near, gaps, -1)

@@ -3,6 +3,7 @@
 import base64
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -300,3 +301,46 @@ def test_licence_phrases_and_notices():
         assert index.scan(empty) == {"n_words": 0, "places": [], "base_labels": [], "labels": [], "score": 0.0}
     bsd = index.scan(licenses_core.NOTICES[-1][1] + " and so on")
     assert bsd["labels"] == ["bsd-3-clause"] and bsd["base_labels"] == []
+
+
+def plain_tiles(item, text, shortest):
+    """The definition: the longest match of unmarked tokens, again and again."""
+    item_marked, text_marked, tiles = [False] * len(item), [t < 0 for t in text], []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for t in range(len(text)):
+                n = 0
+                while (
+                    i + n < len(item) and t + n < len(text) and item[i + n] == text[t + n]
+                    and not item_marked[i + n] and not text_marked[t + n]
+                ):
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, t)
+        n, i, t = best
+        if n < shortest:
+            return tiles
+        item_marked[i : i + n] = text_marked[t : t + n] = [True] * n
+        tiles.append((i, t, n))
+
+
+def test_tiles_equal_the_definition():
+    rnd = random.Random(4)
+    for k in range(200):
+        kinds = rnd.choice([1, 2, 3, 6])
+        item = [rnd.randrange(kinds) for _ in range(rnd.randint(5, 60))]
+        text = [rnd.randrange(-1 if k % 3 else 0, kinds) for _ in range(rnd.randint(5, 90))]
+        if k % 2:
+            at = rnd.randrange(len(text))
+            text[at:at] = item[len(item) // 2 :] + item[: len(item) // 3]
+        assert tiling_core.greedy_tiles(item, text, 3 + k % 3) == plain_tiles(item, text, 3 + k % 3)
+
+
+def test_one_word_over_and_over_is_tiled_in_bounded_memory():
+    items = tiling_core.Items([" ".join(["word"] * 40)])
+    tracemalloc.start()
+    found = items.matches(" ".join(["word"] * 100_000), 0.6)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found == [(0, 1.0, [(0, 0, 40)])] and most < 120_000_000
