@@ -1,10 +1,12 @@
 """Operator 5, language identification by bit-sliced Bloom filters.
 
 ``learn`` counts the character 3-grams of every training text by language (a
-map-side and a Spark aggregation), gives an n-gram to the languages in which
-its share is at least ``NEAR`` of its largest share in any language, and packs
-the filters of all languages into one table of slots with a bit per language.
-The table has a fixed number of slots and is broadcast.  ``identify`` reads
+map-side and a Spark aggregation), gives an n-gram to every language whose
+texts contain it, and packs the filters of all languages into one table of
+slots with a bit per language.  An n-gram that is less than ``LEAST_SHARE`` of
+a language's n-grams is taken for a name, a foreign word or a misprint there.
+The table is sized by the n-grams counted, within the bounds that
+``langid_core`` states, and broadcast.  ``identify`` reads
 the languages of each n-gram of a text by one AND per hash function, counts
 per language, corrects the counts for the filters' false answers and takes the
 largest.
@@ -14,8 +16,9 @@ null.  A null text and a text without letters give ``und`` with score 0, and
 so does everything when nothing was learned; a text none of whose n-grams was
 learned gives the first language with an equal share.  Ties go to the first
 language in alphabetical order.  Repeated rows count as often as they occur
-and are classified each.  A null doc_id counts as not held out.  Empty tables
-give empty results.
+and are classified each.  A null doc_id counts as not held out.  Very long texts
+are read whole, a piece at a time.  Other columns are ignored, whatever their
+names.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -31,9 +34,8 @@ from lakemarts.llm import langid_core as core
 from lakemarts.llm.common import ship, stored
 from lakemarts.llm.toxicity import held_out
 
-#: An n-gram belongs to a language if its share there is at least this part of
-#: its largest share in any language.
-NEAR = 0.5
+#: Share of a language's n-grams from which it contains an n-gram.
+LEAST_SHARE = 1e-5
 #: Counts that a task holds before it passes them on.
 HELD_COUNTS = 1 << 20
 
@@ -65,22 +67,23 @@ def ngram_counts(training: DataFrame) -> DataFrame:
     return known.mapInPandas(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
-def learn(training: DataFrame, near: float = NEAR) -> core.Filter:
+def learn(training: DataFrame, least_share: float = LEAST_SHARE) -> core.Filter:
     counts = stored(ngram_counts(training), "ngrams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     languages = sorted(r["lang"] for r in totals.select("lang").collect())  # one value a language
     if not languages:
         return core.Filter([], np.empty(0, int), np.empty(0, int), np.empty(0, np.uint64))
     number = F.array_position(F.array(*(F.lit(x) for x in languages)), F.col("lang")) - 1
-    shares = counts.join(F.broadcast(totals), "lang").select(
-        number.alias("number"), "code", (F.col("n") / F.col("total")).alias("share")
+    members = stored(
+        counts.join(F.broadcast(totals), "lang").where(F.col("n") >= F.lit(least_share) * F.col("total"))
+        .select(number.alias("number"), "code"), "members",
     )
-    most = shares.groupBy("code").agg(F.max("share").alias("most"))
-    members = shares.join(most, "code").where(F.col("share") >= near * F.col("most"))
+    largest = members.groupBy("number").count().agg(F.max("count")).first()[0]
+    bits = core.slot_bits(largest)
 
     @F.pandas_udf("array<int>")
     def slots(codes: pd.Series) -> pd.Series:
-        return pd.Series(list(core.slots(codes.to_numpy().view(np.uint64)).T.astype(np.int32)))
+        return pd.Series(list(core.slots(codes.to_numpy().view(np.uint64), bits).T.astype(np.int32)))
 
     # every member sets its language's bit in its slots
     bit = F.expr("shiftleft(1L, cast(number % 64 as int))")
@@ -93,7 +96,7 @@ def learn(training: DataFrame, near: float = NEAR) -> core.Filter:
     )
     return core.Filter(
         languages, rows["slot"].to_numpy(dtype=np.int64), rows["word"].to_numpy(dtype=np.int64),
-        rows["mask"].to_numpy(dtype=np.int64).view(np.uint64),
+        rows["mask"].to_numpy(dtype=np.int64).view(np.uint64), bits,
     )
 
 
@@ -109,10 +112,10 @@ def identify(docs: DataFrame, learned: core.Filter, text: str = "text") -> Colum
     return classify(F.col(text))
 
 
-def languages(docs: DataFrame, near: float = NEAR) -> DataFrame:
+def languages(docs: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
     """One row per document, learned from those not held out: ``doc_id,
     held_out, lang_pred, score``."""
-    learned = learn(docs.where(~held_out()), near)
+    learned = learn(docs.where(~held_out()), least_share)
     return docs.select("doc_id", held_out().alias("held_out"), identify(docs, learned).alias("_p")).select(
         "doc_id", "held_out", "_p.lang_pred", "_p.score"
     )

@@ -9,10 +9,14 @@ import numpy as np
 NGRAM = 3
 #: Characters looked at a time, so that memory does not grow with a text.
 CHUNK = 1 << 18
-#: Bits of a filter slot and hash functions of the filter.
-SLOT_BITS = 20
+#: Hash functions of the filter.
 HASHES = 4
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Slots for each n-gram of the largest language, which leaves about 0.24 % of
+#: false answers, and the bounds of a slot number's bits: the table has 0.5 to
+#: 128 MB for every 64 languages.
+SLOTS_EACH = 16
+LEAST_BITS, MOST_BITS = 16, 24
+_MIX, _APART = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _CODE_BITS = 21  # of a character
 
 _LETTERS: np.ndarray | None = None
@@ -69,16 +73,22 @@ def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return codes, counts
 
 
-def slots(codes: np.ndarray) -> np.ndarray:
+def slot_bits(members: int) -> int:
+    """Bits of a slot number for languages of up to so many n-grams."""
+    return min(MOST_BITS, max(LEAST_BITS, (SLOTS_EACH * members - 1).bit_length()))
+
+
+def slots(codes: np.ndarray, bits: int) -> np.ndarray:
     """The filter slots of n-grams, one row per hash function."""
     out = np.empty((HASHES, len(codes)), dtype=np.int64)
     with np.errstate(over="ignore"):
         for k in range(HASHES):
-            h = (codes.astype(np.uint64) + np.uint64(k + 1)) * _MIX
+            # far apart for every function, so that neighbouring n-grams share no slots
+            h = (codes.astype(np.uint64) ^ (np.uint64(k + 1) * _APART)) * _MIX
             h ^= h >> np.uint64(31)
             h *= np.uint64(0xBF58476D1CE4E5B9)
             h ^= h >> np.uint64(29)
-            out[k] = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+            out[k] = (h >> np.uint64(64 - bits)).astype(np.int64)
     return out
 
 
@@ -87,16 +97,25 @@ class Filter:
     words with one bit per language, so one AND of an n-gram's rows gives all
     languages that contain it."""
 
-    def __init__(self, languages: list[str], slot: np.ndarray, word: np.ndarray, mask: np.ndarray):
+    def __init__(self, languages: list[str], slot: np.ndarray, word: np.ndarray, mask: np.ndarray, bits: int = LEAST_BITS):
         self.languages = languages
-        self.rows = np.zeros((1 << SLOT_BITS, max(1, -(-len(languages) // 64))), dtype=np.uint64)
+        self.bits = bits
+        self.rows = np.zeros((1 << bits, max(1, -(-len(languages) // 64))), dtype=np.uint64)
         self.rows[slot, word] = mask
         # the share of n-grams in no language that a language's filter answers
-        bits = np.zeros(64 * self.rows.shape[1])
+        used = np.zeros(64 * self.rows.shape[1])
         for w in range(self.rows.shape[1]):
             for b in range(min(64, len(languages) - 64 * w)):
-                bits[64 * w + b] = np.count_nonzero((self.rows[:, w] >> np.uint64(b)) & np.uint64(1))
-        self.false = (bits[: len(languages)] / (1 << SLOT_BITS)) ** HASHES
+                used[64 * w + b] = np.count_nonzero((self.rows[:, w] >> np.uint64(b)) & np.uint64(1))
+        self.false = (used[: len(languages)] / (1 << bits)) ** HASHES
+
+    def languages_of(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of all languages that contain each n-gram."""
+        at = slots(codes, self.bits)
+        held = self.rows[at[0]]
+        for k in range(1, HASHES):
+            held = held & self.rows[at[k]]
+        return held
 
     def classify(self, text: str | None) -> tuple[str, float]:
         """The language whose filter holds most of the text's n-grams, its
@@ -106,10 +125,7 @@ class Filter:
         codes, counts = ngrams(text)
         if not len(codes) or not self.languages:
             return "und", 0.0
-        at = slots(codes)
-        held = self.rows[at[0]]
-        for k in range(1, HASHES):
-            held = held & self.rows[at[k]]
+        held = self.languages_of(codes)
         total = counts.sum()
         bits = np.unpackbits(held.view(np.uint8), axis=1, bitorder="little")[:, : len(self.languages)]
         hits = counts @ bits.astype(np.int64)

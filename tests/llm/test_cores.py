@@ -281,13 +281,14 @@ def test_language_filter_with_more_than_64_languages():
     texts = ["".join(chr(0x4E00 + 40 * i + (k * 7) % 40) for k in range(60)) for i in range(70)]
     rows: dict = {}
     for i, t in enumerate(texts):
-        for s in langid_core.slots(langid_core.ngrams(t)[0]).ravel():
+        for s in langid_core.slots(langid_core.ngrams(t)[0], langid_core.LEAST_BITS).ravel():
             key = (int(s), i // 64)
             rows[key] = rows.get(key, 0) | 1 << (i % 64)
     slot, word = np.array(list(rows)).T
     f = langid_core.Filter(names, slot, word, np.array(list(rows.values()), dtype=np.uint64))
     assert [f.classify(t)[0] for t in texts] == names
     assert f.classify(None) == f.classify("123") == ("und", 0.0)
+    assert [langid_core.slot_bits(n) for n in (0, 5000, 100_000, 1 << 40)] == [16, 17, 21, 24]
 
 
 def test_licence_phrases_and_notices():

@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from lakemarts.llm import (
-    bpe, chat, decontaminate, embeddings, langid, licenses, pii, pii_core, queries, simhash, simhash_core, substring,
+    bpe, chat, decontaminate, embeddings, langid, langid_core, licenses, pii, pii_core, queries, simhash, simhash_core, substring,
     toxicity,
 )
 from lakemarts.llm import tiling_core
@@ -239,6 +239,35 @@ def test_language_held_out_accuracy_and_edges(ready, edge_docs, no_docs):
     assert rows(langid.languages(no_docs)) == []
 
 
+def test_language_filters_equal_exact_sets(ready):
+    """Every language containing an n-gram is returned, and the predictions
+    are those of sets without false answers."""
+    docs = table(ready, "/root/testdata/sf0.01", "documents")
+    train = [r for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 and r.text is not None and r.lang is not None]
+    counts: dict = defaultdict(lambda: defaultdict(int))
+    for r in train:
+        for code, n in zip(*(x.tolist() for x in langid_core.ngrams(r.text))):
+            counts[r.lang][code] += n
+    names = sorted(counts)
+    sets = [{c for c, n in counts[x].items() if n >= langid.LEAST_SHARE * sum(counts[x].values())} for x in names]
+    learned = langid.learn(docs.where(~langid.held_out()))
+    assert learned.languages == names
+    every = np.array(sorted(set().union(*sets)), dtype=np.uint64)
+    held = learned.languages_of(every)[:, 0]
+    exact = np.array([[c in s for s in sets] for c in every.tolist()])
+    got = np.array([[bool(h >> np.uint64(k) & np.uint64(1)) for k in range(len(names))] for h in held])
+    assert got[exact].all() and got[~exact].mean() < 0.01
+    compared = 0
+    for r in langid.languages(docs).join(docs.select("doc_id", "text"), "doc_id").collect():
+        codes, n = langid_core.ngrams(r.text)
+        hits = [sum(k for c, k in zip(codes.tolist(), n.tolist()) if c in s) for s in sets]
+        best, second = sorted(hits)[-1], sorted(hits)[-2]
+        if best - second > 0.02 * n.sum():  # a lead that false answers cannot make
+            compared += 1
+            assert r.lang_pred == names[int(np.argmax(hits))]
+    assert compared > 900
+
+
 # --- 6, personal data --------------------------------------------------------
 
 
