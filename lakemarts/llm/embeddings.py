@@ -4,6 +4,9 @@ Equal vectors are one class.  In each pass the classes are ordered by the
 concatenated bits of random hyperplane hashes (and by class where they tie),
 and every class is compared, by cosine in double precision, with its
 ``WINDOW`` neighbours on either side.  The links of all passes are united.
+The hyperplanes cut what is left of unit vectors without their common
+direction (the mean): embeddings often lie in a cone, and signs of whole
+vectors would all but agree there.
 
 The order is global: one sort gives the ranks of all passes, and blocks of
 consecutive ranks, each with the first ``WINDOW`` rows of the next one, are
@@ -11,9 +14,10 @@ compared as matrices.  A block knows its rows' ranks in all passes, so a pair
 is counted only in the first pass whose window holds it: links are counted
 without being listed, and a block returns at most a row per class.
 
-The number of passes follows the number of classes, so that a pair at the
-threshold meets in some window with probability ``RECALL`` where the vectors
-lie evenly (``passes_for``).  In a dense group a window is full before it
+The number of passes follows the number of classes and how far they spread
+around their mean, so that a pair at the threshold meets in some window with
+probability ``RECALL`` where the vectors lie evenly (``passes_for``,
+``residual_cosine``).  In a dense group a window is full before it
 holds all partners.  So every class that the windows link to ``window *
 CROWDED`` others or more is crowded, and is compared with all classes that can
 link to it: pivots are taken until each crowded class is within the threshold's
@@ -24,7 +28,8 @@ are all compared, and every class once with every pivot.
 
 Inputs: vectors that are null, empty or zero, or hold null or non-finite
 components, link with nothing; vectors of other lengths never link.  Repeated
-rows are vectors of their own.  A null vec_id stays null and is no smallest
+rows are vectors of their own, and cosines that tie with the threshold are
+links.  The driver holds a mean for each length that occurs.  A null vec_id stays null and is no smallest
 id.  Extra columns are ignored.  An empty table gives an empty result.
 """
 
@@ -54,6 +59,8 @@ SLACK = 1e-6
 #: Probability that a pair at the threshold meets in a window.
 RECALL = 0.995
 LEAST_PASSES = 8
+#: Cosine beside the mean that passes are counted for at least.
+LEAST_COSINE = 0.3
 #: Bits of a pass's sort key.
 BITS = 62
 SEED = 20_260
@@ -70,11 +77,42 @@ def passes_for(n: int, cosine: float = COSINE, window: int = WINDOW, recall: flo
     return max(LEAST_PASSES, math.ceil(math.log(1 - recall) / math.log(1 - agree)))
 
 
+def residual_cosine(cosine: float, spread: float) -> float:
+    """The cosine of what a pair at the threshold has beside the mean, for
+    vectors whose mean squared distance from it is ``spread``; at least
+    ``LEAST_COSINE``, since in a narrower cone a vector has so many partners
+    that its windows make it crowded."""
+    return max(LEAST_COSINE, 1 - (1 - cosine) / max(spread, 1e-12))
+
+
+def _means(classes: DataFrame) -> dict[int, np.ndarray]:
+    """By vector length, the mean of the classes' unit vectors.  A task sums
+    its rows; a mean of each length is all that reaches the driver."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for size, rows in batch.groupby(batch["embedding"].map(len)):
+                held = sums.setdefault(size, [0, np.zeros(size)])
+                held[0] += len(rows)
+                held[1] += _unit(rows["embedding"]).sum(axis=0)
+        if sums:
+            yield pd.DataFrame([(size, n, total.tolist()) for size, (n, total) in sums.items()], columns=["size", "n", "total"])
+
+    parts = classes.select("embedding").mapInPandas(run, "size int, n long, total array<double>")
+    places = parts.select("size", "n", F.posexplode("total").alias("place", "x"))
+    mean = F.sum("x") / F.sum("n")
+    rows = places.groupBy("size", "place").agg(F.round(mean, 9).alias("x")).groupBy("size").agg(
+        F.array_sort(F.collect_list(F.struct("place", "x"))).getField("x").alias("mean")
+    )
+    return {r["size"]: np.array(r["mean"]) for r in rows.collect()}
+
+
 def _planes(size: int, passes: int) -> np.ndarray:
     return np.random.default_rng([SEED, size]).standard_normal((size, passes * BITS))
 
 
-def _keys(classes: DataFrame, passes: int) -> DataFrame:
+def _keys(classes: DataFrame, passes: int, means: dict[int, np.ndarray]) -> DataFrame:
     """``(pass, key, cid)``: the sort key of every class in every pass."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,7 +123,7 @@ def _keys(classes: DataFrame, passes: int) -> DataFrame:
             for size, rows in batch.groupby(sizes):
                 if size not in planes:
                     planes[size] = _planes(size, passes)
-                x = np.stack(rows["embedding"].to_list()).astype(np.float64)
+                x = _unit(rows["embedding"]) - means[size]
                 bits = (x @ planes[size] > 0).reshape(len(x), passes, BITS)
                 keys = bits.astype(np.int64) @ weights
                 yield pd.DataFrame(
@@ -340,8 +378,11 @@ def near_vectors(
         "classes",
     )
     n = classes.count()
-    passes = passes or passes_for(n, cosine, window)
-    ranks = _ranks(_keys(classes, passes), n)
+    means = _means(classes)
+    if passes is None:
+        spreads = [1 - float(m @ m) for m in means.values()]
+        passes = max((passes_for(n, residual_cosine(cosine, s), window) for s in spreads), default=LEAST_PASSES)
+    ranks = _ranks(_keys(classes, passes, means), n)
     placed = classes.select("cid", "n", "embedding").join(ranks, "cid")
     by_pass = placed.select("*", F.posexplode("ranks").alias("pass", "rank"))
     home = F.floor(F.col("rank") / block)

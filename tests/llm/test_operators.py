@@ -183,6 +183,26 @@ def test_links_of_dense_groups_are_exact(ready, side):
     assert {i: (n, c) for i, n, c, _ in got} == {i: (int(linked[i].sum()), comp[i]) for i in range(len(x))}
 
 
+def test_links_in_a_cone(ready):
+    """Vectors that share a direction, median cosine about 0.9: what the
+    windows lose stays under one in a hundred links."""
+    rnd = np.random.default_rng(8)
+    n, size = 4000, 64
+    x = rnd.standard_normal((n, size)) / 8 * 0.32
+    x[:, 0] += 1
+    x[: n // 8] += rnd.standard_normal((n // 8, size)) / 8 * 0.05 + x[n // 8 : n // 4] - x[: n // 8]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    cosines = x @ x.T
+    assert 0.88 < np.median(cosines) < 0.93
+    linked = cosines >= 0.95
+    np.fill_diagonal(linked, False)
+    frame = ready.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.near_vectors(frame, window=64, block=512).collect()}
+    assert all(got[i] <= linked[i].sum() for i in range(n))  # exact checks: none too many
+    assert sum(got.values()) >= 0.99 * linked.sum() > 1000
+    assert embeddings.residual_cosine(0.95, 1.0) == 0.95 and embeddings.residual_cosine(0.95, 0.01) == 0.3
+
+
 def test_more_vectors_need_more_passes():
     assert embeddings.passes_for(0) == embeddings.passes_for(500) == embeddings.LEAST_PASSES
     counts = [embeddings.passes_for(10**k) for k in range(3, 10)]
