@@ -1,6 +1,12 @@
 """Operator 6, personal data: every detected entity gets a keyed surrogate of
 its type, gender, script and format.
 
+Kinds: mail addresses; secrets behind a keyword and AWS access keys; IPv4
+addresses but for versions and single digits, whole IPv6 addresses; phone
+numbers in North American form (with and without +1 one number) or with a
+country code; social security numbers; card numbers and IBANs whose check
+digits are right; names behind titles.
+
 An entity is a kind and a canonical form; all its mentions, in all documents,
 get the same surrogate, and different entities get different ones.  A name is
 found behind a title; its given names and its family name are entities of
@@ -15,8 +21,10 @@ have to be known when texts are rewritten.  Up to ``HELD_ENTITIES`` of them
 are held by every task and no text is shuffled; beyond it each document gets
 its own ones by a join on a hash of its text.
 
-Inputs: null texts stay null, texts without entities stay as they are.
-Repeated rows keep their rows and get the same surrogates.  Null ids stay.
+Inputs: null texts stay null, texts without entities stay as they are.  Very
+long texts are read whole.  Of mentions that overlap the earlier one is taken,
+of those that tie the longer one.  Repeated rows keep their rows and get the
+same surrogates.  Null ids stay.
 All columns stay in ``replace_pii``; the two columns it adds (``pii_spans``
 in its full form) replace columns of that name.  An empty table stays empty.
 """
@@ -62,8 +70,9 @@ def later_attempts(found: DataFrame, key: bytes = KEY) -> DataFrame:
     found = stored(found, "entities")
     drawn = found.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw("kind", "entity", "attempt"))
     drawn = stored(drawn, "drawn")
-    # genders share a family of given names: a surrogate has to differ across them
-    family = F.when(F.col("kind").startswith("given"), "given").otherwise(F.col("kind"))
+    # a surrogate has to differ across all parts of names, and across addresses
+    named = F.col("kind").startswith("given") | (F.col("kind") == "family")
+    family = F.when(named, "name").when(F.col("kind").isin("ip", "ipv6"), "ip").otherwise(F.col("kind"))
     while True:
         rows = drawn.withColumn("family", family)
         holder = rows.groupBy("family", "surrogate").agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -39,14 +40,22 @@ _FINDERS = [
     ("email", re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+"), "@"),
     ("secret", re.compile(
         r"(?i:\b(?:token|api[_-]?key|secret|password|passwd)\s*[=:]\s*[\"']?)(?P<e>(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{8,})"
-        r"|\b(?P<h>[0-9a-fA-F]{32,128})\b"), None),
+        # a bare digest is one of many things; behind a keyword of its line it is a secret
+        r"|(?i:\b(?:api[_-]?key|key|token|secret|password|passwd|credential|auth)s?)\b[^\w\n]{1,3}(?:[a-z]{1,8}[^\w\n]{1,3}){0,2}"
+        r"(?P<h>[0-9a-fA-F]{32,128})\b"
+        r"|\b(?P<k>AKIA[A-Z0-9]{16})\b"), None),
     ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"), "."),
     ("phone", re.compile(
-        r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
+        r"(?<![\w+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}"
+        r"|\+(?!1[ .(-])\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
         r"|\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"), None),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), "-"),
     ("card", re.compile(r"(?<![\w.])(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}|\d{13,19})(?!\w)"), None),
+    ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), None),
+    ("ipv6", re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:.])"), ":"),
 ]
+#: What says that a four-part number is a version.
+_VERSION = re.compile(r"(?i)(?:\bv|\b(?:ver|version|release|build|rev)\.?\s*)$")
 _TITLE = re.compile(rf"(?<!\w)({_NAME})(?=\s)")
 _TITLE_WORDS = {t.rstrip(".") for t in TITLES}
 _WORD = re.compile(r"(?<![^\W_])[^\W\d_][\w'’-]*")
@@ -151,6 +160,25 @@ def _names(text: str, taken: list[tuple[int, int]]) -> list[Mention]:
     return out
 
 
+def _plausible(kind: str, text: str, start: int, end: int) -> bool:
+    """Whether what a pattern found is what it looks like: check digits of
+    cards and IBANs, addresses that are no versions, whole IPv6 addresses."""
+    shown = text[start:end]
+    if kind == "card":
+        return _luhn("".join(c for c in shown if c.isdigit())) == 0
+    if kind == "iban":
+        return _iban_rest(canonical(kind, shown)) == 1
+    if kind == "ip":
+        alone = all(len(part) == 1 for part in shown.split("."))
+        return not alone and _VERSION.search(text, max(0, start - 12), start) is None
+    if kind == "ipv6":
+        try:
+            return ipaddress.IPv6Address(shown).packed != bytes(16)
+        except ValueError:
+            return False
+    return True
+
+
 def mentions(text: str | None) -> list[Mention]:
     """Mentions in text order, none overlapping: where two patterns meet, the
     earlier start wins, then the longer one.  A name's entities are its given
@@ -164,9 +192,10 @@ def mentions(text: str | None) -> list[Mention]:
             if (needs and needs not in text) or (not digits and kind not in ("email", "secret")):
                 continue
             for m in pattern.finditer(text):
-                group = next((g for g in ("e", "h") if kind == "secret" and m.group(g)), 0)
+                group = next((g for g in ("e", "h", "k") if kind == "secret" and m.group(g)), 0)
                 a, b = m.span(group)
-                found.append((kind, a, b, [(kind, a, b)]))
+                if _plausible(kind, text, a, b):
+                    found.append((kind, a, b, [(kind, a, b)]))
     found += _names(text, [(a, b) for _, a, b, _ in found])
     out, end = [], 0
     for m in sorted(found, key=lambda m: (m[1], -m[2], m[0])):
@@ -190,7 +219,13 @@ def canonical(kind: str, mention: str) -> str:
     """The entity of a mention: all spellings of one entity share it."""
     mention = unicodedata.normalize("NFC", mention)
     if kind in ("phone", "card", "ssn"):
-        return "".join(c for c in mention if c.isdigit())
+        digits = "".join(c for c in mention if c.isdigit())
+        # a number of ten digits is the same with and without the country code 1
+        return digits[1:] if kind == "phone" and len(digits) == 11 and digits[0] == "1" else digits
+    if kind == "iban":
+        return "".join(mention.casefold().split())
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(mention).exploded
     return " ".join(mention.casefold().split())
 
 
@@ -221,6 +256,11 @@ def _luhn(digits: str) -> int:
     return total % 10
 
 
+def _iban_rest(iban: str) -> int:
+    """The remainder that is 1 where an IBAN's check digits are right."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
 def _letters(text: str, s: _Stream, hexa: bool = False) -> str:
     """Letters and digits replaced in place by others of their kind."""
     out = []
@@ -253,7 +293,14 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
         domain = f"{host}.{reserved.group(1)}" if reserved else f"{host}.example"
         return f"{_letters(local, s)}{s.below(10**6) if crowded else ''}{_letters('0' * (grown - 1), s)}@{domain}"
     if kind == "secret":
-        return _letters(entity + "0" * grown, s, hexa=re.fullmatch("[0-9a-f]+", entity) is not None)
+        prefix = "akia" if re.fullmatch("akia[a-z0-9]{16}", entity) else ""
+        body = entity[len(prefix) :] + "0" * grown
+        return prefix + _letters(body, s, hexa=re.fullmatch("[0-9a-f]+", entity) is not None)
+    if kind == "iban":
+        body = _letters(entity[4:] + "0" * grown, s)
+        return f"{entity[:2]}{98 - _iban_rest(f'{entity[:2]}00{body}'):02d}{body}"
+    if kind == "ipv6":
+        return "2001:db8:" + ":".join(f"{s.below(1 << 16):x}" for _ in range(6))
     if kind == "ip":
         if attempt > EXHAUSTED:
             return "2001:db8:" + ":".join(f"{s.below(1 << 16):x}" for _ in range(6))
@@ -291,8 +338,13 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
 
 def render(kind: str, mention: str, replacement: str) -> str:
     """A canonical replacement in the format of the mention."""
+    if kind == "iban":
+        signs = iter(replacement.upper())
+        return "".join([*(c if c == " " else next(signs) for c in mention), *signs])
     if kind in ("phone", "card", "ssn"):
-        digits = iter(replacement)
+        # a country code that the entity leaves out stays
+        code = sum(c.isdigit() for c in mention) - len(canonical(kind, mention))
+        digits = iter("1" * code + replacement)
         return "".join([*(next(digits) if c.isdigit() else c for c in mention), *digits])
     letters = [c for c in mention if c.isalpha()]
     if letters and all(c.isupper() for c in letters):
