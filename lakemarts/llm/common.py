@@ -3,6 +3,7 @@ lineage cuts in the shared folder, connected components, table reading."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ import zipfile
 from functools import reduce
 from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +24,9 @@ _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package (once a session), and
     let them take whole texts in batches that fit their memory: 1000 rows
-    where the session still has Spark's default of 10,000."""
+    where the session or its platform has set no number."""
     sc = spark.sparkContext
-    if spark.conf.get(_BATCH_ROWS) == "10000":
+    if _BATCH_ROWS not in spark.conf.getAll:
         spark.conf.set(_BATCH_ROWS, "1000")
     if getattr(sc, "_lakemarts_shipped", False):
         return
@@ -58,13 +60,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df`` as a table in the shared folder: computed once, and
-    readable whatever executors are lost afterwards."""
+    readable whatever executors are lost afterwards.  Results may still read
+    it until the driver ends, which then removes it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    atexit.register(_removed, spark.sparkContext, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _removed(sc: SparkContext, path: str) -> None:
+    """Delete a stored table if its application still runs."""
+    if sc._jsc is not None:
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
