@@ -52,7 +52,8 @@ def test_checkpoint_dir_is_reused(spark):
 
 def test_no_broadcast_without_a_bound(spark):
     """Static auto-broadcast is off: neither the fact nor the daily mart
-    broadcasts anything before a size was measured."""
+    broadcasts anything before a size was measured, but for the counted
+    customers that are missing."""
     orders = _orders(spark)
     dim_c = S.dim_customers(_customers(spark))
     empty_items = spark.createDataFrame([], "order_id string, product_id string, seller_id string, "
@@ -61,12 +62,16 @@ def test_no_broadcast_without_a_bound(spark):
     empty_pay = spark.createDataFrame([], "order_id string, payment_type string, payment_installments int, "
                                           "payment_value decimal(12,2)")
     empty_rev = spark.createDataFrame([], "review_id string, order_id string, review_score int, has_comment boolean")
-    fact = S.fct_orders(orders, dim_c, S.items_per_order(empty_items), S.payments_per_order(empty_pay),
-                        S.reviews_per_order(empty_rev))
-    assert "BroadcastExchange" not in fact._jdf.queryExecution().executedPlan().toString()
-    daily = M.mart_daily_sales(fact, S.dim_date(orders))
+    per_order = S.items_per_order(empty_items), S.payments_per_order(empty_pay), S.reviews_per_order(empty_rev)
+    known = S.fct_orders(orders.where("customer_id <> 'c9'"), dim_c, *per_order)
+    assert "BroadcastExchange" not in known._jdf.queryExecution().executedPlan().toString()
+    daily = M.mart_daily_sales(known, S.dim_date(orders))
     plan = daily._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan
+    fact = S.fct_orders(orders, dim_c, *per_order)
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1 and "LeftAnti, BuildRight" in plan
+    daily = M.mart_daily_sales(fact, S.dim_date(orders))
     assert daily.agg(F.sum("total_orders")).first()[0] == 3
 
 
