@@ -7,7 +7,10 @@ once to encode and once to decode; nothing is shuffled.  The rank file is read
 by the driver and broadcast (about 1 MB).
 
 Inputs: a null text counts as empty; an empty text has no ids and decodes to
-no bytes.  A null list of ids decodes to null.  Rows, ids and other columns
+no bytes.  Very long texts are merged whole, in time n log n and memory linear
+in the longest match of the pattern.  Of pairs that tie for the least rank the
+leftmost is merged first.  Repeated rows are encoded each.  A null list of ids
+decodes to null.  Rows, ids and other columns
 stay as they are; columns named ``ids`` and ``decoded`` are replaced.  An
 empty table stays empty.  Ids outside the vocabulary raise an error.
 """

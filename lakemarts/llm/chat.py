@@ -13,7 +13,8 @@ control string can occur outside the template's own places, and undoing the
 replacements in reverse order gives the text back.
 
 Inputs: null texts and null roles count as empty; an empty or unknown role
-is formatted like any other and fails the machine.  Turns are ordered by
+is formatted like any other and fails the machine.  Very long texts are kept
+whole, as one value of their conversation.  Turns are ordered by
 turn, then role, then text (nulls first), so ties and repeated rows have one
 order and all stay.  Rows without a conv_id form one conversation with a null
 id.  Other columns are ignored.  An empty table gives an empty result.  The

@@ -10,7 +10,8 @@ are reported; notices (``NOTICES``) add labels of their own.  Texts are not
 shuffled.
 
 Inputs: a null text counts as empty; it has no word, no place and score 0.
-Words of equal IDF are taken in alphabetical order.  Repeated rows are scanned
+Very long texts are read whole.  Words of equal IDF are taken in alphabetical
+order, and all notices that fit equally well are labels.  Repeated rows are scanned
 each (and count each in the frequencies); null ids and extra columns do not
 matter.  An empty table gives an empty result.
 """

@@ -45,6 +45,74 @@ NOTICES = [
     ("bsd-3-clause",
      "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
      "the following conditions are met", ["redistribution and use in source and binary forms"]),
+    ("agpl-3.0",
+     "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+     "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+     "your option) any later version.", ["gnu affero general public license", "version 3"]),
+    ("artistic-2.0", "Licensed under the Artistic License 2.0.", ["artistic license 2 0"]),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0.", ["boost software license", "version 1 0"]),
+    ("bsl-1.0",
+     "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+     "and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, "
+     "execute, and transmit the Software", ["any person or organization obtaining a copy"]),
+    ("cc-by-nc-nd-4.0", "Licensed under CC BY-NC-ND 4.0.", ["cc by nc nd 4 0"]),
+    ("cc-by-nc-sa-4.0", "Licensed under CC BY-NC-SA 4.0.", ["cc by nc sa 4 0"]),
+    ("cc-by-nd-4.0", "Licensed under CC BY-ND 4.0.", ["cc by nd 4 0"]),
+    ("cc-by-4.0",
+     "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+     ["creative commons attribution 4 0"]),
+    ("cc-by-sa-4.0",
+     "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+     ["creative commons attribution sharealike 4 0"]),
+    ("cc0-1.0",
+     "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this "
+     "work.", ["waived all copyright and related or neighboring rights"]),
+    ("cddl-1.0",
+     "The contents of this file are subject to the terms of the Common Development and Distribution License (the "
+     "License). You may not use this file except in compliance with the License.",
+     ["common development and distribution license"]),
+    ("epl-2.0",
+     "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+     "2.0", ["eclipse public license 2 0"]),
+    ("epl-1.0",
+     "All rights reserved. This program and the accompanying materials are made available under the terms of the "
+     "Eclipse Public License v1.0", ["eclipse public license v1 0"]),
+    ("eupl-1.2", "Licensed under the EUPL, Version 1.2.", ["the eupl version 1 2"]),
+    ("gfdl-1.3",
+     "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free "
+     "Documentation License, Version 1.3 or any later version published by the Free Software Foundation",
+     ["gnu free documentation license", "version 1 3"]),
+    ("isc",
+     "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+     "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+     ["for any purpose with or without fee is hereby granted"]),
+    ("lgpl-2.1",
+     "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+     "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+     "your option) any later version.", ["gnu lesser general public license", "version 2 1"]),
+    ("lgpl-3.0",
+     "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+     "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+     "your option) any later version.", ["gnu lesser general public license", "version 3"]),
+    ("mpl-2.0",
+     "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+     "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+     ["mozilla public license v 2 0"]),
+    ("odbl-1.0",
+     "This database is made available under the Open Database License: http://opendatacommons.org/licenses/odbl/1.0/.",
+     ["open database license"]),
+    ("ofl-1.1",
+     "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+     ["sil open font license", "version 1 1"]),
+    ("unlicense",
+     "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+     "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+     "for any purpose, commercial or non-commercial, and by any means.",
+     ["free and unencumbered software released into the public domain"]),
+    ("zlib",
+     "This software is provided as-is, without any express or implied warranty. In no event will the authors be held "
+     "liable for any damages arising from the use of this software.",
+     ["in no event will the authors be held liable"]),
 ]
 #: Highest-IDF words of a template that a file looks up.
 RARE_WORDS = 4

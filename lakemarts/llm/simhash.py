@@ -15,7 +15,9 @@ fingerprint on the smallest one at each of its points links the same groups
 with a number of rows linear in the bucket.
 
 Inputs: null and word-free texts have fingerprint zero and are linked like
-any other.  Repeated rows keep their rows.  A null doc_id stays null; it is
+any other.  Very long texts are read whole.  A fingerprint bit that is set in
+exactly half the shingles is 0; of ids that tie for a group's smallest there
+is one value.  Repeated rows keep their rows.  A null doc_id stays null; it is
 no candidate for a group's smallest doc_id, so a group without ids has a
 null component_id.  Other columns are ignored.  An empty table gives an empty
 result.

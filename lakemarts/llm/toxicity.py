@@ -12,7 +12,10 @@ Inputs: a document with several labels counts as toxic if one says so; null
 labels and labels of unknown documents are ignored, and of documents that
 repeat a doc_id one row is learned from.  Without labels of both classes all
 scores are the smoothed share of toxic labels (no labels: 1/3, not toxic).
-Null and empty texts get the model's intercept as score.  Repeated rows are
+Null and empty texts get the model's intercept as score.  Very long texts are
+read whole, a piece at a time.  Features of equal ratio are taken in order of
+their hash, rows of equal hash in order of doc_id.  Other columns are ignored,
+whatever their names.  Repeated rows are
 scored each; a null doc_id is never learned from and counts as not held out.
 Empty tables give empty results.
 """

@@ -337,10 +337,19 @@ def test_licence_phrases_and_notices():
     assert gpl["labels"] == ["gpl", "gpl-3.0"] and gpl["score"] == 1.0
     for empty in (None, "", "..."):
         assert index.scan(empty) == {"n_words": 0, "places": [], "base_labels": [], "labels": [], "score": 0.0}
-    bsd = index.scan(licenses_core.NOTICES[-1][1] + " and so on")
+    bsd = index.scan(next(t for label, t, _ in licenses_core.NOTICES if label == "bsd-3-clause") + " and so on")
     assert bsd["labels"] == ["bsd-3-clause"] and bsd["base_labels"] == []
 
 
+@pytest.mark.parametrize("label, text", [n[:2] for n in licenses_core.NOTICES])
+def test_every_notice_is_known_by_its_label_alone(label, text):
+    index = licenses_core.Index({w: 1.0 for w in licenses_core.VOCABULARY})
+    found = index.scan(f"Some words before. {text.upper()} And some words behind it.")
+    assert set(found["labels"]) - set(found["base_labels"]) == {label} - set(found["base_labels"])
+    without = index.scan("Nobody may use this, whatever version 2.0 of the public terms says.")
+    assert without["labels"] == [] and without["score"] < licenses_core.SHARE
+
+
 def plain_tiles(item, text, shortest):
     """The definition: the longest match of unmarked tokens, again and again."""
     item_marked, text_marked, tiles = [False] * len(item), [t < 0 for t in text], []

@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from lakemarts.llm import (
-    bpe, chat, decontaminate, embeddings, langid, langid_core, licenses, pii, pii_core, queries, simhash, simhash_core, substring,
+    bpe, chat, decontaminate, embeddings, langid, langid_core, licenses, licenses_core, pii, pii_core, queries, simhash, simhash_core, substring,
     toxicity,
 )
 from lakemarts.llm import tiling_core
@@ -435,7 +435,29 @@ def test_licence_query_equals_brute_force(ready):
         r = got[i]
         assert (r.n_words, r.n_base) == (len(w), len(at)) and r.base_labels == ",".join(sorted({x for _, x in at}))
         assert (r.first_word, r.last_word) == ((min(at)[0], max(at)[0]) if at else (None, None))
-        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+        # every notice at every place: enough words in place, and its key phrases within the slack
+        notices, most = set(), 1.0 if at else 0.0
+        number = {x: n for n, x in enumerate(dict.fromkeys(w))}
+        tokens = np.array([number[x] for x in w], dtype=int)
+        joined = f" {' '.join(w)} "
+        for label, text, keys in licenses_core.NOTICES:
+            own = [x.decode() for x in licenses_core.words(text)]
+            shift = len(own)
+            padded = np.concatenate([np.full(shift, -1), tokens, np.full(shift, -1)])
+            share = sum(padded[k : k + len(w) + shift] == number.get(x, -2) for k, x in enumerate(own)) / len(own)
+            most = max(most, share.max())
+            if all(f" {key} " in joined for key in keys):
+                for start in np.flatnonzero(share >= licenses_core.SHARE) - shift:
+                    near = True
+                    for key in keys:
+                        k = key.split()
+                        place = start + next(i for i in range(len(own)) if own[i : i + len(k)] == k)
+                        some = range(max(0, place - licenses_core.SLACK), place + licenses_core.SLACK + 1)
+                        near &= any(w[i : i + len(k)] == k for i in some)
+                    if near:
+                        notices.add(label)
+        assert r.labels == ",".join(sorted({x for _, x in at} | notices))
+        assert (r.score == 1 if at else 0 <= r.score <= most + 1e-9)
 
 
 def test_licence_edges(edge_docs, no_docs):
