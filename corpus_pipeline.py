@@ -3,7 +3,9 @@ operator of ``lakemarts.llm``.
 
 ``run`` writes every stage's result to the shared folder and reads it back as
 the next stage's documents.  All stages but the last return the columns of
-``documents``.  The last one has the documents' tokens and digests; SQL cannot
+``documents``, extra ones included.  Null and empty texts, very long texts,
+ties, repeated rows and empty tables give in every stage what the docstring of
+its operator says.  The last one has the documents' tokens and digests; SQL cannot
 express the stages, so ``ORACLE_SQL`` is None and the tests hold the pipeline
 against a version without Spark.
 """
@@ -25,22 +27,28 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects (score 0.5 or more) go.
+    Null and empty texts have the score of the model's intercept; without
+    labels nothing goes."""
     return reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
+    """One document of each near-duplicate group stays, that of the smallest
+    doc_id; of rows that repeat an id one stays.  Null and empty texts are one
+    group, as they share a fingerprint."""
     return keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go; null and empty texts hold
+    none, and an empty benchmark leaves all."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by surrogates; n_chars follows the text."""
+    """Personal data is replaced by surrogates; n_chars follows the text
+    (of null texts it stays).  No row goes."""
     out = replace_pii(docs).drop("pii_spans")
     if "n_chars" in out.columns:
         kind = dict(out.dtypes)["n_chars"]
@@ -49,7 +57,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
+    """Token ids of every document, and whether they decode to its text; a
+    null text is encoded as an empty one."""
     ranks = bpe.vocabulary(spark, public_tokenizers.path(VOCABULARY))
     decoded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "utf-8")
