@@ -32,6 +32,9 @@ KEY_QUERIES = [
     "mart_customer_summary",
     "mart_delivery_quality",
     "profile_order_items",
+    "dq_results",
+    "layer_counts",
+    "fact_reconciliation",
 ]
 
 
@@ -50,7 +53,7 @@ def main() -> None:
         "# Physical plans\n",
         f"Generated by `tools/plans.py` at `{sf_dir}` (Spark {spark.version}).  Initial adaptive plans: the "
         "strategies before runtime re-optimisation, which is what a 100 TB run starts from.  Session settings: "
-        "static auto-broadcast off, so every broadcast below is an explicit one with a proven bound; AQE may "
+        "static auto-broadcast off, so every broadcast below is an explicit one of counted rows or a proven bound; AQE may "
         "still convert a sort-merge join to a broadcast when a side *measures* under 64 MB, and splits skewed "
         "partitions.  Gold and mart queries read the layer below from its stored Parquet copy in the "
         "checkpoint folder (a `Scan parquet` of `lake-*/<layer>/<table>`).\n",
