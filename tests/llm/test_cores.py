@@ -372,6 +372,37 @@ def plain_tiles(item, text, shortest):
         tiles.append((i, t, n))
 
 
+def plain_overlaps(docs, items, coverage=0.6, seed=5):
+    """Every document against every item by the definition, words that the two
+    do not share in runs of a seed left out."""
+
+    def seeds(words):
+        return {tuple(words[k : k + seed]) for k in range(len(words) - seed + 1)}
+
+    found = {}
+    item_words = {i: tiling_core.words(b) for i, b in items.items()}
+    item_seeds = {i: seeds(w) for i, w in item_words.items()}
+    for d, t in docs.items():
+        w = tiling_core.words(t)
+        own = seeds(w)
+        for i, b in item_words.items():
+            common = own & item_seeds[i]
+            held = sum(any(tuple(b[j : j + seed]) in common for j in range(max(0, k - seed + 1), k + 1)) for k in range(len(b)))
+            if not common or held < coverage * len(b):
+                continue  # every tile consists of shared seeds
+            number = {x: n for n, x in enumerate(dict.fromkeys(b))}
+            near = set()
+            for k in range(len(w) - seed + 1):
+                if tuple(w[k : k + seed]) in common:
+                    near |= set(range(k, k + seed))
+            text = [number.get(x, -1) if k in near else -1 for k, x in enumerate(w)]
+            tiles = plain_tiles([number[x] for x in b], text, seed)
+            share = sum(n for _, _, n in tiles) / len(b)
+            if share >= coverage:
+                found[d, i] = (round(share, 9), len(tiles))
+    return found
+
+
 def test_tiles_equal_the_definition():
     rnd = random.Random(4)
     for k in range(200):

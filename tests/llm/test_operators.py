@@ -21,7 +21,7 @@ from lakemarts.llm import (
 )
 from lakemarts.llm import tiling_core
 from lakemarts.llm.common import components, table
-from test_cores import plain_tiles
+from test_cores import plain_overlaps
 
 SF = "/root/testdata/sf0.001"
 
@@ -500,25 +500,4 @@ def test_decontamination_on_the_given_tables(ready):
     items = {r.item_id: r.text for r in table(ready, sf, "benchmark").collect()}
     got = {(r.doc_id, r.item_id): (round(r.coverage, 9), r.n_tiles) for r in queries.op10_decontamination(ready, sf).collect()}
     assert {(d, i) for d, t in docs.items() for i, b in items.items() if b in t} <= set(got)
-    # every document against every item by the definition, words that neither shares left out
-    expected = {}
-    item_words = {i: tiling_core.words(b) for i, b in items.items()}
-    seeds = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in item_words.items()}
-    for d, t in docs.items():
-        w = tiling_core.words(t)
-        own = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
-        for i, b in item_words.items():
-            common = own & seeds[i]
-            if sum(any(tuple(b[j : j + 5]) in common for j in range(max(0, k - 4), k + 1)) for k in range(len(b))) < 0.6 * len(b):
-                continue  # every tile consists of shared seeds
-            number = {x: n for n, x in enumerate(dict.fromkeys(b))}
-            near = set()
-            for k in range(len(w) - 4):
-                if tuple(w[k : k + 5]) in common:
-                    near |= set(range(k, k + 5))
-            text = [number.get(x, -1) if k in near else -1 for k, x in enumerate(w)]
-            tiles = plain_tiles([number[x] for x in b], text, 5)
-            share = sum(n for _, _, n in tiles) / len(b)
-            if share >= 0.6:
-                expected[d, i] = (round(share, 9), len(tiles))
-    assert got == expected
+    assert got == plain_overlaps(docs, items)
