@@ -2,9 +2,10 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query runs end to end from the raw tables (mapping → silver → gold →
-mart) and is executed with the ``noop`` sink, so every row is computed and
-nothing is collected to the driver.  Prints one JSON line.
+Each query reads the stored layer below it; the first query of a session that
+needs a layer also stores it, so times depend on the order of the queries.
+Results go to the ``noop`` sink: every row is computed and nothing is
+collected to the driver.  Prints one JSON line.
 """
 
 from __future__ import annotations

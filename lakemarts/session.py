@@ -26,8 +26,8 @@ DEFAULT_CONF = {
     # compressed file size and can under-count memory many times over.  AQE
     # broadcasts a join side only after its shuffle has run and its real
     # size is known to be under the threshold; otherwise the join stays a
-    # sort-merge join.  Sides bounded by construction (the calendar, the 25
-    # nations) are broadcast explicitly in the plans.
+    # sort-merge join.  Explicit broadcasts in the plans are of counted rows
+    # (missing keys) or bounded by construction (the 25 nations).
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
