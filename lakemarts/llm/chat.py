@@ -55,6 +55,8 @@ class Template:
         first = {c[:1] for c in self.controls}
         if len(self.escape) != 1 or any(not c or self.escape in c for c in self.controls):
             raise ValueError("control strings are not empty and do not contain the one escape character")
+        if any("\\E" in c for c in self.controls):
+            raise ValueError("no control string may hold the end of a quotation, \\E")
         if any(f in c[1:] for c in self.controls for f in first):
             raise ValueError("a control string's first character may not occur inside control strings")
         if any(a != b and a.startswith(b) for a in self.controls for b in self.controls):

@@ -391,7 +391,8 @@ def test_chat_edges(ready):
     steps = {(r.conv_id, r.position): r.allowed for r in chat.segments(frame).collect()}
     assert steps[1, 0] and not steps[3, 0] and steps[4, 0] and not steps[4, 1]
     assert rows(chat.formatted(frame.where("false"))) == rows(chat.segments(frame.where("false"))) == []
-    for bad in ({"stop": ""}, {"escape": "<"}, {"start": "<t", "middle": "<tx"}, {"stop": "a<"}):
+    for bad in ({"stop": ""}, {"escape": "<"}, {"start": "<t", "middle": "<tx"}, {"stop": "a<"},
+                {"escape": "~", "stop": "</turn\\E>"}):
         with pytest.raises(ValueError):
             chat.Template(**bad)
     assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().executedPlan().toString())
