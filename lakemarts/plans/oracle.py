@@ -796,14 +796,14 @@ def _bodies() -> dict[str, str]:
     q["dq_raw_critical_failures"] = typed(
         "dq_raw_results", results, where="severity = 'CRITICAL' AND status = 'FAIL'"
     )
-    # of two recorded runs, silver's and the raw tables', the latter is the latest
+    # of two recorded runs, the raw tables' and silver's, the latter is the latest
     q["dq_history"] = typed("dq_results", results) + " UNION ALL " + typed("dq_raw_results", results)
     q["dq_summary"] = (
         "SELECT severity, status, CAST(count(*) AS DOUBLE) AS check_count, CAST(sum(failed_rows) AS DOUBLE) AS failed_rows "
-        "FROM dq_raw_results GROUP BY severity, status"
+        "FROM dq_results GROUP BY severity, status"
     )
     q["dq_failures"] = typed(
-        "dq_raw_results", "table_name:s check_name:s severity:s failed_rows:i failure_rate:f details:s",
+        "dq_results", "table_name:s check_name:s severity:s failed_rows:i failure_rate:f details:s",
         where="status = 'FAIL'",
     )
     for name, source in (("dq_gate", "dq_raw_results"), ("dq_gate_silver", "dq_results")):

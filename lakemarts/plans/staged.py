@@ -78,9 +78,9 @@ class Staged:
     def _history(self) -> bool:
         assert self._databases
         self.lake.prefetch_silver(SILVER_TABLES)
+        record_results(self.catalog, Q.raw_checks(self.lake.raw), "bronze")
         silver = Q.quality_checks(self.lake.silver.stored, self.lake.raw("reviews"))
         record_results(self.catalog, silver, "silver")
-        record_results(self.catalog, Q.raw_checks(self.lake.raw), "bronze")
         return True
 
     def _after(self, stage: str) -> None:
@@ -102,6 +102,7 @@ class Staged:
         return self.catalog.table("silver", name)
 
     def history(self) -> DataFrame:
-        """Two recorded runs: the checks of silver, then those of raw tables."""
+        """Two recorded runs: the checks of raw tables, then all checks of
+        silver, which are the latest run that the reports tell of."""
         self._after("_history")
         return self.catalog.table("monitoring", QUALITY_TABLE)

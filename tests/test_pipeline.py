@@ -13,7 +13,7 @@ from lakemarts.operators import counts
 from lakemarts.operators import quality as Q
 from lakemarts.plans import pipeline
 from lakemarts.plans.layers import Lake
-from lakemarts.plans.queries import comparable, queries
+from lakemarts.plans.queries import comparable, lake, queries, staged
 from lakemarts.sources.catalog import Catalog
 from lakemarts.sources.csv_ingest import MissingColumnsError, MissingSourcesError, ingest_all, open_sources, read_raw_csv, refuse_missing
 from lakemarts.sources.driver_tables import DriverTables
@@ -252,7 +252,17 @@ def test_reports_built_together_can_both_be_read(spark):
     own = queries()
     built = [own[name](spark, SF_SMALL) for name in ("dq_summary", "dq_failures", "fct_orders_gated", "dq_history", "dq_summary")]
     counts = [df.count() for df in built]
-    assert counts[0] == counts[4] == 2 and counts[1] == 5 and counts[2] == 1500 and counts[3] == 31
+    assert counts[0] == counts[4] == 2 and counts[1] == 0 and counts[2] == 1500 and counts[3] == 31
+
+
+def test_reports_tell_of_all_silver_checks(spark):
+    own = queries()
+    summary = own["dq_summary"](spark, SF_SMALL).collect()
+    assert sum(r.check_count for r in summary) == 25
+    # over planted defects: every failed check of silver, none of the raw run
+    history = staged(lake(spark, SF_SMALL, True)).history()
+    failed = {(r.table_name, r.check_name) for r in own["seeded_dq_results"](spark, SF_SMALL).collect() if r.status == "FAIL"}
+    assert failed and {(r.table_name, r.check_name) for r in Q.failure_report(history).collect()} == failed
 
 
 def test_counts_come_from_file_statistics(spark, tmp_path):
