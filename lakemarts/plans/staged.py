@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,13 +41,16 @@ def write_parts(raw: DataFrame, key: str, path: str) -> int:
 
 
 class Staged:
-    """Each stage is run once, when first asked for."""
+    """Each stage is run once, when first asked for; bronze and silver tables
+    one by one, so that no table waits for, or pays for, the others."""
 
     def __init__(self, lake: Lake):
         self.lake = lake
         self.raw_dir = f"{lake.store}/csv"
         self.catalog = Catalog(lake.spark, f"staged_{uuid.uuid4().hex[:12]}", f"{lake.store}/catalog")
         self._lock = threading.RLock()
+        self._ingested: dict[str, DataFrame] = {}  # summary rows by table
+        self._cleansed: set[str] = set()
 
     def close(self) -> None:
         self.catalog.drop_databases()
@@ -57,21 +60,27 @@ class Staged:
         self.catalog.create_databases()
         return True
 
-    @cached_property
-    def _bronze(self) -> bool:
-        assert self._databases
-        concurrently({
-            name: (lambda name=name: write_parts(
-                self.lake.raw(name), CONTRACTS[name].columns[0].source, f"{self.raw_dir}/{SOURCE_FILES[name]}"))
-            for name in SILVER_TABLES
-        })
-        self.catalog.overwrite(ingest_all(self.catalog, self.raw_dir), "monitoring", INGEST_TABLE)
-        return True
+    def _ingest(self, *names: str) -> None:
+        """The named sources as part files and bronze tables, those that are
+        not there yet."""
+        with self._lock:
+            assert self._databases
+            todo = [n for n in names if n not in self._ingested]
+            if not todo:
+                return
+            concurrently({
+                name: (lambda name=name: write_parts(
+                    self.lake.raw(name), CONTRACTS[name].columns[0].source, f"{self.raw_dir}/{SOURCE_FILES[name]}"))
+                for name in todo
+            })
+            summary = ingest_all(self.catalog, self.raw_dir, {n: SOURCE_FILES[n] for n in todo})
+            self._ingested |= {n: summary.where(F.col("dataset_name") == n) for n in todo}
 
     @cached_property
-    def _silver(self) -> bool:
-        assert self._bronze
-        write_silver(self.catalog)
+    def _summary(self) -> bool:
+        self._ingest(*SILVER_TABLES)
+        rows = reduce(DataFrame.unionByName, self._ingested.values()).orderBy("dataset_name")
+        self.catalog.overwrite(rows, "monitoring", INGEST_TABLE)
         return True
 
     @cached_property
@@ -89,16 +98,20 @@ class Staged:
 
     def ingestion_summary(self) -> DataFrame:
         """K07; table names without this session's prefix."""
-        self._after("_bronze")
+        self._after("_summary")
         summary = self.catalog.table("monitoring", INGEST_TABLE)
         return summary.withColumn("table_name", F.substring_index("table_name", ".", -1)).orderBy("dataset_name")
 
     def bronze(self, name: str) -> DataFrame:
-        self._after("_bronze")
+        self._ingest(name)
         return self.catalog.table("bronze", CONTRACTS[name].raw)
 
     def silver(self, name: str) -> DataFrame:
-        self._after("_silver")
+        with self._lock:
+            self._ingest(name)
+            if name not in self._cleansed:
+                write_silver(self.catalog, (name,))
+                self._cleansed.add(name)
         return self.catalog.table("silver", name)
 
     def history(self) -> DataFrame:

@@ -14,6 +14,7 @@ from lakemarts.operators import quality as Q
 from lakemarts.plans import pipeline
 from lakemarts.plans.layers import Lake
 from lakemarts.plans.queries import comparable, lake, queries, staged
+from lakemarts.plans.staged import Staged
 from lakemarts.sources.catalog import Catalog
 from lakemarts.sources.csv_ingest import MissingColumnsError, MissingSourcesError, ingest_all, open_sources, read_raw_csv, refuse_missing
 from lakemarts.sources.driver_tables import DriverTables
@@ -265,6 +266,17 @@ def test_reports_tell_of_all_silver_checks(spark):
     assert failed and {(r.table_name, r.check_name) for r in Q.failure_report(history).collect()} == failed
 
 
+def test_tables_are_staged_one_by_one(spark):
+    own = Staged(Lake.from_driver_tables(spark, SF_SMALL))
+    assert own.silver("customers").count() == 150
+    assert own.catalog.exists("bronze", "customers_raw") and not own.catalog.exists("bronze", "order_items_raw")
+    assert not own.catalog.exists("silver", "orders")
+    assert [r.dataset_name for r in own.ingestion_summary().collect()] == sorted(CONTRACTS)
+    assert own.bronze("order_items").count() == own.lake.raw("order_items").count()
+    assert len(own.catalog.versions("bronze", "customers_raw")) == 1  # not ingested again
+    own.close()
+
+
 def test_counts_come_from_file_statistics(spark, tmp_path):
     folder = str(tmp_path / "t")
     spark.range(1000).selectExpr("id", "id * 2 as b").write.parquet(folder)
