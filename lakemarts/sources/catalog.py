@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemarts.session import TABLE_OPTIONS
+
 LAYERS = ("bronze", "silver", "gold", "monitoring", "marts")
 
 
@@ -82,7 +84,7 @@ class Catalog:
         version = f"{table}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
         counted = Observation()
         rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.format("parquet").mode("error").saveAsTable(self.name(layer, version))
+        rows.write.format("parquet").mode("error").options(**TABLE_OPTIONS).saveAsTable(self.name(layer, version))
         return version, counted.get["rows"]
 
     def publish(self, version: str, layer: str, table: str) -> None:

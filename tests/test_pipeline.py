@@ -277,6 +277,21 @@ def test_tables_are_staged_one_by_one(spark):
     own.close()
 
 
+def test_layers_read_small_splits_and_write_dense_files(spark, tmp_path):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        own = Lake.from_driver_tables(spark, SF_SMALL)
+        assert spark.conf.get(key) == "16m"
+        spark.conf.set(key, "3m")
+        assert any(f.endswith(".zstd.parquet") for f in os.listdir(own.silver.folder("sellers").removeprefix("file:")))
+        Lake.from_driver_tables(spark, SF_SMALL)
+        assert spark.conf.get(key) == "3m"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_counts_come_from_file_statistics(spark, tmp_path):
     folder = str(tmp_path / "t")
     spark.range(1000).selectExpr("id", "id * 2 as b").write.parquet(folder)
