@@ -82,6 +82,25 @@ def test_repeated_passages_are_found_and_others_are_not(ready):
     assert [by_doc[i][0][3:] for i in (200, 201, 202)] == [(200, 3)] * 3
 
 
+def test_classes_left_after_the_last_round_are_paired(ready):
+    # two texts share a passage; every half of it is also in decoys, which
+    # have no whole passage of it and smaller class numbers
+    passage = [f"w{i}" for i in range(60)]
+
+    def variants(body, n=25):
+        edge = lambda v, side: [f"{len(body)}{body[0]}{side}{v}y{i}" for i in range(30)]
+        texts = [" ".join(edge(v, "l") + body + edge(v, "r")) for v in range(n)]
+        frame = ready.createDataFrame([(t,) for t in texts], "text string").select(F.xxhash64("text").alias("h"), "text")
+        return sorted(map(tuple, frame.collect()))
+
+    pair = variants(passage)[-2:]
+    decoys = [v for at in range(0, 21, 5) for v in variants(passage[at:at + 40]) if v < pair[0]]
+    texts = [t for _, t in pair + decoys]
+    docs = ready.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = rows(substring.repeated_passages(docs, pair_limit=1, rounds=1).select("doc_id", "first_doc_id", "n_documents"))
+    assert sorted(found) == [(0, 0, 2), (1, 0, 2)]
+
+
 def test_repeated_passages_edges(edge_docs, no_docs):
     found = rows(substring.repeated_passages(edge_docs).select("doc_id", "first_doc_id", "n_documents"))
     assert set(found) == {(6, 6, 2)} and len(found) == 2  # the long text, which is there twice
