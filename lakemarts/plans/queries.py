@@ -28,7 +28,7 @@ from lakemarts.operators import quality as Q
 from lakemarts.operators import counts, tiles
 from lakemarts.operators.cleanse import clean_columns, row_filter
 from lakemarts.operators.dedup import duplicate_keys
-from lakemarts.plans.layers import FACTS, GOLD_DIMS, GOLD_INPUTS, GOLD_TABLES, MART_INPUTS, SILVER_TABLES, Gold, Lake
+from lakemarts.plans.layers import FACTS, GOLD_DIMS, GOLD_INPUTS, GOLD_TABLES, SILVER_TABLES, Gold, Lake
 from lakemarts.plans.staged import Staged
 from lakemarts.sources.driver_tables import defective_mart
 
@@ -203,7 +203,7 @@ def _registry() -> dict[str, Query]:
                  "mart_delivery_quality", "gold_order_count"):
         def mart(s, d, name=name):
             lk = lake(s, d)
-            lk.prefetch_gold(MART_INPUTS[name])
+            lk.prefetch_mart_inputs([name])
             return lk.marts.table(name)
 
         q[name] = mart
