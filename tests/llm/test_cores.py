@@ -148,6 +148,28 @@ def test_near_passages_of_the_least_similarity_become_candidates():
         assert (60, 110, 60, 110) in substring_core.verify(x, y, centres)
 
 
+def test_cut_texts_are_verified_like_whole_ones():
+    rnd = random.Random(31)
+    words = lambda n: [f"v{rnd.randrange(10**6)}" for _ in range(n)]
+    passages = [words(70), words(90)]
+    edited = [[*p[:30], "edited", *p[31:]] for p in passages]
+    line = words(12)
+    x = substring_core.shingles(" ".join([*words(40), *passages[0], *words(30), *line, *words(50), *passages[1], *words(9)]))
+    y = substring_core.shingles(" ".join([*edited[1], *words(60), *line, *words(20), *edited[0]]))
+    cuts, spans = [], []
+    for one, other in ((x, y), (y, x)):
+        spans.append(substring_core.segments(np.isin(one, other), 46))
+        cuts.append(substring_core.Cut(substring_core.cut(one, spans[-1]), spans[-1]))
+    assert [s.tolist() for s in spans] == [[[40, 106], [202, 288]], [[0, 86], [182, 248]]]
+    assert all(len(c.tokens) < len(t) for c, t in zip(cuts, (x, y)))
+    inside = {int(t) for lo, hi in spans[0] for t in x[lo:hi]}
+    centres = sorted((i, int(j)) for i, t in enumerate(x) if int(t) in inside for j in np.flatnonzero(y == t))
+    found = substring_core.verify_cut(*cuts, centres)
+    assert found == substring_core.verify(x, y, centres) and sorted(found) == [(40, 110, 182, 252), (202, 292, 0, 90)]
+    keys = [set(c.windows()[0].tolist()) for c in cuts]
+    assert keys[0] <= set(substring_core.windows(x)[0].tolist()) and keys[0] & keys[1]
+
+
 def test_an_equal_run_is_verified_whatever_stands_next_to_it():
     rnd = random.Random(7)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))

@@ -101,6 +101,38 @@ def test_classes_left_after_the_last_round_are_paired(ready):
     assert sorted(found) == [(0, 0, 2), (1, 0, 2)]
 
 
+def test_common_lines_alone_leave_no_segment(ready):
+    rnd = random.Random(17)
+    line, passage = words_text(rnd, 20), words_text(rnd, 60)
+    texts = [(i, f"{words_text(rnd, 80)} {line} {words_text(rnd, 80)}") for i in range(40)]
+    texts += [(100 + i, f"{words_text(rnd, 30)} {passage} {line} {words_text(rnd, 9)}") for i in range(2)]
+    texts = ready.createDataFrame(texts, "cid long, text string")
+    for words in (100, 5 * substring.CHUNK_WORDS):  # in one chunk, and in five
+        found = rows(substring._segments(texts, words, 50).select("cid", "spans"))
+        assert sorted((cid, list(spans)) for cid, spans in found) == [(100, [30, 106]), (101, [30, 106])]
+
+
+def test_classes_of_one_passage_class_are_not_paired_over_a_common_line(ready):
+    rnd = random.Random(18)
+    line = words_text(rnd, 20)
+    bodies = [words_text(rnd, 60) for _ in range(2)]  # two classes of texts, all with the line
+    texts = ready.createDataFrame(
+        [(10 * k + i, f"{bodies[k]} {line} {words_text(rnd, 30)}") for k in range(2) for i in range(3)],
+        "cid long, text string",
+    )
+    segments = substring._segments(texts, 100, 50)
+    rest = [(1, 10 * k + i, place, 60 + place) for k in range(2) for i in range(3) for place in (5, 9)]
+    rest = ready.createDataFrame(rest, "side long, cid long, place long, at int")
+    links = [(10 * k, 10 * k + i, 0, 80, 0, 80) for k in range(2) for i in (1, 2)]
+    links = ready.createDataFrame(links, "a long, b long, a_start int, a_end int, b_start int, b_end int")
+    labelled = substring._labelled(rest, links)
+    assert sorted(rows(labelled.select("cid", "label").distinct())) == [(10 * k + i, 10 * k) for k in range(2) for i in range(3)]
+    assert rows(substring._connectable(labelled, segments, 50)) == []
+    # without the links, each text's own body may connect it
+    alone = rows(substring._connectable(substring._labelled(rest, links.limit(0)), segments, 50).select("cid", "place"))
+    assert sorted(alone) == sorted((10 * k + i, place) for k in range(2) for i in range(3) for place in (5, 9))
+
+
 def test_repeated_passages_edges(edge_docs, no_docs):
     found = rows(substring.repeated_passages(edge_docs).select("doc_id", "first_doc_id", "n_documents"))
     assert set(found) == {(6, 6, 2)} and len(found) == 2  # the long text, which is there twice
