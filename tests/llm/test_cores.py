@@ -155,17 +155,24 @@ def test_cut_texts_are_verified_like_whole_ones():
     edited = [[*p[:30], "edited", *p[31:]] for p in passages]
     line = words(12)
     x = substring_core.shingles(" ".join([*words(40), *passages[0], *words(30), *line, *words(50), *passages[1], *words(9)]))
-    y = substring_core.shingles(" ".join([*edited[1], *words(60), *line, *words(20), *edited[0]]))
+    y = substring_core.shingles(" ".join([*edited[1], *words(60), *line, *words(40), *edited[0]]))
     cuts, spans = [], []
     for one, other in ((x, y), (y, x)):
         spans.append(substring_core.segments(np.isin(one, other), 46))
         cuts.append(substring_core.Cut(substring_core.cut(one, spans[-1]), spans[-1]))
-    assert [s.tolist() for s in spans] == [[[40, 106], [202, 288]], [[0, 86], [182, 248]]]
+    assert [s.tolist() for s in spans] == [[[40, 106], [202, 288]], [[0, 86], [202, 268]]]
     assert all(len(c.tokens) < len(t) for c, t in zip(cuts, (x, y)))
     inside = {int(t) for lo, hi in spans[0] for t in x[lo:hi]}
     centres = sorted((i, int(j)) for i, t in enumerate(x) if int(t) in inside for j in np.flatnonzero(y == t))
     found = substring_core.verify_cut(*cuts, centres)
-    assert found == substring_core.verify(x, y, centres) and sorted(found) == [(40, 110, 182, 252), (202, 292, 0, 90)]
+    assert found == substring_core.verify(x, y, centres) and sorted(found) == [(40, 110, 202, 272), (202, 292, 0, 90)]
+    # a passage that the other text holds in two parts far from each other is not joined over the cut
+    parts = substring_core.shingles(" ".join([*passages[1][:45], *words(80), *passages[1][41:]]))
+    whole = substring_core.shingles(" ".join(passages[1]))
+    pair = [(whole, [[0, len(whole)]]), (parts, [[0, 41], [121, len(parts)]])]
+    cuts2 = [substring_core.Cut(substring_core.cut(t, np.array(s)), np.array(s)) for t, s in pair]
+    centres = [(k, k) for k in range(41)] + [(41 + k, 125 + k) for k in range(45)]
+    assert substring_core.verify_cut(*cuts2, centres) == substring_core.verify(whole, parts, centres)
     keys = [set(c.windows()[0].tolist()) for c in cuts]
     assert keys[0] <= set(substring_core.windows(x)[0].tolist()) and keys[0] & keys[1]
 
