@@ -451,3 +451,32 @@ def test_one_word_over_and_over_is_tiled_in_bounded_memory():
     _, most = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert found == [(0, 1.0, [(0, 0, 40)])] and most < 120_000_000
+
+
+def test_quick_tests_of_similar_passages_equal_brute_force():
+    rnd = np.random.default_rng(5)
+    held = rnd.random(150) < 0.75
+    held[90:103] = False  # a gap
+    places = np.flatnonzero(held)
+    inside = [
+        any(
+            e - s >= 46 and held[s:e].mean() >= 0.8 and not (s < 103 and e > 90 and e - s > 46 and s <= 90 and e >= 103)
+            for s in range(i + 1) for e in range(i + 1, 151)
+        )
+        for i in places
+    ]
+    assert substring_core.dense(held, places, 46, 0.8).tolist() == inside and 0 < sum(inside) < len(inside)
+    reach = substring_core.reach_of(46, 0.8)
+    assert reach == 95
+    x = rnd.integers(1, 1 << 30, 2 * reach + 1, dtype=np.uint32)
+    near, far = x.copy(), x.copy()
+    near[reach - 5 : reach] += 1 << 30
+    near[reach + 40 : reach + 44] += 1 << 30
+    far[np.arange(len(x)) % 4 == (reach + 1) % 4] += 1 << 31
+    around = np.stack([x, near, far, near])
+    for blocks, pairs in (([0, 0, 0, 0], [(0, 1), (0, 3), (1, 3)]), ([0, 1, 0, 0], [(0, 1), (1, 3)])):
+        found = substring_core.similar_around(
+            np.arange(4), np.array([5, 6, 7, 8]), np.array(blocks), around, 46, 0.8, step=2)
+        assert sorted((int(a), int(b)) for p in found for a, b in zip(*p)) == pairs
+    found = substring_core.similar_around(np.arange(4), np.array([5, 5, 7, 8]), np.zeros(4), around, 46, 0.8)
+    assert sorted((int(a), int(b)) for p in found for a, b in zip(*p)) == [(0, 3), (1, 3)]

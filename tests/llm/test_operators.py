@@ -101,6 +101,27 @@ def test_classes_left_after_the_last_round_are_paired(ready):
     assert sorted(found) == [(0, 0, 2), (1, 0, 2)]
 
 
+def test_a_text_that_links_only_to_one_already_linked_is_found(ready):
+    # every copy differs from the text in one word, and from one another in
+    # two, which is too much; the copies that all texts are first compared
+    # with are not the text itself
+    passage = [f"w{i}" for i in range(60)]
+
+    def variants(at, n=25):
+        body = [f"new{at}" if i == at else w for i, w in enumerate(passage)]
+        edge = lambda v, side: [f"{at}{side}{v}y{i}" for i in range(30)]
+        texts = [" ".join(edge(v, "l") + body + edge(v, "r")) for v in range(n)]
+        frame = ready.createDataFrame([(t,) for t in texts], "text string").select(F.xxhash64("text").alias("h"), "text")
+        return sorted(map(tuple, frame.collect()))
+
+    text, last = variants(None)[-1], variants(30)[-1]
+    copies = [v for at in (10, 14, 45, 49) for v in variants(at)[:6]]
+    assert max(copies) < min(text, last)
+    docs = ready.createDataFrame(list(enumerate(t for _, t in [*copies, text, last])), "doc_id long, text string")
+    found = rows(substring.repeated_passages(docs, pair_limit=1).select("doc_id", "first_doc_id", "n_documents"))
+    assert sorted(found) == [(i, 0, 26) for i in range(26)]
+
+
 def test_common_lines_alone_leave_no_segment(ready):
     rnd = random.Random(17)
     line, passage = words_text(rnd, 20), words_text(rnd, 60)
